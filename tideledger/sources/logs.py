@@ -92,14 +92,15 @@ def block_at_or_before(blocks: DataFrame, ts: int, chains: DataFrame | None = No
     )
 
 
-_COMMON = ["blockchain", F.col("address").alias("contract_address"),
-           F.col("transaction_hash").alias("tx_hash"), "block_number", "log_index", "block_time"]
+def _common() -> list[Column]:
+    return [F.col("blockchain"), F.col("address").alias("contract_address"),
+            F.col("transaction_hash").alias("tx_hash"), F.col("block_number"), F.col("log_index"), F.col("block_time")]
 
 
 def transfers(logs: DataFrame) -> DataFrame:
     """Transfer events with the exact raw value."""
     return logs.filter(F.col("topic0") == codec.TRANSFER_TOPIC).select(
-        *_COMMON,
+        *_common(),
         codec.topic_address(F.col("topic1")).alias("from_addr"),
         codec.topic_address(F.col("topic2")).alias("to_addr"),
         codec.uint(codec.data_word(F.col("data"), 0)).alias("amount"),
@@ -112,7 +113,7 @@ def referrals(
 ) -> DataFrame:
     """Referral events (both layouts put the code in topic1, the owner in topic2)."""
     return logs.filter(F.col("topic0").isin(*topic0s)).select(
-        *_COMMON,
+        *_common(),
         codec.topic_address(F.col("topic2")).alias("owner"),
         codec.referral_code(F.col("topic1")).alias("ref_code"),
     )
@@ -123,7 +124,7 @@ def swaps(logs: DataFrame, topic0: str = codec.SWAP_TOPIC) -> DataFrame:
     amount_word = F.greatest(codec.word_count(F.col("data")) - 2, F.lit(0))
     amount = F.substring(codec.hex_body(F.col("data")), amount_word * codec.WORD + 1, F.lit(codec.WORD))
     return logs.filter(F.col("topic0") == topic0).select(
-        *_COMMON,
+        *_common(),
         codec.topic_address(F.col("topic1")).alias("asset_in"),
         codec.topic_address(F.col("topic2")).alias("asset_out"),
         codec.topic_address(F.col("topic3")).alias("receiver"),
@@ -135,7 +136,7 @@ def swaps(logs: DataFrame, topic0: str = codec.SWAP_TOPIC) -> DataFrame:
 def stakes(logs: DataFrame) -> DataFrame:
     """Staked and Withdrawn events with a sign."""
     return logs.filter(F.col("topic0").isin(codec.STAKED_TOPIC, codec.WITHDRAWN_TOPIC)).select(
-        *_COMMON,
+        *_common(),
         codec.topic_address(F.col("topic1")).alias("user_addr"),
         codec.uint(codec.data_word(F.col("data"), 0)).alias("amount"),
         F.when(F.col("topic0") == codec.STAKED_TOPIC, F.lit(1)).otherwise(F.lit(-1)).alias("sign"),
@@ -145,7 +146,7 @@ def stakes(logs: DataFrame) -> DataFrame:
 def vault_flows(logs: DataFrame) -> DataFrame:
     """Deposit and Withdraw events: assets in word 0, shares in word 1."""
     return logs.filter(F.col("topic0").isin(codec.DEPOSIT_TOPIC, codec.WITHDRAW_TOPIC)).select(
-        *_COMMON,
+        *_common(),
         codec.uint(codec.data_word(F.col("data"), 0)).alias("assets"),
         codec.uint(codec.data_word(F.col("data"), 1)).alias("shares"),
     )
