@@ -30,7 +30,7 @@ def hex_body(c: Column) -> Column:
 
 def topic_address(topic: Column) -> Column:
     """Low 20 bytes of a topic as a lower-case address."""
-    padded = F.lpad(hex_body(topic), 40, "0")
+    padded = F.lpad(hex_body(topic), WORD, "0")
     return F.concat(F.lit("0x"), F.right(padded, F.lit(40)))
 
 
