@@ -1 +1,352 @@
-"""Queries."""
+"""Rates, conversion, ratios and rewards."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from tideledger.catalog.base import (
+    EV, FULL_TWA, LEDGER, LEDGER_FILL, LEDGER_TWA, RATES, REWARD_CODE, Ctx, _day, day, query, twa_views, with_,
+)
+from tideledger.catalog.relational import PERIODS, PRICES, RULES, periods, prices
+from tideledger.operators import conversion as cv, monthly as mo, program_daily as pd_, rates as rt, reports as rp, rollup as ru
+from tideledger.operators.twa import to_daily
+from tideledger.plans import settlement as se
+from tideledger.sources import driver_tables as dt
+
+FILL = _day(LEDGER_FILL)
+SERIES_START = "2024-03-01"
+
+
+def sum_by(view: str, code: str, name: str = "amounts") -> str:
+    return f"""{name} AS (SELECT dt, blockchain, symbol AS token, {code} AS ref_code, CAST(sum(prod) AS DOUBLE) / 86400.0 AS amount
+  FROM {view} GROUP BY 1, 2, 3, 4)"""
+
+
+SAVINGS = "CASE WHEN ref_code = -999999 AND symbol = 'sUSDS' THEN 99 WHEN ref_code = -999999 AND symbol = 'sUSDC' THEN 127 ELSE ref_code END"
+VAULT_CODES = """CASE WHEN symbol = 'spUSDC' AND ref_code IN (-999999, 127) THEN 131 WHEN symbol = 'spUSDT' AND ref_code IN (-999999, 127) THEN 130
+  WHEN symbol = 'spPYUSD' AND ref_code IN (-999999, 127) THEN 132 ELSE ref_code END"""
+L2 = "CASE WHEN ref_code = -999999 THEN 99 WHEN ref_code = 0 AND user_addr IN ('u1', 'u2', 'u4') THEN 10001 WHEN ref_code = 0 THEN 10000 ELSE ref_code END"
+
+SHARE_RATES = f"""last_rate AS (SELECT blockchain, contract_address, symbol AS token, {day('ts')} AS dt, CAST(assets AS DOUBLE) / CAST(shares AS DOUBLE) AS rate FROM (
+  SELECT *, abs(amount_change) * (100 + log_index % 7) AS assets, abs(amount_change) * 100 AS shares,
+    row_number() OVER (PARTITION BY blockchain, contract_address, {day('ts')} ORDER BY ts DESC, log_index DESC) AS rn
+  FROM legs WHERE abs(amount_change) > 0) WHERE rn = 1),
+conv AS (SELECT blockchain, token, dt, coalesce(last_value(rate IGNORE NULLS) OVER (PARTITION BY blockchain, token ORDER BY dt ROWS UNBOUNDED PRECEDING), 1.0) AS rate
+  FROM (SELECT DISTINCT blockchain, symbol AS token, CAST(unnest(generate_series(TIMESTAMP '{SERIES_START}', TIMESTAMP '{LEDGER_FILL}', INTERVAL 1 DAY)) AS DATE) AS dt FROM legs)
+  LEFT JOIN (SELECT blockchain, token, dt, rate FROM last_rate WHERE dt >= DATE '{SERIES_START}') USING (blockchain, token, dt))"""
+
+
+def share_series(c: Ctx):
+    """Conversion per (chain, token, day) of the ledger."""
+    starts = c.ledger.select("blockchain", "contract_address", F.col("symbol").alias("token")).distinct().withColumn(
+        "start_dt", F.to_date(F.lit(SERIES_START)))
+    return cv.conversion_series(dt.share_rates(c.spark, c.sf), starts, FILL).select("blockchain", "token", "dt", "rate")
+
+
+def savings_amounts(c: Ctx):
+    return mo.interval_amounts(c.ledger_intervals, mo.reclass_savings)
+
+
+@query("d14_conversion_series", with_(LEDGER, SHARE_RATES) + "SELECT blockchain, token, dt, rate FROM conv")
+def d14(c: Ctx):
+    return share_series(c)
+
+
+@query("d15_priced_series", with_(LEDGER, SHARE_RATES, PRICES) + """
+SELECT v.blockchain, v.token AS token_symbol, v.dt, v.rate, CASE WHEN v.token = 'spETH' THEN coalesce(p.price, (SELECT arg_max(price, dt) FROM prices)) END AS eth_price,
+  CASE WHEN v.token = 'spETH' THEN v.rate * coalesce(p.price, (SELECT arg_max(price, dt) FROM prices), 1.0) ELSE v.rate END AS usd_value
+FROM conv v LEFT JOIN prices p ON p.dt = v.dt AND v.token = 'spETH'""")
+def d15(c: Ctx):
+    return cv.priced_series(share_series(c).withColumnRenamed("token", "token_symbol"), prices(c))
+
+
+IDLE_KEYS = "blockchain, symbol"
+IDLE = "idle_legs AS (SELECT * REPLACE (NULL::BIGINT AS ref_code) FROM legs WHERE symbol LIKE 'sp%' AND ref_code IS NULL)"
+IDLE_DAILY = IDLE + ",\n" + twa_views(LEDGER_FILL, legs="idle_legs", p="i_", keys=IDLE_KEYS, always=True) + """,
+idle AS (SELECT blockchain, symbol AS vault_symbol, dt, CAST(sum(prod) AS DOUBLE) / 86400.0 AS idle FROM i_daily_all GROUP BY ALL)"""
+
+
+def idle(c: Ctx):
+    held = c.ledger.filter(F.col("symbol").startswith("sp") & F.col("ref_code").isNull())
+    return mo.idle_series(held, FILL, ["blockchain", "symbol"]).withColumnRenamed("symbol", "vault_symbol")
+
+
+TOTALS = """totals AS (SELECT blockchain, symbol AS vault_symbol, dt, CAST(sum(prod) AS DOUBLE) / 86400.0 AS total FROM daily
+  WHERE symbol LIKE 'sp%' AND symbol <> 'spETH' GROUP BY ALL)"""
+
+
+def ratio_sql(forced: str) -> str:
+    return f"""ratio AS (SELECT t.blockchain, t.vault_symbol, t.dt, t.total AS vault_total_supply,
+    CASE WHEN {forced} THEN 0.0 ELSE coalesce(i.idle, 0.0) END AS vault_idle_holdings,
+    CASE WHEN {forced} THEN t.total ELSE t.total - coalesce(i.idle, 0.0) END AS vault_deployed,
+    CASE WHEN {forced} THEN 1.0 WHEN t.total > 0 THEN greatest((t.total - coalesce(i.idle, 0.0)) / t.total, 0.0) ELSE 0.0 END AS deployment_ratio
+  FROM totals t LEFT JOIN idle i ON i.blockchain = t.blockchain AND i.vault_symbol = t.vault_symbol AND i.dt = t.dt)"""
+
+
+FORCED = "t.vault_symbol IN ('spUSDT', 'spPYUSD')"
+
+
+def vault_iv(c: Ctx):
+    return c.ledger_intervals.filter(F.col("symbol").startswith("sp"))
+
+
+def vault_supply(c: Ctx):
+    """Exact daily supply per vault: codes are merged before the division."""
+    one_code = mo.interval_amounts(vault_iv(c), lambda s, code, u, ch: code * 0)
+    return mo.vault_totals(one_code)
+
+
+RATIO_OUT = "SELECT blockchain, vault_symbol, dt, vault_total_supply, vault_idle_holdings, vault_deployed, deployment_ratio FROM ratio"
+
+
+@query("d17_deployment_ratio", with_(LEDGER_TWA, IDLE_DAILY, TOTALS, ratio_sql(FORCED)) + RATIO_OUT)
+def d17(c: Ctx):
+    return mo.deployment_ratios(vault_supply(c), idle(c))
+
+
+@query("d17_deployment_ratio_measured", with_(LEDGER_TWA, IDLE_DAILY, TOTALS, ratio_sql("false")) + RATIO_OUT)
+def d17_measured(c: Ctx):
+    return mo.deployment_ratios(vault_supply(c), idle(c), ())
+
+
+@query("d55_ratio_slice", with_(LEDGER_TWA, IDLE_DAILY, TOTALS, ratio_sql("false")) + """
+SELECT dt, vault_total_supply, vault_idle_holdings, vault_deployed, deployment_ratio FROM ratio WHERE vault_symbol = 'spPYUSD' AND blockchain = 'chain0' AND dt >= DATE '2026-05-01'""")
+def d55(c: Ctx):
+    return rp.ratio_slice(mo.deployment_ratios(vault_supply(c), idle(c), ()), "spPYUSD", "chain0", "2026-05-01")
+
+
+@query("d18_daily_rates", with_(LEDGER, RATES) + f"""
+SELECT token, dt, {REWARD_CODE.format(t='token')} AS reward_code, round(reward_per, 12) AS reward_per FROM (
+  SELECT DISTINCT symbol AS token, {day('ts')} AS dt FROM legs) JOIN rates ON reward_code = {REWARD_CODE.format(t='token')} AND dt BETWEEN start_dt AND end_dt""")
+def d18(c: Ctx):
+    from tideledger.functions.dates import day_of
+
+    days = c.ledger.select(F.col("symbol").alias("token"), day_of(F.col("ts")).alias("dt")).distinct()
+    coded = days.withColumn("reward_code", rt.reward_code(F.col("token")))
+    return rt.with_daily_rate(coded, rt.schedule(c.spark)).withColumn("reward_per", F.round("reward_per", 12))
+
+
+@query("d19_dynamic_rates", with_(EV, PERIODS, RULES) + """
+SELECT reward_code, start_dt, end_dt, round(365.0::DOUBLE * (exp(ln(1.0::DOUBLE + CASE WHEN spread = 0 THEN observed_apy ELSE (1 + observed_apy) * (1 + spread::DOUBLE) - 1 END) / 365.0::DOUBLE) - 1.0::DOUBLE), 6) AS reward_per
+FROM (SELECT reward_code, spread, observed_apy, greatest(start_date, a) AS start_dt, least(end_date, b) AS end_dt
+  FROM periods, rule_periods JOIN rules USING (early) WHERE start_date <= b AND end_date >= a)
+WHERE NOT (reward_code = 'AR*' AND start_dt >= DATE '2026-01-01')""")
+def d19(c: Ctx):
+    return rt.dynamic_rates(periods(c)).drop("reward_description").withColumn("reward_per", F.round("reward_per", 6))
+
+
+@query("d20_reclass_savings", with_(FULL_TWA, sum_by("daily", SAVINGS)) + "SELECT * FROM amounts")
+def d20_savings(c: Ctx):
+    return mo.interval_amounts(c.intervals.transform(_exact), mo.reclass_savings)
+
+
+def _exact(iv):
+    """Event amounts are whole cents: keep them integer for exact sums."""
+    return iv.withColumns({"prod": F.col("prod").cast("bigint"), "balance": F.col("balance").cast("bigint")})
+
+
+@query("d20_reclass_l2", with_(FULL_TWA, sum_by("daily", L2)) + "SELECT * FROM amounts")
+def d20_l2(c: Ctx):
+    return mo.interval_amounts(_exact(c.intervals), mo.reclass_l2({"main": ("u1", "u2", "u4")}))
+
+
+@query("d20_reclass_vaults", with_(LEDGER_TWA, sum_by("daily", VAULT_CODES)) + "SELECT * FROM amounts WHERE token LIKE 'sp%'")
+def d20_vaults(c: Ctx):
+    return mo.interval_amounts(vault_iv(c), mo.reclass_vaults)
+
+
+@query("d20_reclass_all_untagged", with_(FULL_TWA, sum_by("daily", "CASE WHEN ref_code = -999999 THEN 99 ELSE ref_code END")) + """
+SELECT dt, blockchain, token, ref_code, round(amount, 7) AS amount FROM amounts""")
+def d20_all(c: Ctx):
+    return mo.daily_amounts(to_daily(c.intervals), mo.reclass_all_untagged).withColumn("amount", F.round("amount", 7))
+
+
+REWARDS = f"""rewards AS (SELECT a.dt, a.blockchain, a.token, a.ref_code, a.amount,
+    a.amount / 365.0::DOUBLE * r.reward_per * coalesce(v.rate, 1.0) AS usd
+  FROM amounts a JOIN rates r ON r.reward_code = {REWARD_CODE.format(t='a.token')} AND a.dt BETWEEN r.start_dt AND r.end_dt
+  LEFT JOIN conv v ON v.blockchain = a.blockchain AND v.token = a.token AND v.dt = a.dt)"""
+LEDGER_REWARDS = [LEDGER_TWA, SHARE_RATES, RATES, sum_by("daily", SAVINGS), REWARDS]
+MONTHLY_SQL = """monthly AS (SELECT CAST(date_trunc('month', dt) AS DATE) AS month, blockchain, token, ref_code, sum(usd) AS dr_usd, avg(amount) AS avg_twa_balance
+  FROM rewards GROUP BY 1, 2, 3, 4)"""
+
+
+def ledger_daily(c: Ctx):
+    return mo.daily_rewards(savings_amounts(c), rt.schedule(c.spark), share_series(c), ["blockchain", "token", "dt"])
+
+
+def ledger_monthly(c: Ctx):
+    return mo.monthly_rewards(ledger_daily(c))
+
+
+def _rounded(df):
+    return df.withColumns({"dr_usd": F.round("dr_usd", 1), "avg_twa_balance": F.round("avg_twa_balance", 0)})
+
+
+MONTHLY_OUT = "month, blockchain, token, ref_code, round(dr_usd, 1) AS dr_usd, round(avg_twa_balance, 0) AS avg_twa_balance"
+
+
+@query("d21_monthly_rewards", with_(*LEDGER_REWARDS, MONTHLY_SQL) + f"SELECT {MONTHLY_OUT} FROM monthly")
+def d21(c: Ctx):
+    return _rounded(ledger_monthly(c))
+
+
+VAULT_REWARDS = [LEDGER_TWA, SHARE_RATES, RATES, IDLE_DAILY, TOTALS, ratio_sql(FORCED), sum_by("daily", VAULT_CODES), f"""rewards AS (
+  SELECT a.dt, a.blockchain, a.token, a.ref_code, a.amount, coalesce(v.rate, 1.0) * CASE WHEN a.token = 'spETH' THEN 0.0
+    WHEN a.token IN ('spUSDT', 'spPYUSD') THEN a.amount / 365.0::DOUBLE * r.reward_per
+    ELSE a.amount * coalesce(d.deployment_ratio, 0.0) / 365.0::DOUBLE * r.reward_per END AS usd
+  FROM amounts a JOIN rates r ON r.reward_code = {REWARD_CODE.format(t='a.token')} AND a.dt BETWEEN r.start_dt AND r.end_dt
+  LEFT JOIN ratio d ON d.blockchain = a.blockchain AND d.vault_symbol = a.token AND d.dt = a.dt
+  LEFT JOIN conv v ON v.blockchain = a.blockchain AND v.token = a.token AND v.dt = a.dt WHERE a.token LIKE 'sp%')"""]
+
+
+@query("d21_monthly_rewards_vaults", with_(*VAULT_REWARDS, MONTHLY_SQL) + f"SELECT {MONTHLY_OUT} FROM monthly")
+def d21_vaults(c: Ctx):
+    return _rounded(mo.monthly_rewards(se.family_daily("sp", vault_iv(c), share_series(c), idle(c))))
+
+
+FAMILY_TOKENS = {"susds_susdc": ("sUSDS", "sUSDC"), "stusds": ("stUSDS",), "farms": ("USDS-SKY",)}
+
+
+def family_parts(c: Ctx):
+    """Each family's monthly rewards; all but the vaults use the default code rules."""
+    shared = share_series(c).filter("blockchain = 'chain0' AND token = 'sUSDS'").select("dt", "rate")
+    parts = {}
+    for name, tokens in FAMILY_TOKENS.items():
+        iv = c.ledger_intervals.filter(F.col("symbol").isin(*tokens))
+        parts[name] = mo.monthly_rewards(se.family_daily(name, iv, shared if se.FAMILIES[name].conversion else None))
+    parts["sp"] = mo.monthly_rewards(se.family_daily("sp", vault_iv(c), share_series(c), idle(c)))
+    return parts
+
+
+FAMILY_SQL = [*VAULT_REWARDS[:6], sum_by("daily", SAVINGS, "plain"), sum_by("daily", VAULT_CODES), """shared AS (
+  SELECT dt, rate FROM conv WHERE blockchain = 'chain0' AND token = 'sUSDS')""", VAULT_REWARDS[-1].replace("rewards AS", "vault_rewards AS"), f"""rewards AS (
+  SELECT 'sp' AS source, dt, blockchain, token, ref_code, amount, usd FROM vault_rewards
+  UNION ALL
+  SELECT CASE WHEN p.token IN ('sUSDS', 'sUSDC') THEN 'susds_susdc' WHEN p.token = 'stUSDS' THEN 'stusds' ELSE 'farms' END, p.dt, p.blockchain, p.token, p.ref_code, p.amount,
+    p.amount / 365.0::DOUBLE * r.reward_per * CASE WHEN p.token = 'USDS-SKY' THEN 1.0 ELSE coalesce(s.rate, 1.0) END
+  FROM plain p JOIN rates r ON r.reward_code = {REWARD_CODE.format(t='p.token')} AND p.dt BETWEEN r.start_dt AND r.end_dt
+  LEFT JOIN shared s ON s.dt = p.dt WHERE p.token NOT LIKE 'sp%')""", """combined AS (SELECT source, CAST(date_trunc('month', dt) AS DATE) AS month, blockchain, token, ref_code,
+  sum(usd) AS dr_usd, avg(amount) AS avg_twa_balance FROM rewards GROUP BY 1, 2, 3, 4, 5)"""]
+
+
+@query("d22_family_rewards", with_(*FAMILY_SQL) + f"SELECT source, {MONTHLY_OUT} FROM combined")
+def d22(c: Ctx):
+    return _rounded(ru.combine(family_parts(c)))
+
+
+# --- daily base and balances by code ------------------------------------------
+
+def _third(df):
+    """A 37th of the value, rounded: day averages of cents often tie at .5, their 37ths do not."""
+    return df.withColumn("part_of_base", F.round(F.col("usds_base") / 37.0, 0)).drop("usds_base")
+
+
+@query("d45_daily_base", with_(*LEDGER_REWARDS) + """
+SELECT a.dt, round(sum(a.amount * coalesce(v.rate, 1.0)) / 37.0, 0) AS part_of_base FROM amounts a
+LEFT JOIN conv v ON v.blockchain = a.blockchain AND v.token = a.token AND v.dt = a.dt WHERE a.blockchain <> 'chain2' GROUP BY 1""")
+def d45(c: Ctx):
+    return rp.daily_base(savings_amounts(c), share_series(c), ["blockchain", "token", "dt"], skip_chains=["chain2"]).transform(_third)
+
+
+@query("d45_daily_base_vaults", with_(*VAULT_REWARDS[:7]) + """
+SELECT a.dt, round(sum(a.amount * coalesce(d.deployment_ratio, 0.0) * coalesce(v.rate, 1.0)) / 37.0, 0) AS part_of_base FROM amounts a
+LEFT JOIN conv v ON v.blockchain = a.blockchain AND v.token = a.token AND v.dt = a.dt
+LEFT JOIN ratio d ON d.blockchain = a.blockchain AND d.vault_symbol = a.token AND d.dt = a.dt WHERE a.token LIKE 'sp%' AND a.token <> 'spETH' GROUP BY 1""")
+def d45_vaults(c: Ctx):
+    amounts = mo.interval_amounts(vault_iv(c), mo.reclass_vaults)
+    ratios = mo.deployment_ratios(vault_supply(c), idle(c))
+    return rp.daily_base(amounts, share_series(c), ["blockchain", "token", "dt"], ratios, skip_tokens=["spETH"]).transform(_third)
+
+
+@query("d46_daily_base_by_code", with_(*LEDGER_REWARDS) + """
+SELECT a.dt, a.token, a.ref_code, round(sum(a.amount * coalesce(v.rate, 1.0)) / 37.0, 0) AS part_of_base FROM amounts a
+LEFT JOIN conv v ON v.blockchain = a.blockchain AND v.token = a.token AND v.dt = a.dt GROUP BY 1, 2, 3""")
+def d46(c: Ctx):
+    return rp.daily_base(savings_amounts(c), share_series(c), ["blockchain", "token", "dt"], by=["dt", "token", "ref_code"]).transform(_third)
+
+
+@query("d54_code_slice", with_(*LEDGER_REWARDS, MONTHLY_SQL) + f"SELECT {MONTHLY_OUT} FROM monthly WHERE ref_code = 2 AND blockchain <> 'chain1'")
+def d54(c: Ctx):
+    return _rounded(rp.code_slice(ledger_monthly(c), 2, ["chain1"]))
+
+
+@query("d56_balances_by_code", with_(FULL_TWA, sum_by("daily", SAVINGS)) + "SELECT dt, blockchain, token, ref_code, round(amount, 7) AS amount FROM amounts")
+def d56(c: Ctx):
+    return rp.balances_by_code(to_daily(c.intervals), mo.reclass_savings).withColumn("amount", F.round("amount", 7))
+
+
+@query("d56_balances_deployed", with_(LEDGER_TWA, IDLE_DAILY, TOTALS, ratio_sql("false"), sum_by("daily", "ref_code")) + """
+SELECT a.dt, a.blockchain, a.token, a.ref_code, a.amount, round(CASE WHEN a.token = 'spETH' THEN 0.0 ELSE a.amount * coalesce(d.deployment_ratio, 0.0) END, 2) AS amount_deployed
+FROM amounts a LEFT JOIN ratio d ON d.blockchain = a.blockchain AND d.vault_symbol = a.token AND d.dt = a.dt WHERE a.token LIKE 'sp%'""")
+def d56_deployed(c: Ctx):
+    amounts = mo.interval_amounts(vault_iv(c))
+    ratios = mo.deployment_ratios(vault_supply(c), idle(c), ())
+    deployed = F.when(F.col("token") == "spETH", F.lit(0.0)).otherwise(F.col("amount") * F.col("ratio"))
+    return mo.with_ratio(amounts, ratios).withColumn("amount_deployed", F.round(deployed, 2)).drop("ratio")
+
+
+# --- daily rewards over all sources -------------------------------------------
+
+CLASS = """CASE WHEN {t} = 'stUSDS' THEN 'XR-stUSDS' WHEN {t} IN ('sUSDS', 'USDS-SKY', 'USDS-SPK') THEN 'XR' WHEN {t} IN ('sUSDC', 'spUSDC', 'spUSDT', 'spPYUSD', 'spETH') THEN 'XR*' END"""
+DAILY_REWARDS = [LEDGER_TWA, SHARE_RATES, RATES, IDLE_DAILY, TOTALS, ratio_sql("false"), sum_by("daily", SAVINGS), f"""based AS (
+  SELECT a.*, CASE WHEN a.token = 'spETH' THEN 0.0 WHEN a.token LIKE 'sp%' THEN a.amount * coalesce(d.deployment_ratio, 0.0) ELSE a.amount END AS reward_base
+  FROM amounts a LEFT JOIN ratio d ON d.blockchain = a.blockchain AND d.vault_symbol = a.token AND d.dt = a.dt),
+user_level AS (SELECT b.*, r.reward_code, r.reward_per, b.reward_base / 365.0::DOUBLE * r.reward_per AS tw_reward,
+    CASE WHEN token IN ('sUSDC', 'spUSDC', 'spUSDT', 'spPYUSD') THEN 'own referrals' WHEN token = 'spETH' THEN 'partner referrals'
+      WHEN ref_code BETWEEN 100 AND 999 THEN 'own referrals' ELSE 'partner referrals' END AS referral_type,
+    avg(reward_base) OVER (PARTITION BY blockchain, token, ref_code ORDER BY dt ROWS 6 PRECEDING) AS amount_7d_avg
+  FROM based b JOIN rates r ON r.reward_code = {CLASS.format(t='b.token')} AND b.dt BETWEEN r.start_dt AND r.end_dt),
+final AS (SELECT u.dt, u.blockchain, CASE WHEN u.token IN ('USDS-SPK', 'USDS-SKY') THEN 'stakedUSDS' ELSE u.token END AS token_symbol, u.token, u.ref_code, u.referral_type,
+    u.reward_code, u.amount, u.reward_base, u.amount_7d_avg, u.tw_reward, coalesce(p.usd_value, 1.0) AS price_usd
+  FROM user_level u LEFT JOIN (
+    SELECT dt, blockchain, token AS token_symbol, rate AS usd_value FROM conv UNION ALL SELECT dt, '*', token, rate FROM conv WHERE blockchain = 'chain0' AND token = 'sUSDS') p
+  ON p.dt = u.dt AND p.token_symbol = CASE WHEN u.token = 'sUSDC' THEN 'sUSDS' WHEN u.token IN ('USDS-SPK', 'USDS-SKY') THEN 'stakedUSDS' ELSE u.token END
+    AND p.blockchain = CASE WHEN u.token IN ('sUSDS', 'sUSDC') THEN '*' ELSE u.blockchain END)"""]
+
+
+def program_rows(c: Ctx):
+    amounts = savings_amounts(c)
+    ratios = mo.deployment_ratios(vault_supply(c), idle(c), ())
+    deployed = F.when(F.col("token") == "spETH", F.lit(0.0)).otherwise(F.col("amount") * F.col("ratio"))
+    balances = mo.with_ratio(amounts, ratios).withColumn("amount_deployed", deployed)
+    series = share_series(c).select("dt", "blockchain", F.col("token").alias("token_symbol"), F.col("rate").alias("usd_value"))
+    # One savings price for every chain: the series of the main chain.
+    one = series.filter("token_symbol <> 'sUSDS' OR blockchain = 'chain0'")
+    return pd_.priced(pd_.source_rewards(balances, rt.schedule(c.spark)), one)
+
+
+@query("d38_daily_rewards", with_(*DAILY_REWARDS) + """
+SELECT dt, blockchain, token_symbol, token, ref_code, referral_type, reward_code, amount, reward_base, round(amount_7d_avg / 37.0, -1) AS part_of_7d_avg,
+  round(tw_reward, 2) AS tw_reward, price_usd, round(tw_reward * price_usd, 2) AS tw_reward_usd FROM final""")
+def d38(c: Ctx):
+    return program_rows(c).withColumn("part_of_7d_avg", F.round(F.col("amount_7d_avg") / 37.0, -1)).drop("reward_per", "amount_7d_avg").withColumns({
+        "tw_reward": F.round("tw_reward", 2), "tw_reward_usd": F.round("tw_reward_usd", 2)})
+
+
+@query("d38_monthly_export", with_(*DAILY_REWARDS) + """
+SELECT CAST(date_trunc('month', dt) AS DATE) AS dt, token_symbol, token, blockchain, referral_type, ref_code, round(sum(tw_reward), 1) AS tw_reward,
+  round(sum(tw_reward * price_usd) / sum(tw_reward), 7) AS price_usd, round(sum(tw_reward * price_usd), 1) AS tw_reward_usd
+FROM final WHERE dt >= DATE '2025-07-01' AND token_symbol <> 'spETH' GROUP BY 1, 2, 3, 4, 5, 6 HAVING sum(tw_reward) > 0""")
+def d38_export(c: Ctx):
+    out = pd_.monthly_export(program_rows(c), "2025-07-01").filter("tw_reward > 0")
+    return out.withColumns({"tw_reward": F.round("tw_reward", 1), "price_usd": F.round("price_usd", 7), "tw_reward_usd": F.round("tw_reward_usd", 1)})
+
+
+@query("d38_treasury_rewards", with_(LEDGER_TWA, RATES, """s AS (SELECT d.dt, d.blockchain, CAST(sum(d.prod) AS DOUBLE) / 86400.0 AS amount FROM daily d
+  JOIN (SELECT DISTINCT 'c' || c_custkey AS user_addr, 'chain' || (c_nationkey % 3) AS blockchain FROM customer WHERE c_mktsegment = 'BUILDING') h USING (blockchain, user_addr)
+  WHERE d.ends_day GROUP BY ALL)""") + """
+SELECT s.dt, s.blockchain, s.amount, round(s.amount / 365.0::DOUBLE * r.reward_per, 1) AS tw_reward,
+  round(avg(s.amount) OVER (PARTITION BY s.blockchain ORDER BY s.dt ROWS 6 PRECEDING) / 37.0, -1) AS part_of_7d_avg
+FROM s JOIN rates r ON r.reward_code = 'XR' AND s.dt BETWEEN r.start_dt AND r.end_dt""")
+def d38_treasury(c: Ctx):
+    cust = c.table("customer").filter("c_mktsegment = 'BUILDING'").select(
+        F.concat(F.lit("c"), F.col("c_custkey")).alias("user_addr"), F.concat(F.lit("chain"), F.col("c_nationkey") % 3).alias("blockchain"))
+    iv = c.ledger_intervals.filter("ends_day").join(cust, ["blockchain", "user_addr"], "left_semi")
+    # The treasury of a chain is the sum of its wallets, one holder per chain.
+    held = mo.interval_amounts(iv.withColumn("symbol", F.lit("USDS")), lambda s, code, u, ch: code * 0)
+    balances = held.select("dt", "blockchain", "token", F.lit("treasury").alias("user_addr"), "amount")
+    holders = c.spark.sql("select * from values ('chain0','treasury',126L,'XR'), ('chain1','treasury',126L,'XR'), ('chain2','treasury',126L,'XR') as t(blockchain,user_addr,ref_code,reward_code)")
+    out = pd_.treasury_rewards(balances, holders, rt.schedule(c.spark))
+    return out.select("dt", "blockchain", "amount", F.round("tw_reward", 1).alias("tw_reward"), F.round(F.col("amount_7d_avg") / 37.0, -1).alias("part_of_7d_avg"))
