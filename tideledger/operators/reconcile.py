@@ -159,9 +159,10 @@ def quality_checks(
 
 def rate_basis_check(rates: DataFrame, expected: DataFrame, tol: float = 1e-15) -> DataFrame:
     """Compare the schedule in use with expected (reward_code, dt, reward_per)."""
-    match = (rates["reward_code"] == expected["reward_code"]) & expected["dt"].between(rates["start_dt"], rates["end_dt"])
-    joined = expected.join(rates, match, "left").select(
-        expected["reward_code"], expected["dt"], expected["reward_per"].alias("expected"), rates["reward_per"].alias("actual"))
+    tiers = rates.select(F.col("reward_code").alias("_code"), "start_dt", "end_dt", F.col("reward_per").alias("actual"))
+    match = (F.col("_code") == F.col("reward_code")) & F.col("dt").between(F.col("start_dt"), F.col("end_dt"))
+    wanted = expected.select("reward_code", "dt", F.col("reward_per").alias("expected"))
+    joined = wanted.join(tiers, match, "left").select("reward_code", "dt", "expected", "actual")
     good = F.abs(F.col("actual") - F.col("expected")) <= tol
     return joined.withColumn("result", F.when(good, F.lit("OK")).otherwise(F.lit("MISMATCH")))
 

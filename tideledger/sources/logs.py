@@ -157,6 +157,10 @@ def undecodable(transfers_df: DataFrame) -> DataFrame:
     return transfers_df.filter("amount_overflow")
 
 
-def read_captures(spark: SparkSession, path: str) -> DataFrame:
-    """Captured logs stored as JSON arrays, plain or gzip."""
-    return spark.read.schema(LOG_SCHEMA).option("multiLine", True).json(path)
+def read_captures(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+    """Captured logs stored as JSON arrays, plain or gzip.
+
+    ``whole_file`` reads one array per file, as captures are written by hand;
+    large captures hold one array (or object) per line, which can be split.
+    """
+    return spark.read.schema(LOG_SCHEMA).option("multiLine", whole_file).json(path)

@@ -5,7 +5,7 @@ All paths are given by the caller and must be reachable by every executor.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -52,11 +52,12 @@ def write_parts(df: DataFrame, root: str, end: date) -> None:
 
     The window end is a partition column, so results of different windows never
     mix. The committer publishes whole partitions: a job that dies leaves no
-    part that a resume would take for finished.
+    part that a resume would take for finished. Rows are rebalanced by part, so
+    small parts share files and a large one is split over tasks.
     """
     (
         df.withColumn("window_end", F.lit(end.isoformat()))
-        .repartition(*PART_KEYS)
+        .hint("rebalance", *PART_KEYS)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PART_KEYS).parquet(root)
     )
 
@@ -100,7 +101,3 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def to_paths(names: Iterable[str], root: str) -> dict[str, str]:
-    return {n: f"{root}/{n}" for n in names}
