@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tideledger.functions import codec
 from tideledger.operators import attribution as at, legs as lg
@@ -75,7 +75,7 @@ class Ctx:
     @cached_property
     def legs(self) -> DataFrame:
         """Legs with every kind of code."""
-        return lg.transaction_legs(self.tr, self.code_maps, self.targets)
+        return lg.transaction_legs(self.tr, self.code_maps[:2], self.targets, programs=self.programs)
 
     @cached_property
     def plain_legs(self) -> DataFrame:

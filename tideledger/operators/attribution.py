@@ -79,7 +79,7 @@ def net_changes(transfers: DataFrame) -> DataFrame:
     )
 
 
-def _flag_deliveries(transfers: DataFrame, programs: DataFrame) -> DataFrame:
+def flag_deliveries(transfers: DataFrame, programs: DataFrame) -> DataFrame:
     """Mark transfers that deliver from a program contract to an outside wallet."""
     sender = programs.withColumnRenamed("program_contract", "from_addr")
     receiver = programs.select(F.col("program_contract").alias("to_addr"), F.lit(True).alias("to_program"))
@@ -105,7 +105,7 @@ def _flag_deliveries(transfers: DataFrame, programs: DataFrame) -> DataFrame:
 
 def _program_parties(transfers: DataFrame, programs: DataFrame) -> DataFrame:
     """Per (transaction, wallet) of delivery transactions: net, tag and mint flag."""
-    flagged = _flag_deliveries(transfers, programs)
+    flagged = flag_deliveries(transfers, programs)
     touched = flagged.filter(F.col("delivery_code").isNotNull()).select(*TX).distinct()
     inside = flagged.join(touched, TX, "left_semi")
     receives = F.col("leg_seq") == 0

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tideledger.functions.codec import scaled
 from tideledger.functions.dates import day_of
-from tideledger.operators.attribution import RANK, TX, WALLET_TX, wallet_sides
+from tideledger.operators.attribution import RANK, WALLET_TX, flag_deliveries, wallet_sides
 
 LEG_COLUMNS = ["blockchain", "contract_address", "symbol", "user_addr", "block", "log_index",
                "leg_seq", "ts", "amount_change", "ref_code"]
@@ -55,39 +55,51 @@ def transfer_legs(
 
 
 def transaction_legs(
-    transfers: DataFrame, codes: Sequence[DataFrame], targets: DataFrame, end_ts: int | None = None
+    transfers: DataFrame,
+    codes: Sequence[DataFrame],
+    targets: DataFrame,
+    end_ts: int | None = None,
+    programs: DataFrame | None = None,
 ) -> DataFrame:
     """One leg per (transaction, wallet) instead of one per transfer side.
 
     All events of a transaction share one second, so only the net change and the
     code can reach a time-weighted balance. Transfers and code maps meet in one
     grouping by (transaction, wallet): no join, and fewer rows for everything
-    downstream. Amounts stay exact until the final scaling.
+    downstream. Delivery programs need nothing else either, because the grouping
+    already has the exact net change their rule asks for. Amounts stay exact
+    until the final scaling.
     """
     kept = _tracked(transfers, targets, end_ts)
-    moves = wallet_sides(kept, F.col("symbol"), F.col("decimals")).select(
+    if programs is None:
+        flagged = kept.withColumn("delivery_code", F.lit(None).cast("bigint"))
+    else:
+        flagged = flag_deliveries(kept, programs)
+    sides = wallet_sides(flagged, F.col("symbol"), F.col("decimals"), F.col("delivery_code"))
+    rows = sides.select(
         *WALLET_TX, "symbol", "decimals", "block_number", "log_index", "block_time", "delta",
-        F.lit(None).cast("int").alias("rank"), F.lit(None).cast("bigint").alias("code_index"),
-        F.lit(None).cast("bigint").alias("ref_code"),
+        F.when(F.col("leg_seq") == 0, F.col("delivery_code")).alias("delivery_code"),
     )
-    rows = moves
     rank = F.create_map(*[F.lit(x) for pair in RANK.items() for x in pair])[F.col("kind")]
     for m in codes:
         rows = rows.unionByName(
-            m.select(*WALLET_TX, rank.alias("rank"), F.col("log_index").alias("code_index"),
+            m.select(*WALLET_TX, F.struct(rank.alias("rank"), F.col("log_index").alias("at")).alias("signal"),
                      F.col("ref_code").cast("bigint").alias("ref_code")),
             allowMissingColumns=True,
         )
-    signal = F.when(F.col("rank").isNotNull(), F.struct("rank", "code_index"))
+    named = F.max_by("ref_code", "signal") if codes else F.lit(None).cast("bigint")
+    delivered = F.max_by("delivery_code", F.when(F.col("delivery_code").isNotNull(), F.col("log_index")))
     merged = rows.groupBy(*WALLET_TX).agg(
         F.max("symbol").alias("symbol"), F.max("decimals").alias("decimals"),
         F.max("block_number").alias("block"), F.max("log_index").alias("log_index"),
         F.max("block_time").alias("ts"), F.sum("delta").alias("net"),
-        F.max_by("ref_code", signal).alias("ref_code"),
+        named.alias("named_code"), delivered.alias("delivery_code"),
     )
+    code = F.coalesce(F.col("named_code"), F.when(F.col("net") > 0, F.col("delivery_code")))
     return merged.filter(F.col("block").isNotNull()).select(
         "blockchain", "contract_address", "symbol", "user_addr", "block", "log_index",
-        F.lit(0).alias("leg_seq"), "ts", scaled(F.col("net"), F.col("decimals")).alias("amount_change"), "ref_code",
+        F.lit(0).alias("leg_seq"), "ts", scaled(F.col("net"), F.col("decimals")).alias("amount_change"),
+        code.cast("bigint").alias("ref_code"),
     )
 
 

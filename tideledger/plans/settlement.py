@@ -71,9 +71,8 @@ def source_legs(logs: DataFrame, spec: SourceSpec, end: date = SETTLED_END, incl
         maps = [at.real_codes(named)]
         if include_programs and spec.reroute:
             maps.append(at.rerouted_codes(named, moves, spec.reroute))
-        if include_programs and spec.programs:
-            maps.append(at.delivery_codes(moves, programs_frame(spark, spec.programs)))
-        legs = lg.transaction_legs(moves, maps, targets, end_ts)
+        programs = programs_frame(spark, spec.programs) if include_programs and spec.programs else None
+        legs = lg.transaction_legs(moves, maps, targets, end_ts, programs)
     return lg.drop_holders(legs, spec.excluded)
 
 
