@@ -25,7 +25,8 @@ _LIMB = 15  # hex digits that always fit a signed 64-bit integer
 
 def hex_body(c: Column) -> Column:
     """Lower-case hex digits without the 0x prefix."""
-    return F.regexp_replace(F.lower(c), "^0x", "")
+    text = F.lower(c)
+    return F.when(text.startswith("0x"), F.substr(text, F.lit(3))).otherwise(text)
 
 
 def topic_address(topic: Column) -> Column:
@@ -75,8 +76,8 @@ def uint(word: Column) -> Column:
 
 def uint_overflows(word: Column) -> Column:
     """True when a word needs more than 120 bits."""
-    head = F.substring(F.lpad(hex_body(word), WORD, "0"), 1, WORD - 2 * _LIMB)
-    return F.regexp_replace(head, "0", "") != ""
+    free = WORD - 2 * _LIMB
+    return F.substring(F.lpad(hex_body(word), WORD, "0"), 1, free) != F.lit("0" * free)
 
 
 def small_uint(word: Column) -> Column:
@@ -86,9 +87,8 @@ def small_uint(word: Column) -> Column:
     above every valid code without failing the job.
     """
     padded = F.lpad(F.coalesce(hex_body(word), F.lit("")), WORD, "0")
-    head = F.substring(padded, 1, WORD - _LIMB)
     tail = F.substring(padded, WORD - _LIMB + 1, _LIMB)
-    wide = F.regexp_replace(head, "0", "") != ""
+    wide = F.substring(padded, 1, WORD - _LIMB) != F.lit("0" * (WORD - _LIMB))
     return F.when(wide, F.lit((1 << 60) - 1)).otherwise(F.conv(tail, 16, 10).cast("bigint"))
 
 

@@ -22,6 +22,18 @@ WALLET_TX = TX + ["user_addr"]
 
 # A code signal of a higher rank decides over any of a lower one.
 RANK = {"real": 3, "rerouted": 2, "delivery": 1}
+_INDEX_BITS = 40
+
+
+def signal(kind: Column, log_index: Column) -> Column:
+    """Order of code signals as one integer: rank first, then log index.
+
+    A plain integer keeps the latest-code aggregates hash-based.
+    """
+    rank = F.lit(0)
+    for name, r in RANK.items():
+        rank = F.when(kind == name, F.lit(r)).otherwise(rank)
+    return F.shiftleft(rank.cast("bigint"), _INDEX_BITS) + log_index
 
 
 def _latest(df: DataFrame, keys: list[str], kind: str) -> DataFrame:
@@ -192,10 +204,13 @@ def merge_codes(*maps: DataFrame) -> DataFrame:
     for m in maps:
         part = m.select(*WALLET_TX, "log_index", "ref_code", "kind")
         out = part if out is None else out.unionByName(part)
-    rank = F.create_map(*[F.lit(x) for pair in RANK.items() for x in pair])[F.col("kind")]
-    order = F.struct(rank.alias("rank"), F.col("log_index").alias("log_index"))
-    best = out.groupBy(*WALLET_TX).agg(F.max_by(F.struct("log_index", "ref_code", "kind"), order).alias("best"))
-    return best.select(*WALLET_TX, "best.*")
+    marked = out.withColumn("signal", signal(F.col("kind"), F.col("log_index")))
+    best = marked.groupBy(*WALLET_TX).agg(F.max("signal").alias("signal"), F.max_by("ref_code", "signal").alias("ref_code"))
+    kind = F.lit(None).cast("string")
+    for name, r in RANK.items():
+        kind = F.when(F.shiftright("signal", _INDEX_BITS) == r, F.lit(name)).otherwise(kind)
+    index = F.col("signal") - F.shiftleft(F.shiftright("signal", _INDEX_BITS), _INDEX_BITS)
+    return best.select(*WALLET_TX, index.alias("log_index"), "ref_code", kind.alias("kind"))
 
 
 def attribution(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tideledger.functions.codec import scaled
 from tideledger.functions.dates import day_of
-from tideledger.operators.attribution import RANK, WALLET_TX, flag_deliveries, wallet_sides
+from tideledger.operators.attribution import WALLET_TX, flag_deliveries, signal, wallet_sides
 
 LEG_COLUMNS = ["blockchain", "contract_address", "symbol", "user_addr", "block", "log_index",
                "leg_seq", "ts", "amount_change", "ref_code"]
@@ -75,28 +75,27 @@ def transaction_legs(
         flagged = kept.withColumn("delivery_code", F.lit(None).cast("bigint"))
     else:
         flagged = flag_deliveries(kept, programs)
-    sides = wallet_sides(flagged, F.col("symbol"), F.col("decimals"), F.col("delivery_code"))
-    rows = sides.select(
-        *WALLET_TX, "symbol", "decimals", "block_number", "log_index", "block_time", "delta",
+    rows = wallet_sides(flagged, F.col("delivery_code")).select(
+        *WALLET_TX, "block_number", "log_index", "block_time", "delta",
         F.when(F.col("leg_seq") == 0, F.col("delivery_code")).alias("delivery_code"),
     )
-    rank = F.create_map(*[F.lit(x) for pair in RANK.items() for x in pair])[F.col("kind")]
     for m in codes:
         rows = rows.unionByName(
-            m.select(*WALLET_TX, F.struct(rank.alias("rank"), F.col("log_index").alias("at")).alias("signal"),
+            m.select(*WALLET_TX, signal(F.col("kind"), F.col("log_index")).alias("signal"),
                      F.col("ref_code").cast("bigint").alias("ref_code")),
             allowMissingColumns=True,
         )
-    named = F.max_by("ref_code", "signal") if codes else F.lit(None).cast("bigint")
+    named = F.max_by("ref_code", "signal") if codes else F.max(F.lit(None).cast("bigint"))
     delivered = F.max_by("delivery_code", F.when(F.col("delivery_code").isNotNull(), F.col("log_index")))
     merged = rows.groupBy(*WALLET_TX).agg(
-        F.max("symbol").alias("symbol"), F.max("decimals").alias("decimals"),
         F.max("block_number").alias("block"), F.max("log_index").alias("log_index"),
         F.max("block_time").alias("ts"), F.sum("delta").alias("net"),
         named.alias("named_code"), delivered.alias("delivery_code"),
     )
     code = F.coalesce(F.col("named_code"), F.when(F.col("net") > 0, F.col("delivery_code")))
-    return merged.filter(F.col("block").isNotNull()).select(
+    # Token facts come back from the small registry, so they are never shuffled.
+    facts = targets.select("blockchain", "contract_address", "symbol", "decimals")
+    return merged.filter(F.col("block").isNotNull()).join(facts, ["blockchain", "contract_address"]).select(
         "blockchain", "contract_address", "symbol", "user_addr", "block", "log_index",
         F.lit(0).alias("leg_seq"), "ts", scaled(F.col("net"), F.col("decimals")).alias("amount_change"),
         code.cast("bigint").alias("ref_code"),

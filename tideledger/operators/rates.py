@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tideledger.functions.dates import day_of
+from tideledger.session import constant_frame
 from tideledger.functions.rates import annualised_daily_rate, per_second_to_apy
 
 # Fixed values: (reward_code, description, apy, first day, last day inclusive).
@@ -45,17 +46,17 @@ SPREADS: dict[tuple[str, bool], float] = {
 }
 
 SCHEDULE_SCHEMA = T.StructType([
-    T.StructField("reward_code", T.StringType(), False),
-    T.StructField("reward_description", T.StringType(), False),
-    T.StructField("apy", T.DoubleType(), False),
-    T.StructField("start_dt", T.DateType(), False),
-    T.StructField("end_dt", T.DateType(), False),
+    T.StructField("reward_code", T.StringType()),
+    T.StructField("reward_description", T.StringType()),
+    T.StructField("apy", T.DoubleType()),
+    T.StructField("start_dt", T.DateType()),
+    T.StructField("end_dt", T.DateType()),
 ])
 
 
 def schedule(spark: SparkSession, rows: Iterable[Sequence] = REWARD_SCHEDULE) -> DataFrame:
     """Fixed tiers with their annualised daily rate."""
-    tiers = spark.createDataFrame(list(rows), SCHEDULE_SCHEMA)
+    tiers = constant_frame(spark, rows, SCHEDULE_SCHEMA)
     return tiers.withColumn("reward_per", annualised_daily_rate(F.col("apy")))
 
 

@@ -137,7 +137,6 @@ def balance_intervals(
         "final_balance": F.sum("net").over(by_wallet),
     })
 
-    one_day = F.expr("interval 1 day")
     zero = F.lit(0).cast("bigint")
     day = day_of(F.col("first_ts"))
     prev_day = day_of(F.col("prev_ts"))
@@ -167,20 +166,19 @@ def balance_intervals(
     has_head, later = F.col("has_head"), F.col("has_head") & F.col("prev_ts").isNotNull() & (prev_day < day)
     is_final = F.col("has_tail") & (F.col("slot") == F.col("last_slot"))
     holds = F.lit(True) if fill == "always" else final_balance > F.lit(DUST)
-    pieces = F.filter(
-        F.array(
-            inside,
-            F.when(has_head, head),
-            F.when(later, rest),
-            F.when(later & (F.date_add(prev_day, 1) < day), gap),
-            F.when(is_final, final),
-            F.when(is_final & holds & (last_day < through), tail),
-        ),
-        lambda p: p.isNotNull() & ((p["dur"] > 0) | (p["day_type"] == FILL_DAY)),
+    pieces = F.array(
+        inside,
+        F.when(has_head, head),
+        F.when(later, rest),
+        F.when(later & (F.date_add(prev_day, 1) < day), gap),
+        F.when(is_final, final),
+        F.when(is_final & holds & (last_day < through), tail),
     )
-    # Still partitioned by wallet: the final grouping needs no further shuffle.
+    # Filtered after the explode, not by a lambda inside it, so it stays in generated
+    # code. Still partitioned by wallet: the final grouping needs no further shuffle.
     return (
         state.select(*keys, F.explode(pieces).alias("p"))
+        .filter(F.col("p").isNotNull() & ((F.col("p.dur") > 0) | (F.col("p.day_type") == FILL_DAY)))
         .select(*keys, "p.*")
         .groupBy(*keys, "day_type", "start_dt", "end_dt", "ref_code")
         .agg(

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tideledger.functions.codec import DEPOSIT_TOPIC, WITHDRAW_TOPIC
 from tideledger.operators import attribution as at
@@ -16,12 +16,15 @@ from tideledger.operators import monthly as mo
 from tideledger.operators import rates as rt
 from tideledger.operators import rollup as ru
 from tideledger.operators.twa import balance_intervals, to_daily
+from tideledger.session import constant_frame
 from tideledger.sources import logs as lo
 from tideledger.sources.registry import (
     FULL_RATIO_TOKENS, LAST_SETTLED_DAY, SETTLED_END, SHARE_RATE_SERIES, SOURCES, VAULTS, SourceSpec,
     programs_frame, targets_frame,
 )
 
+_ddl = T.StructType.fromDDL
+
 
 @dataclass(frozen=True)
 class Family:
@@ -81,15 +84,15 @@ def share_series(logs: DataFrame, name: str, end: date) -> DataFrame:
     vault, start = SHARE_RATE_SERIES[name]
     flows = lo.vault_flows(logs.filter((F.col("blockchain") == "ethereum") & (F.col("address") == vault)
                                        & F.col("topic0").isin(DEPOSIT_TOPIC, WITHDRAW_TOPIC)))
-    starts = logs.sparkSession.createDataFrame([("ethereum", vault, start)], "blockchain string, contract_address string, start_dt date")
+    starts = constant_frame(logs.sparkSession, [("ethereum", vault, start)], _ddl("blockchain string, contract_address string, start_dt date"))
     return cv.conversion_series(flows, starts, end).select("dt", "rate")
 
 
 def vault_series(logs: DataFrame, end: date) -> DataFrame:
     """Conversion series of every vault (blockchain, token, dt, rate)."""
-    starts = logs.sparkSession.createDataFrame(
-        [(c, v, s, d) for c, s, v, _u, _n, d in VAULTS],
-        "blockchain string, contract_address string, token string, start_dt date")
+    starts = constant_frame(
+        logs.sparkSession, [(c, v, s, d) for c, s, v, _u, _n, d in VAULTS],
+        _ddl("blockchain string, contract_address string, token string, start_dt date"))
     flows = lo.vault_flows(logs.filter(F.col("address").isin(*{v for _c, _s, v, *_ in VAULTS})))
     return cv.conversion_series(flows, starts, end).select("blockchain", "token", "dt", "rate")
 
@@ -97,11 +100,12 @@ def vault_series(logs: DataFrame, end: date) -> DataFrame:
 def idle_holdings(logs: DataFrame, end: date) -> DataFrame:
     """Daily underlying held by vaults that use the measured ratio."""
     measured = [v for v in VAULTS if v[3] and v[1] not in FULL_RATIO_TOKENS]
-    holders = logs.sparkSession.createDataFrame(
-        [(c, u, s, n, v, None) for c, s, v, u, n, _d in measured],
-        "blockchain string, contract_address string, symbol string, decimals int, holder string, holder_code bigint")
-    starts = logs.sparkSession.createDataFrame(
-        [(c, u, d) for c, _s, _v, u, _n, d in measured], "blockchain string, contract_address string, start_dt date")
+    holders = constant_frame(
+        logs.sparkSession, [(c, u, s, n, v, None) for c, s, v, u, n, _d in measured],
+        _ddl("blockchain string, contract_address string, symbol string, decimals int, holder string, holder_code bigint"))
+    starts = constant_frame(
+        logs.sparkSession, [(c, u, d) for c, _s, _v, u, _n, d in measured],
+        _ddl("blockchain string, contract_address string, start_dt date"))
     moves = lo.transfers(logs.filter(F.col("address").isin(*[v[3] for v in measured])))
     opened = moves.join(starts, ["blockchain", "contract_address"]).filter(
         lg.in_window(F.col("block_time"), F.col("start_dt"), lg.end_second(end + timedelta(days=1))))
@@ -157,4 +161,4 @@ def plan_frame(spark: SparkSession, families: Sequence[str] = tuple(FAMILIES)) -
         (name, f"{source}_{t.blockchain}_{t.symbol}")
         for name in families for source in FAMILIES[name].sources for t in SOURCES[source].targets
     ]
-    return spark.createDataFrame(rows, "source string, target string")
+    return constant_frame(spark, rows, _ddl("source string, target string"))

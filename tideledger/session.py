@@ -3,8 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+_ARROW = {
+    T.StringType(): pa.string(), T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(),
+    T.BooleanType(): pa.bool_(), T.DateType(): pa.date32(),
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -20,6 +27,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def constant_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
+    """A small constant table.
+
+    Built through Arrow it is a local relation whose size the optimizer knows, so
+    joins with it are broadcast because it is small; a list of rows would be an
+    RDD of unknown size and shuffle the other side.
+    """
+    columns = list(zip(*rows)) or [()] * len(schema)
+    arrays = [pa.array(list(c), _ARROW[f.dataType]) for c, f in zip(columns, schema)]
+    return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
+
+
 def local_session(cpus: int = 8, memory: str = "8g", app: str = "tideledger") -> SparkSession:
     """A local session for tests and the bench."""
     spark = (

@@ -12,6 +12,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from tideledger.session import constant_frame
+
 # Settled scan window: events on or after SETTLED_END are out, daily series
 # reach LAST_SETTLED_DAY exactly.
 SETTLED_END = date(2026, 8, 1)
@@ -148,20 +150,20 @@ SHARE_RATE_SERIES: dict[str, tuple[str, date]] = {
 }
 
 TARGET_SCHEMA = T.StructType([
-    T.StructField("source", T.StringType(), False),
-    T.StructField("kind", T.StringType(), False),
-    T.StructField("blockchain", T.StringType(), False),
-    T.StructField("symbol", T.StringType(), False),
-    T.StructField("contract_address", T.StringType(), False),
-    T.StructField("decimals", T.IntegerType(), False),
-    T.StructField("start_date", T.DateType(), False),
+    T.StructField("source", T.StringType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("blockchain", T.StringType()),
+    T.StructField("symbol", T.StringType()),
+    T.StructField("contract_address", T.StringType()),
+    T.StructField("decimals", T.IntegerType()),
+    T.StructField("start_date", T.DateType()),
     T.StructField("swap_contract", T.StringType()),
     T.StructField("holder", T.StringType()),
     T.StructField("holder_code", T.LongType()),
 ])
 PROGRAM_SCHEMA = T.StructType([
-    T.StructField("program_contract", T.StringType(), False),
-    T.StructField("program_code", T.LongType(), False),
+    T.StructField("program_contract", T.StringType()),
+    T.StructField("program_code", T.LongType()),
     T.StructField("program_start", T.DateType()),
     T.StructField("program_end", T.DateType()),
 ])
@@ -173,13 +175,13 @@ def targets_frame(spark: SparkSession, targets: Iterable[Target] = TARGETS) -> D
          t.swap_contract, t.holder, t.ref_code)
         for t in targets
     ]
-    return spark.createDataFrame(rows, TARGET_SCHEMA)
+    return constant_frame(spark, rows, TARGET_SCHEMA)
 
 
 def programs_frame(spark: SparkSession, programs: Iterable[DeliveryProgram]) -> DataFrame:
     """One row per program contract; a later program takes a shared contract."""
     by_contract = {c.lower(): (c.lower(), p.ref_code, p.start, p.end) for p in programs for c in p.contracts}
-    return spark.createDataFrame(list(by_contract.values()), PROGRAM_SCHEMA)
+    return constant_frame(spark, by_contract.values(), PROGRAM_SCHEMA)
 
 
 @dataclass(frozen=True)
