@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideledger.catalog.base import FULL_TWA, LEDGER, LEDGER_MONTHS, RATES, REWARD_CODE, Ctx, day, query, with_
-from tideledger.catalog.revenue import LEDGER_REWARDS, MONTHLY_SQL, ledger_monthly
+from tideledger.catalog.base import EV, FULL_TWA, LEDGER, LEDGER_MONTHS, RATES, REWARD_CODE, TR, Ctx, day, query, with_
 from tideledger.catalog.scalars import GROUP_SQL
 from tideledger.catalog.studies import FILL, full
 from tideledger.functions.dates import day_of
@@ -248,8 +247,7 @@ def payment_lines(c: Ctx):
     paid = m.filter(label.between("2026-02", "2026-06") & F.col("ref_code").isin(1, 2, 3)).groupBy("ref_code", label.alias("month")).agg(
         (F.floor(F.sum("dr_usd") / F.lit(100.0)).cast("double") * F.lit(100.0)).alias("paid_usd"))
     codes = c.spark.sql("select * from values (1L,'one'), (2L,'two'), (3L,'three'), (99L,'memo') as t(ref_code, partner)")
-    months = c.spark.createDataFrame([(x,) for x in _YEAR], "month string")
-    return rc.reconcile_payments(m, paid, codes, months)
+    return rc.reconcile_payments(m, paid, codes, _YEAR)
 
 
 @query("d31_reconcile_payments", with_(MONTHLY, PAID) + "SELECT * FROM lines")
@@ -300,9 +298,6 @@ def d35(c: Ctx):
     return rc.month_diff(per("chain0"), per("chain1"), "2026-03", ["dt", "token"])
 
 
-from tideledger.catalog.base import EV, TR  # noqa: E402
-
-
 @query("d32_verify_payments", with_(EV, TR) + """
 SELECT p.tx_hash, p.label, t.contract_address, t.block_time, t.from_addr, t.to_addr, t.amount, n.s_name AS recipient_label, t.from_addr IS NOT NULL AS found
 FROM (SELECT tx_hash, 'large' AS label FROM ev WHERE cents > 15000 UNION ALL SELECT 'missing' || s_suppkey, 'never sent' FROM supplier) p

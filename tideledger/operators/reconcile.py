@@ -132,8 +132,7 @@ def quality_checks(
     out = _check("venue set", F.when(n + o == 0, F.lit("OK")).otherwise(F.lit("DIFFERS")),
                  F.concat(F.lit("only new="), n.cast("string"), F.lit(" only old="), o.cast("string")), venues)
 
-    cover = measured.agg(F.max("month").alias("last_month")).withColumn("_one", F.lit(1))
-    dated = new.withColumn("_one", F.lit(1)).join(cover, "_one").drop("_one")
+    dated = new.withColumn("last_month", measured.agg(F.max("month")).scalar())
     covered = F.col("month") <= F.col("last_month")
     got = dated.filter(covered & F.col("ref_code").isin(*aggregator_codes)).groupBy("ref_code").agg(F.sum("dr_usd").alias("got"))
     want = measured.filter(F.col("ref_code").isin(*aggregator_codes)).groupBy("ref_code").agg(F.sum("delta").alias("want"))
@@ -169,14 +168,13 @@ def rate_basis_check(rates: DataFrame, expected: DataFrame, tol: float = 1e-15)
 
 # --- payments -----------------------------------------------------------------
 
-def reconcile_payments(monthly: DataFrame, paid: DataFrame, codes: DataFrame, months: DataFrame) -> DataFrame:
+def reconcile_payments(monthly: DataFrame, paid: DataFrame, codes: DataFrame, months: Sequence[str]) -> DataFrame:
     """Calculated against paid for every listed code and month.
 
-    ``codes``: ref_code, partner; ``months``: month; ``paid``: ref_code, month,
-    paid_usd (null = no payment line). Months come as ``yyyy-MM``.
+    ``codes``: ref_code, partner; ``months``: ``yyyy-MM`` labels; ``paid``: ref_code,
+    month, paid_usd (null = no payment line).
     """
-    listed = months.agg(F.array_sort(F.collect_set("month")).alias("ms")).withColumn("_one", F.lit(1))
-    grid = codes.withColumn("_one", F.lit(1)).join(listed, "_one").select("ref_code", "partner", F.explode("ms").alias("month"))
+    grid = codes.select("ref_code", "partner", F.explode(F.array(*[F.lit(m) for m in months])).alias("month"))
     calc = monthly.groupBy("ref_code", month_label(F.col("month")).alias("month")).agg(F.sum("dr_usd").alias("calc"))
     joined = grid.join(calc, ["ref_code", "month"], "left").join(paid, ["ref_code", "month"], "left")
     rounded = F.round(F.coalesce("calc", F.lit(0.0)), 2)
@@ -191,9 +189,10 @@ def payment_summary(lines: DataFrame) -> DataFrame:
 
     Codes without any payment line are memo rows with null payments.
     """
-    window = lines.filter(F.col("paid_dr_usd").isNotNull()).agg(
-        F.min("month").alias("first_paid"), F.max("month").alias("last_paid")).withColumn("_one", F.lit(1))
-    dated = lines.withColumn("_one", F.lit(1)).join(window, "_one")
+    with_payment = lines.filter(F.col("paid_dr_usd").isNotNull())
+    dated = lines.withColumns({
+        "first_paid": with_payment.agg(F.min("month")).scalar(), "last_paid": with_payment.agg(F.max("month")).scalar(),
+    })
     inside = F.col("month").between(F.col("first_paid"), F.col("last_paid"))
     calc = F.col("calculated_dr_usd")
     out = dated.groupBy("ref_code", "partner").agg(

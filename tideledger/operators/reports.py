@@ -240,10 +240,9 @@ def program_month_totals(daily: DataFrame, digits: int = 4) -> DataFrame:
     """
     per_wallet = daily.groupBy(F.trunc("dt", "MM").alias("month"), "blockchain", "user_addr").agg(
         F.sum("twa_usds").alias("s"), F.count("*").alias("n"), F.sum("dr_usd").alias("d"))
-    per_wallet.createOrReplaceTempView("_program_wallet_months")
-    return daily.sparkSession.sql(f"""
-        SELECT month, coalesce(blockchain, 'ALL') AS blockchain, count(DISTINCT user_addr) AS active_wallets,
-               round(sum(s) / sum(n), {digits}) AS avg_daily_twa_usds, round(sum(s), {digits}) AS sum_twa_usds,
-               round(sum(d), {digits}) AS dr_usd
-        FROM _program_wallet_months
-        GROUP BY GROUPING SETS ((month, blockchain), (month))""")
+    s, n = F.sum("s"), F.sum("n")
+    return per_wallet.groupingSets([["month", "blockchain"], ["month"]], "month", "blockchain").agg(
+        F.countDistinct("user_addr").alias("active_wallets"),
+        F.round(s / n, digits).alias("avg_daily_twa_usds"), F.round(s, digits).alias("sum_twa_usds"),
+        F.round(F.sum("d"), digits).alias("dr_usd"),
+    ).withColumn("blockchain", F.coalesce("blockchain", F.lit("ALL")))

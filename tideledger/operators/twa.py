@@ -99,11 +99,11 @@ def _slot_sums(legs: DataFrame, keys: list[str], slot_seconds: int) -> DataFrame
     )
 
 
-def _piece(kind: str, start: Column, end: Column, code: Column, dur: Column, prod: Column,
-           balance: Column, ends_day: Column) -> Column:
+def _piece(is_fill: bool, start: str, end: str, code: str, dur: str, prod: Column, balance: Column, ends_day: bool) -> Column:
     return F.struct(
-        F.lit(kind).alias("day_type"), start.alias("start_dt"), end.alias("end_dt"), code.alias("ref_code"),
-        dur.alias("dur"), prod.alias("prod"), balance.alias("balance"), ends_day.alias("ends_day"),
+        F.lit(is_fill).alias("is_fill"), F.col(start).alias("start_dt"), F.col(end).alias("end_dt"),
+        F.col(code).alias("ref_code"), F.col(dur).alias("dur"), prod.alias("prod"), balance.alias("balance"),
+        F.lit(ends_day).alias("ends_day"),
     )
 
 
@@ -137,50 +137,44 @@ def balance_intervals(
         "final_balance": F.sum("net").over(by_wallet),
     })
 
-    zero = F.lit(0).cast("bigint")
-    day = day_of(F.col("first_ts"))
-    prev_day = day_of(F.col("prev_ts"))
-    open_balance, open_code = F.col("open_balance"), F.col("open_code")
-    no_balance = open_balance * 0
-    code = F.coalesce(F.col("code"), open_code)
-
-    inside = _piece(TX_DAY, day, day, code, F.col("dur"), F.col("prod") + open_balance * F.col("dur"),
-                    no_balance, F.lit(False))
-    # State carried into this slot, from the last leg before it.
-    new_day = F.col("prev_ts").isNull() | (prev_day < day)
-    head_from = F.when(new_day, midnight(day)).otherwise(F.col("prev_ts"))
-    head_dur = F.col("first_ts") - head_from
-    head = _piece(TX_DAY, day, day, open_code, head_dur, open_balance * head_dur, no_balance, F.lit(False))
-    rest_dur = next_midnight(prev_day) - F.col("prev_ts")
-    rest = _piece(TX_DAY, prev_day, prev_day, open_code, rest_dur, open_balance * rest_dur, no_balance, F.lit(True))
-    gap = _piece(FILL_DAY, F.date_add(prev_day, 1), F.date_sub(day, 1), open_code, zero, no_balance,
-                 open_balance, F.lit(True))
-    # State after the wallet's last leg.
-    final_balance = F.col("final_balance")
-    last_day = day_of(F.col("last_ts"))
-    final_dur = next_midnight(last_day) - F.col("last_ts")
-    final = _piece(TX_DAY, last_day, last_day, code, final_dur, final_balance * final_dur, no_balance, F.lit(True))
-    through = F.lit(fill_through).cast("date")
-    tail = _piece(FILL_DAY, F.date_add(last_day, 1), through, code, zero, no_balance, final_balance, F.lit(True))
-
-    has_head, later = F.col("has_head"), F.col("has_head") & F.col("prev_ts").isNotNull() & (prev_day < day)
+    day, prev_day, last_day = day_of(F.col("first_ts")), day_of(F.col("prev_ts")), day_of(F.col("last_ts"))
+    none = F.lit(0).cast("bigint")
+    # A slot's first row carries the state since the leg before it: the rest of that
+    # leg's day, the days between, and this day up to the slot's first leg.
+    later = F.col("has_head") & F.col("prev_ts").isNotNull() & (prev_day < day)
+    head_from = F.when(F.col("prev_ts").isNull() | (prev_day < day), midnight(day)).otherwise(F.col("prev_ts"))
+    # The wallet's last row carries the state after its last leg.
     is_final = F.col("has_tail") & (F.col("slot") == F.col("last_slot"))
-    holds = F.lit(True) if fill == "always" else final_balance > F.lit(DUST)
+    holds = F.lit(True) if fill == "always" else F.col("final_balance") > F.lit(DUST)
+    # Plain columns first: the explode below then compiles to small methods.
+    parts = state.select(
+        *keys, "open_code", "open_balance", "final_balance", "dur", none.alias("none"),
+        F.coalesce(F.col("code"), F.col("open_code")).alias("code"),
+        day.alias("day"), prev_day.alias("prev_day"), last_day.alias("last_day"),
+        (F.col("prod") + F.col("open_balance") * F.col("dur")).alias("inside"),
+        F.when(F.col("has_head"), F.col("first_ts") - head_from).otherwise(none).alias("head_dur"),
+        F.when(later, next_midnight(prev_day) - F.col("prev_ts")).otherwise(none).alias("rest_dur"),
+        F.when(is_final, next_midnight(last_day) - F.col("last_ts")).otherwise(none).alias("final_dur"),
+        F.date_add(prev_day, 1).alias("gap_start"), F.when(later, F.date_sub(day, 1)).alias("gap_end"),
+        F.date_add(last_day, 1).alias("tail_start"),
+        F.when(is_final & holds, F.lit(fill_through).cast("date")).alias("tail_end"),
+    )
+    opened, final = F.col("open_balance"), F.col("final_balance")
+    nothing = opened * 0
     pieces = F.array(
-        inside,
-        F.when(has_head, head),
-        F.when(later, rest),
-        F.when(later & (F.date_add(prev_day, 1) < day), gap),
-        F.when(is_final, final),
-        F.when(is_final & holds & (last_day < through), tail),
+        _piece(False, "day", "day", "code", "dur", F.col("inside"), nothing, False),
+        _piece(False, "day", "day", "open_code", "head_dur", opened * F.col("head_dur"), nothing, False),
+        _piece(False, "prev_day", "prev_day", "open_code", "rest_dur", opened * F.col("rest_dur"), nothing, True),
+        _piece(True, "gap_start", "gap_end", "open_code", "none", nothing, opened, True),
+        _piece(False, "last_day", "last_day", "code", "final_dur", final * F.col("final_dur"), nothing, True),
+        _piece(True, "tail_start", "tail_end", "code", "none", nothing, final, True),
     )
-    # Filtered after the explode, not by a lambda inside it, so it stays in generated
-    # code. Still partitioned by wallet: the final grouping needs no further shuffle.
-    return (
-        state.select(*keys, F.explode(pieces).alias("p"))
-        .filter(F.col("p").isNotNull() & ((F.col("p.dur") > 0) | (F.col("p.day_type") == FILL_DAY)))
+    # Still partitioned by wallet: the final grouping needs no further shuffle.
+    merged = (
+        parts.select(*keys, F.explode(pieces).alias("p"))
+        .filter(F.when(F.col("p.is_fill"), F.col("p.start_dt") <= F.col("p.end_dt")).otherwise(F.col("p.dur") > 0))
         .select(*keys, "p.*")
-        .groupBy(*keys, "day_type", "start_dt", "end_dt", "ref_code")
+        .groupBy(*keys, "is_fill", "start_dt", "end_dt", "ref_code")
         .agg(
             F.sum("dur").alias("dur"),
             F.sum("prod").alias("prod"),
@@ -188,6 +182,8 @@ def balance_intervals(
             F.max("ends_day").alias("ends_day"),
         )
     )
+    day_type = F.when(F.col("is_fill"), F.lit(FILL_DAY)).otherwise(F.lit(TX_DAY))
+    return merged.select(*keys, day_type.alias("day_type"), "start_dt", "end_dt", "ref_code", "dur", "prod", "balance", "ends_day")
 
 
 def daily_average(intervals: DataFrame) -> Column:
