@@ -7,14 +7,13 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tideledger.catalog.base import (
-    ATTRIBUTION, EV, EVENT_FILL, FULL_LEGS, FULL_TWA, LEDGER_FILL, LEDGER_TWA, PLAIN_LEGS, PLAIN_TWA, RF, SIDES, TARGETS,
-    TR, TWA_COLUMNS, Ctx, _day, day, legs_view, query, twa_views, with_,
+    EV, EVENT_FILL, FULL_LEGS, FULL_TWA, LEDGER_TWA, PLAIN_LEGS, PLAIN_TWA, RF, SIDES, TARGETS,
+    TR, TWA_COLUMNS, Ctx, _day, day, query, twa_views, with_,
 )
 from tideledger.catalog.events import HOLDERS_SQL, MOVES, STUDIED, _BASE41, holders, studied
-from tideledger.functions import dates
-from tideledger.operators import attribution as at, legs as lg, monthly as mo, rates as rt, reports as rp
+from tideledger.operators import attribution as at, legs as lg, monthly as mo, reports as rp
 from tideledger.operators.twa import (
-    FILL_DAY, WALLET, balance_intervals, daily_average, daily_snapshots, daily_twa, expand_days, positive,
+    FILL_DAY, balance_intervals, daily_snapshots, daily_twa, expand_days, positive,
     single_code_daily, to_daily, windowed_daily,
 )
 from tideledger.sources.driver_tables import EXCLUDED

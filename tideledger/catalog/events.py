@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tideledger.catalog.base import (
     ATTRIBUTION, EV, FULL_LEGS, NET, PLAIN_LEGS, REAL, RF, SIDES, ST, SW, TARGETS, TR, VF, ZERO, Ctx, day,
-    legs_view, query, with_,
+    query, with_,
 )
 from tideledger.functions import codec
 from tideledger.operators import attribution as at, legs as lg

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from tideledger.catalog.base import (
-    EV, LEDGER, NET, PLAIN_LEGS, RATES, REAL, REWARD_CODE, RF, SIDES, ST, SW, TARGETS, TR, VF, Ctx, day, query, with_,
+    EV, LEDGER, NET, PLAIN_LEGS, RATES, REAL, REWARD_CODE, RF, SIDES, SW, TARGETS, TR, VF, Ctx, day, query, with_,
 )
 from tideledger.functions import dates
 from tideledger.functions.labels import code_order
-from tideledger.operators import attribution as at, conversion as cv, legs as lg, monthly as mo, rates as rt, reconcile as rc
+from tideledger.operators import attribution as at, conversion as cv, monthly as mo, rates as rt, reconcile as rc
 from tideledger.operators import reports as rp, rollup as ru
 from tideledger.operators.twa import running_state
 from tideledger.sources.registry import REROUTED_CODES

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideledger.catalog.base import (
-    ATTRIBUTION, EV, EVENT_FILL, FULL_TWA, PLAIN_TWA, RATES, RF, SIDES, SW, TR, Ctx, _day, day, query, twa_views, with_,
+    ATTRIBUTION, EV, EVENT_FILL, FULL_TWA, SW, Ctx, _day, query, twa_views, with_,
 )
-from tideledger.catalog.balances import SINGLE, _K3
-from tideledger.catalog.events import CODE_NET, studied
+from tideledger.catalog.balances import SINGLE
+from tideledger.catalog.events import studied
 from tideledger.catalog.relational import TRADES, trades
-from tideledger.operators import attribution as at, monthly as mo, rates as rt, reconcile as rc, reports as rp
-from tideledger.operators.twa import balance_intervals, daily_twa, single_code_daily, to_daily
+from tideledger.operators import attribution as at, monthly as mo, reconcile as rc, reports as rp
+from tideledger.operators.twa import balance_intervals, single_code_daily, to_daily
 
 FILL = _day(EVENT_FILL)
 DAY_RATE = "1.0::DOUBLE + CAST(date_part('day', dt) AS DOUBLE) / 1000.0"
