@@ -467,8 +467,11 @@ def u4(c: Ctx):
 
 
 @query("g1_calendar", with_(FLOWS) + f"""
-SELECT user_addr, CAST(unnest(generate_series(CAST(min({day('ts')}) AS TIMESTAMP), CAST(max({day('ts')}) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS dt FROM legs GROUP BY 1""")
+SELECT dt, count(*) AS wallets FROM (
+  SELECT user_addr, CAST(unnest(generate_series(CAST(min({day('ts')}) AS TIMESTAMP), CAST(max({day('ts')}) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS dt FROM legs GROUP BY 1)
+GROUP BY 1""")
 def g1(c: Ctx):
     d = dates.day_of(F.col("ts"))
     spans = c.ledger.groupBy("user_addr").agg(F.min(d).alias("a"), F.max(d).alias("b"))
-    return spans.select("user_addr", F.explode(dates.days_between(F.col("a"), F.col("b"))).alias("dt"))
+    days = spans.select("user_addr", F.explode(dates.days_between(F.col("a"), F.col("b"))).alias("dt"))
+    return days.groupBy("dt").agg(F.count("*").alias("wallets"))
