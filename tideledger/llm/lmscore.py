@@ -14,11 +14,10 @@ averaged in two levels. What is gathered grows with the number of partitions, th
 
 from __future__ import annotations
 
-import re
+import zlib
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from . import shipped
@@ -28,11 +27,11 @@ shipped(__name__)
 
 VOCABULARY, GROUP = 4096, 64
 WINDOW, EMBED, HIDDEN = 2, 8, 16
-STRIDE = 8
+STRIDE = 16
 WARM = 512           # texts of the first model: the documented bound of its sample
-BATCH = 8192
-RATE = 0.5
-WORD = re.compile(r"\w+|[^\w\s]")
+BATCH = 2048
+RATE = 0.2
+LEAP, BOUND = 0.5, 3.5  # most a weight moves in a step; most it can be: 16 inputs of at most 1 stay below exp(60)
 REMEMBERED = 500_000
 SHAPES = {"embed": (VOCABULARY + 1, EMBED), "mix": (2 * WINDOW * EMBED, HIDDEN), "bias": (1, HIDDEN),
           "group": (HIDDEN, VOCABULARY // GROUP), "group_bias": (1, VOCABULARY // GROUP),
@@ -57,22 +56,19 @@ def views(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-class Slots:
-    """Hash slots of words; a bounded memory of words already seen."""
+class Slots(dict):
+    """Hash slots of the words between white space, in lower case; a bounded memory of words already seen."""
 
-    def __init__(self):
-        self.known: dict[str, int] = {}
+    def __missing__(self, word: str) -> int:
+        slot = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % VOCABULARY
+        return slot
 
     def __call__(self, text: str | None) -> np.ndarray:
-        known, out = self.known, []
-        for w in WORD.findall((text or "").lower()):
-            slot = known.get(w)
-            if slot is None:
-                slot = known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 1) % VOCABULARY
-            out.append(slot)
-        if len(known) > REMEMBERED:
-            known.clear()
-        return np.array(out, np.int32)
+        words = (text or "").lower().split()
+        out = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        if len(self) > REMEMBERED:
+            self.clear()
+        return out
 
 
 def windows(slots: np.ndarray) -> np.ndarray:
@@ -81,58 +77,70 @@ def windows(slots: np.ndarray) -> np.ndarray:
     return np.stack([padded[WINDOW + o:len(slots) + WINDOW + o] for o in range(-WINDOW, WINDOW + 1) if o], axis=1)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 def _hidden(w: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x = w["embed"][context].reshape(len(context), -1)
     return x, np.tanh(x @ w["mix"] + w["bias"])
 
 
-def _by_group(target: np.ndarray):
-    """(group, positions) of the targets, one group after the other."""
-    order = np.argsort(target // GROUP, kind="stable")
-    edges = np.searchsorted(target[order] // GROUP, np.arange(VOCABULARY // GROUP + 1))
-    return [(g, order[edges[g]:edges[g + 1]]) for g in range(VOCABULARY // GROUP) if edges[g] < edges[g + 1]]
+def _groups(target: np.ndarray):
+    """Order of the targets by group, and (group, slice of that order) of each group present."""
+    order = np.argsort(target, kind="stable")
+    edges = np.searchsorted(target[order], np.arange(0, VOCABULARY + 1, GROUP))
+    return order, [(g, slice(a, b)) for g, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+
+
+def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log-softmax of one column per row; weights are bounded, so no exponential overflows."""
+    chosen = logits[np.arange(len(at)), at]
+    return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
 def log_probabilities(w: dict, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-    _, h = _hidden(w, context)
-    out = _log_softmax(h @ w["group"] + w["group_bias"])[np.arange(len(target)), target // GROUP].astype(float)
-    for g, at in _by_group(target):
-        inner = _log_softmax(h[at] @ w["member"][g].reshape(HIDDEN, GROUP) + w["member_bias"][g])
-        out[at] += inner[np.arange(len(at)), target[at] % GROUP]
+    order, groups = _groups(target)
+    target = target[order]
+    _, h = _hidden(w, context[order])
+    made = _picked(h @ w["group"] + w["group_bias"], target // GROUP).astype(float)
+    for g, part in groups:
+        made[part] += _picked(h[part] @ w["member"][g].reshape(HIDDEN, GROUP) + w["member_bias"][g], target[part] % GROUP)
+    out = np.empty_like(made)
+    out[order] = made
     return out
 
 
+def _softmax_error(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    logits[np.arange(len(at)), at] -= 1
+    return logits
+
+
+def _move(weights: np.ndarray, step: np.ndarray) -> None:
+    weights -= np.clip(step, -LEAP, LEAP)
+    np.clip(weights, -BOUND, BOUND, out=weights)
+
+
 def train_batch(w: dict, context: np.ndarray, target: np.ndarray, rate: float = RATE) -> None:
     """One step of gradient descent on a batch, in place."""
+    order, groups = _groups(target)
+    context, target = context[order], target[order]
     n, (x, h) = len(target), _hidden(w, context)
-    g = np.exp(_log_softmax(h @ w["group"] + w["group_bias"]))
-    g[np.arange(n), target // GROUP] -= 1
-    back = g @ w["group"].T
-    steps = []
-    for k, at in _by_group(target):
-        inside = w["member"][k].reshape(HIDDEN, GROUP)
-        m = np.exp(_log_softmax(h[at] @ inside + w["member_bias"][k]))
-        m[np.arange(len(at)), target[at] % GROUP] -= 1
-        back[at] += m @ inside.T
-        steps.append((k, h[at].T @ m, m.sum(axis=0)))
     scale = rate / np.sqrt(n)  # between mean and sum: rare slots move too
-    for k, grad, bias in steps:
-        w["member"][k] -= np.clip(scale * grad.ravel(), -1, 1)
-        w["member_bias"][k] -= np.clip(scale * bias, -1, 1)
+    outer = _softmax_error(h @ w["group"] + w["group_bias"], target // GROUP)
+    back = outer @ w["group"].T
+    for g, part in groups:
+        inside = w["member"][g].reshape(HIDDEN, GROUP)
+        inner = _softmax_error(h[part] @ inside + w["member_bias"][g], target[part] % GROUP)
+        back[part] += inner @ inside.T
+        _move(w["member"][g], scale * (h[part].T @ inner).ravel())
+        _move(w["member_bias"][g], scale * inner.sum(axis=0))
     back *= 1 - h * h
     into = (back @ w["mix"].T).reshape(n * 2 * WINDOW, EMBED)
-    w["group"] -= np.clip(scale * (h.T @ g), -1, 1)
-    w["group_bias"] -= np.clip(scale * g.sum(axis=0), -1, 1)
-    w["mix"] -= np.clip(scale * (x.T @ back), -0.2, 0.2)
-    w["bias"] -= np.clip(scale * back.sum(axis=0), -0.2, 0.2)
-    grad = np.zeros_like(w["embed"])
-    np.add.at(grad, context.ravel(), into)
-    w["embed"] -= np.clip(scale * grad, -0.2, 0.2)
+    _move(w["group"], scale * (h.T @ outer))
+    _move(w["group_bias"], scale * outer.sum(axis=0)[None])
+    _move(w["mix"], scale * (x.T @ back))
+    _move(w["bias"], scale * back.sum(axis=0)[None])
+    at = context.ravel()
+    _move(w["embed"], scale * np.stack([np.bincount(at, into[:, d], VOCABULARY + 1) for d in range(EMBED)], axis=1))
 
 
 class Trainer:
@@ -163,9 +171,16 @@ class Trainer:
 def warm_start(docs: DataFrame) -> np.ndarray:
     """A first model from at most WARM texts, those of the least hash."""
     rows = docs.where("text is not null").select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(WARM)
-    trainer, slots = Trainer(fresh()), Slots()
-    for r in rows.collect():
-        trainer.add(slots(r["text"]))
+    slots, flat = Slots(), fresh()
+    texts = [slots(r["text"]) for r in rows.collect()]
+    # The biases begin at the sample's word frequencies.
+    counts = np.bincount(np.concatenate(texts or [np.zeros(0, np.int32)]), minlength=VOCABULARY).reshape(-1, GROUP) + 0.5
+    w = views(flat)
+    w["group_bias"][0] = np.clip(np.log(counts.sum(axis=1) / counts.sum(axis=1).mean()), -BOUND, BOUND)
+    w["member_bias"][:] = np.clip(np.log(counts / counts.mean(axis=1, keepdims=True)), -BOUND, BOUND)
+    trainer = Trainer(flat)
+    for found in texts:
+        trainer.add(found)
     trainer.flush()
     return trainer.flat
 
