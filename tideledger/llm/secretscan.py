@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import spans as S
-from .common import LOWER, UPPER, stored, text_key
+from .common import LOWER, UPPER, let, stored, text_key
 
 ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\"']?+\x20*+[:=]\x20*+[\"']?+([A-Za-z0-9+/_.=-]++)")
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
@@ -65,43 +65,48 @@ def normal_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
+def _total(values: Column, term) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, x: total + term(x))
+
+
+def _measures(token: Column) -> Column:
+    """encoding, n characters, k letters, and the sums behind the tests; every value is bound once, so long runs cost no more than their length."""
+    body = F.regexp_replace(token, "=+$", "")
+    named = let(body, lambda b: F.struct(b.alias("body"), F.coalesce(
+        *(F.when(b.rlike(test), F.lit(n)) for n, test, _ in ENCODINGS)).alias("encoding")))
+    spelled = let(named, lambda s: F.struct(s["body"].alias("body"), s["encoding"].alias("encoding"), F.coalesce(
+        *(F.when(s["encoding"] == n, F.lit(chars)) for n, _, chars in ENCODINGS)).alias("alphabet")))
+    numbered = let(spelled, lambda s: F.struct(
+        s["encoding"].alias("encoding"), F.length(s["alphabet"]).cast("double").alias("k"),
+        F.transform(F.filter(F.split(s["body"], ""), lambda c: c != ""),
+                    lambda c: (F.call_function("instr", s["alphabet"], c) - 1).cast("double")).alias("x")))
+    centred = let(numbered, lambda s: F.struct(
+        s["encoding"].alias("encoding"), s["k"].alias("k"), s["x"].alias("x"), F.size(s["x"]).cast("double").alias("n"),
+        (_total(s["x"], lambda x: x) / F.size(s["x"])).alias("mean"), ((s["k"] - 1) / 2).alias("middle"),
+        F.slice(s["x"], F.lit(2), F.size(s["x"])).alias("next")))
+    pairs = lambda s, f: F.zip_with(F.slice(s["x"], F.lit(1), F.size(s["next"])), s["next"], f)
+    return let(centred, lambda s: F.struct(
+        s["encoding"].alias("encoding"), s["n"].alias("n"), s["k"].alias("k"),
+        _total(F.sequence(F.lit(0), s["k"].cast("int") - 1), lambda v: F.pow(
+            F.size(F.filter(s["x"], lambda x: x == v)).cast("double"), F.lit(2.0))).alias("squares"),
+        _total(s["x"], lambda x: F.when(x > s["middle"], 1.0).otherwise(0.0)).alias("above"),
+        _total(pairs(s, lambda x, y: (x > s["middle"]) != (y > s["middle"])), lambda c: F.when(c, 1.0).otherwise(0.0)).alias("changes"),
+        _total(s["x"], lambda x: (x - s["mean"]) * (x - s["mean"])).alias("variance"),
+        _total(pairs(s, lambda x, y: (x - s["mean"]) * (y - s["mean"])), lambda c: c).alias("lagged")))
+
+
 def battery(runs: DataFrame) -> DataFrame:
     """``runs`` (token) with encoding, size, chi (standardised chi-squared) and p_uniform."""
-    body = F.regexp_replace("token", "=+$", "")
-    name = F.coalesce(*(F.when(F.col("body").rlike(test), F.lit(n)) for n, test, _ in ENCODINGS))
-    alphabet = F.coalesce(*(F.when(F.col("encoding") == n, F.lit(chars)) for n, _, chars in ENCODINGS))
-    numbers = F.expr(
-        "transform(filter(split(body, ''), c -> c != ''), c -> cast(instr(alphabet, c) - 1 as double))")
-    n, k = F.col("size"), F.col("letters")
-    chi = k / n * F.expr("aggregate(map_values(counts), 0D, (a, c) -> a + c * c)") - n
-    mean = F.expr("aggregate(numbers, 0D, (a, x) -> a + x)") / n
-    middle = (k - 1) / 2
-    above = F.expr("aggregate(numbers, 0D, (a, x) -> a + if(x > middle, 1D, 0D))")
-    changes = F.expr("aggregate(slice(zip_with(numbers, slice(numbers, 2, size), (x, y) -> (x > middle) != (y > middle)), 1, size - 1),"
-                     " 1D, (a, c) -> a + if(c, 1D, 0D))")
-    variance = F.expr("aggregate(numbers, 0D, (a, x) -> a + (x - mean) * (x - mean))")
-    lagged = F.expr("aggregate(zip_with(slice(numbers, 1, size - 1), slice(numbers, 2, size), (x, y) -> (x - mean) * (y - mean)),"
-                    " 0D, (a, c) -> a + c)")
-    runs_mean = 2 * F.col("above") * (n - F.col("above")) / n + 1
+    measured = stored(runs.where(~F.col("token").rlike("^.?=*$")).withColumn("m", _measures(F.col("token"))), "secret-measures")
+    n, k, above = F.col("m.n"), F.col("m.k"), F.col("m.above")
+    chi = (k / n * F.col("m.squares") - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+    runs_mean = 2 * above * (n - above) / n + 1
     runs_var = (runs_mean - 1) * (runs_mean - 2) / (n - 1)
-    return (
-        runs.withColumn("body", body).withColumn("encoding", name).withColumn("alphabet", alphabet)
-        .withColumn("numbers", numbers)
-        .withColumn("size", F.size("numbers")).where("size >= 2")
-        .withColumn("letters", F.length("alphabet"))
-        .withColumn("counts", F.expr(
-            "aggregate(numbers, cast(map() as map<double,double>), (m, x) -> map_concat(map_filter(m, (k, v) -> k != x), "
-            "map(x, coalesce(m[x], 0D) + 1D)))"))
-        .withColumn("chi", (chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n))
-        .withColumn("mean", mean).withColumn("middle", middle)
-        .withColumn("above", above).withColumn("changes", changes).withColumn("variance", variance).withColumn("lagged", lagged)
-        .withColumn("z_runs", F.when(runs_var > 0, (F.col("changes") - runs_mean) / F.sqrt(runs_var)).otherwise(F.lit(9.0)))
-        .withColumn("z_lag", F.when(F.col("variance") > 0, (F.col("lagged") / F.col("variance") + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0)))
-        .withColumn("p_uniform", F.least(F.lit(1.0), 3 * F.least(
-            normal_tail(F.col("chi")), 2 * normal_tail(F.abs("z_runs")), 2 * normal_tail(F.abs("z_lag")))))
-        .drop("body", "alphabet", "numbers", "letters", "counts", "mean", "middle", "above", "changes", "variance", "lagged",
-              "z_runs", "z_lag")
-    )
+    z_runs = F.when(runs_var > 0, (F.col("m.changes") + 1 - runs_mean) / F.sqrt(runs_var)).otherwise(F.lit(9.0))
+    z_lag = F.when(F.col("m.variance") > 0, (F.col("m.lagged") / F.col("m.variance") + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
+    return measured.select(
+        "token", F.col("m.encoding").alias("encoding"), n.cast("int").alias("size"), chi.alias("chi"),
+        F.least(F.lit(1.0), 3 * F.least(normal_tail(chi), 2 * normal_tail(F.abs(z_runs)), 2 * normal_tail(F.abs(z_lag)))).alias("p_uniform"))
 
 
 def _band(size: Column) -> Column:
