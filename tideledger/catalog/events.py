@@ -276,11 +276,13 @@ def d41d(c: Ctx):
 STUDIED = """wallets AS (SELECT DISTINCT contract_address, user_addr FROM code_net WHERE user_addr <> 'router'),
 studied AS (
   SELECT m.blockchain, m.contract_address, m.user_addr, m.block_number AS block, m.log_index, m.leg_seq, m.block_time AS ts,
-    m.delta AS amount_change, coalesce(
-      (SELECT arg_max(r.ref_code, r.log_index) FROM rf r WHERE r.tx_hash = m.tx_hash AND r.contract_address = m.contract_address AND r.owner = m.user_addr),
-      (SELECT arg_max(r.ref_code, r.log_index) FROM rf r WHERE r.tx_hash = m.tx_hash AND r.contract_address = m.contract_address),
+    m.delta AS amount_change, coalesce(own.code, any_owner.code,
       CASE WHEN m.leg_seq = 0 AND m.tx_hash IN (SELECT tx_hash FROM tr WHERE from_addr = 'prog') THEN 1003 END) AS ref_code
-  FROM moves m JOIN wallets w USING (contract_address, user_addr))"""
+  FROM moves m JOIN wallets w USING (contract_address, user_addr)
+  LEFT JOIN (SELECT tx_hash, contract_address, owner, arg_max(ref_code, log_index) AS code FROM rf GROUP BY ALL) own
+    ON own.tx_hash = m.tx_hash AND own.contract_address = m.contract_address AND own.owner = m.user_addr
+  LEFT JOIN (SELECT tx_hash, contract_address, arg_max(ref_code, log_index) AS code FROM rf GROUP BY ALL) any_owner
+    ON any_owner.tx_hash = m.tx_hash AND any_owner.contract_address = m.contract_address)"""
 
 
 def studied(c: Ctx):

@@ -35,9 +35,14 @@ def end_second(end: date, cutoff: date | None = None) -> int:
 
 def _tracked(events: DataFrame, targets: DataFrame, end_ts: int | None) -> DataFrame:
     tracked = targets.select("blockchain", "contract_address", "symbol", "decimals", "start_date")
-    return events.join(tracked, ["blockchain", "contract_address"]).filter(
+    kept = events.join(tracked, ["blockchain", "contract_address"]).filter(
         in_window(F.col("block_time"), F.col("start_date"), end_ts)
     )
+    if "amount_overflow" not in events.columns:
+        return kept
+    # A tracked amount that cannot be decoded exactly stops the job; a null would vanish in sums.
+    told = F.concat(F.lit("value too wide to decode in transaction "), F.coalesce("tx_hash", F.lit("without hash")))
+    return kept.withColumn("amount", F.when(F.col("amount_overflow"), F.raise_error(told).cast("decimal(38,0)")).otherwise(F.col("amount")))
 
 
 def transfer_legs(
@@ -71,6 +76,9 @@ def transaction_legs(
     until the final scaling.
     """
     kept = _tracked(transfers, targets, end_ts)
+    # A log without a transaction hash belongs to no other: it is a transaction of its own.
+    alone = F.concat_ws(":", F.lit("#"), F.col("block_number"), F.col("log_index"))
+    kept = kept.withColumn("tx_hash", F.coalesce("tx_hash", alone))
     if programs is None:
         flagged = kept.withColumn("delivery_code", F.lit(None).cast("bigint"))
     else:
