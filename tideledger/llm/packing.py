@@ -16,6 +16,9 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -30,39 +33,71 @@ shipped(__name__)
 LIMIT = 2048
 END = b"\0\0\0\0"  # id 0 closes each document
 BUCKETS = 256
-CACHED = 300_000   # words whose ids a task remembers
+CACHED = 400_000   # words, and units, whose ids a worker remembers
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordIds:
-    """Ids of whole texts. The tokenizer never joins anything across white space, so words are encoded once and remembered."""
+# Characters whose class and lower case no Unicode version changes and that NFC leaves alone,
+# and the rule by which the tokenizer's file cuts a text in lower case.
+PLAIN = r"[ \n\r\t!-~¡-±´-¸º»¿-ɏЀ-џぁ-ゖァ-ヺ一-龥가-힣]*"
+CUT = r"[^\W\d_]+|\d|'(?:[stmd]|re|ve|ll)|(?:[^\w\s]|_)+"
+
+
+class PieceIds:
+    """Ids of whole texts.
+
+    The words of a text of plain characters are cut into the tokenizer's own units; words and units are
+    encoded once and remembered. A text with any other character, or with a part that looks like a special token, goes
+    through the tokenizer as it is.
+    """
 
     def __init__(self, tokenizer_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.units = Tokenizer.from_file(tokenizer_file)
+        self.units.normalizer = None
+        self.units.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain, self.cut = re.compile(PLAIN).fullmatch, re.compile(CUT).findall
+        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.known
-        missing = list({w for words in split for w in words if w not in known})
+    def _learn(self, missing: list[str]) -> None:
         for at in range(0, len(missing), 4096):
             part = missing[at:at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        out = [b"".join([known[w] for w in words]) for words in split]
-        if len(known) > CACHED:
-            known.clear()
-        return out
+            found = self.units.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))
+            self.known.update((unit, ids[ends[i]:ends[i + 1]].tobytes()) for i, unit in enumerate(part))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        split = [t.lower().split() if "<|" not in t and self.plain(t) else None for t in texts]
+        for kept in (self.words, self.known):
+            if len(kept) > CACHED:
+                kept.clear()
+        words, known = self.words, self.known
+        new = {w: self.cut(w) for w in {w for part in split if part for w in part if w not in words}}
+        self._learn(list({u for units in new.values() for u in units if u not in known}))
+        words.update((w, b"".join([known[u] for u in units])) for w, units in new.items())
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if part is None
+                else b"".join([words[w] for w in part]) for t, part in zip(texts, split)]
+
+
+def encoder(tokenizer_file: str) -> PieceIds:
+    """The encoder of this process: a worker that runs several tasks keeps what it has learnt."""
+    held = sys.modules.setdefault("tideledger_packing_encoders", types.ModuleType("tideledger_packing_encoders"))
+    if tokenizer_file not in vars(held):
+        setattr(held, tokenizer_file, PieceIds(tokenizer_file))
+    return vars(held)[tokenizer_file]
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> DataFrame:
     """Pieces of at most ``limit`` ids of each document's ids with the closing id; a null text counts as empty."""
     def run(batches):
-        encoder = WordIds(tokenizer_file)
+        ids_of = encoder(tokenizer_file).encode
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"]]
             rows = []
@@ -73,7 +108,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> DataFram
                 while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= 2_000_000):
                     chars += len(texts[stop])
                     stop += 1
-                for doc_id, ids in zip(batch["doc_id"].iloc[at:stop], encoder.encode(texts[at:stop])):
+                for doc_id, ids in zip(batch["doc_id"].iloc[at:stop], ids_of(texts[at:stop])):
                     ids += END
                     for k, start in enumerate(range(0, len(ids), 4 * limit)):
                         part = ids[start:start + 4 * limit]
