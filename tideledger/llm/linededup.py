@@ -5,7 +5,7 @@ least one of the distance + 1 even segments of the shorter one, at a place shift
 by no more than the edits to its left and right allow. Lines index their segments by
 (length, segment number, content) and probe the substrings that such a
 segment of a line of each admissible length could be (the multi-match-aware
-selection). Candidates must also agree in a parity signature of their words, in
+selection). Candidates must also agree in a parity signature of their syllable-sized parts, in
 which one edit flips three bits at most; the rest is verified with the banded edit distance
 on the texts.
 
@@ -24,6 +24,7 @@ from .components import components
 DISTANCE = 2
 SHORT = 30  # shorter lines only count as repeated when they are equal
 SLOT_BITS = 17
+ENDS = " aeiou\u0430\u0435\u0438\u043e\u0443"  # blank and common vowels, Latin and Cyrillic
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -33,9 +34,13 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def _parity(line: Column) -> Column:
-    """64 parities of the numbers of words per hash slot."""
-    return F.aggregate(F.split(line, " "), F.lit(0).cast("long"), lambda bits, word: bits.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(word).bitwiseAND(F.lit(63)).cast("int"))))
+    """64 parities of the numbers of bits of text per hash slot; a bit of text ends with a vowel or blank.
+
+    One edit changes, joins or cuts at most two of them, so it flips three parities at
+    most, while a word of common length replaced by another one flips more than two edits can.
+    """
+    return F.aggregate(F.split(line, f"(?<=[{ENDS}])"), F.lit(0).cast("long"), lambda bits, part: bits.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(part).bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _start(length: Column, i: int, parts: int) -> tuple[Column, Column]:
