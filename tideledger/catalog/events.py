@@ -248,8 +248,7 @@ _BASE41 = [EV, TR, RF, SIDES, MOVES, CODE_NET]
 
 @query("d41_wallets_net_recipients", with_(*_BASE41) + "SELECT DISTINCT contract_address, user_addr FROM code_net WHERE user_addr <> 'router'")
 def d41a(c: Ctx):
-    routers = c.spark.sql("select 'router' as user_addr")
-    return at.wallet_set("net_recipients", c.rf, c.tr, 1004, routers=routers).drop("blockchain")
+    return at.wallet_set("net_recipients", c.rf, c.tr, 1004, routers=["router"]).drop("blockchain")
 
 
 @query("d41_wallets_owners", with_(EV, RF) + "SELECT DISTINCT contract_address, owner AS user_addr FROM rf WHERE ref_code = 1004")
@@ -286,8 +285,7 @@ studied AS (
 
 
 def studied(c: Ctx):
-    routers = c.spark.sql("select 'router' as user_addr")
-    wallets = at.wallet_set("net_recipients", c.rf, c.tr, 1004, routers=routers)
+    wallets = at.wallet_set("net_recipients", c.rf, c.tr, 1004, routers=["router"])
     trades = c.tr.filter(F.col("from_addr") == "prog")
     return at.studied_legs(c.rf, c.tr, wallets, trades, 1003)
 

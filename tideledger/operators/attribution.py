@@ -8,7 +8,7 @@ grow with the data.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -257,7 +257,7 @@ def wallet_set(
     referrals: DataFrame,
     transfers: DataFrame,
     code: int,
-    routers: DataFrame | None = None,
+    routers: Sequence[str] = (),
     contracts: DataFrame | None = None,
     floor: float = NET_FLOOR,
 ) -> DataFrame:
@@ -278,9 +278,12 @@ def wallet_set(
         )
         return owners.union(inside.select(*TOKEN, F.col("to_addr").alias("user_addr"))).distinct()
     net = code_net_recipients(referrals, transfers, code, floor).select(*TOKEN, "user_addr")
-    drop = {"net_recipients": routers, "non_contracts": contracts}[strategy]
-    if drop is not None:
-        net = net.join(drop.select("user_addr"), "user_addr", "left_anti").select(*TOKEN, "user_addr")
+    if strategy == "net_recipients":
+        net = net.filter(~F.col("user_addr").isin(list(routers)))
+    elif strategy != "non_contracts":
+        raise ValueError(f"unknown strategy {strategy}")
+    elif contracts is not None:
+        net = net.join(contracts.select("user_addr"), "user_addr", "left_anti").select(*TOKEN, "user_addr")
     return net.distinct()
 
 
