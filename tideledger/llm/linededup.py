@@ -5,17 +5,21 @@ least one of the distance + 1 even segments of the shorter one, at a place shift
 by no more than the edits to its left and right allow. Lines index their segments by
 (length, segment number, content) and probe the substrings that such a
 segment of a line of each admissible length could be (the multi-match-aware
-selection). Candidates must also agree in a parity signature of their syllable-sized parts, in
-which one edit flips three bits at most; the rest is verified with the banded edit distance
+selection). Candidates must also agree in the parities of their letters' numbers, of which
+one edit flips two at most; the rest is verified with the banded edit distance
 on the texts.
 
-Equal lines fall together first, so a line that half the corpus shares is one line of
-the join. Only hashes take part in the join; texts of lines without a
-candidate partner are not moved for it.
+Keys are first counted down to those under which different lines meet, so equal lines cost
+nothing and lines without a candidate partner never move with their text. The
+verification is part of the join: only true pairs become rows. Under one key every two
+lines are still compared, so the comparisons, not the rows, grow
+with the square of the number of different lines that share a segment.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import slot_filter, stored, text_key
@@ -24,7 +28,8 @@ from .components import components
 DISTANCE = 2
 SHORT = 30  # shorter lines only count as repeated when they are equal
 SLOT_BITS = 17
-ENDS = " aeiou\u0430\u0435\u0438\u043e\u0443"  # blank and common vowels, Latin and Cyrillic
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+CYRILLIC = "".join(map(chr, range(0x430, 0x450)))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -34,71 +39,64 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def _parity(line: Column) -> Column:
-    """64 parities of the numbers of bits of text per hash slot; a bit of text ends with a vowel or blank.
+    """One bit per letter: whether the line holds it an odd number of times.
 
-    One edit changes, joins or cuts at most two of them, so it flips three parities at
-    most, while a word of common length replaced by another one flips more than two edits can.
+    An edit changes the counts of two letters at most, so a pair within ``distance`` edits
+    differs in twice as many bits at most. Cyrillic letters share the bits above the Latin ones.
     """
-    return F.aggregate(F.split(line, f"(?<=[{ENDS}])"), F.lit(0).cast("long"), lambda bits, part: bits.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(part).bitwiseAND(F.lit(63)).cast("int"))))
-
-
-def _start(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment i (from 1) of a line: the last segments take the remainder."""
-    short = F.floor(length / parts).cast("int")
-    longer = length - short * parts
-    first_long = parts - longer + 1
-    extra = F.greatest(F.lit(i) - first_long, F.lit(0))
-    return short * (i - 1) + extra, short + F.when(F.lit(i) >= first_long, 1).otherwise(0)
-
+    def odd(letters: str, first: int) -> list[Column]:
+        size = F.octet_length(line)
+        return [F.shiftleft(((size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))) / len(c.encode())).cast("long")
+                            .bitwiseAND(F.lit(1).cast("long")), first + i) for i, c in enumerate(letters)]
 
-def _index_keys(distance: int) -> Column:
-    length, parts, keys = F.col("size"), distance + 1, []
-    for i in range(1, parts + 1):
-        start, size = _start(length, i, parts)
-        keys.append(F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start + 1, size)))
-    return F.array(*keys)
+    latin = functools.reduce(Column.bitwiseOR, odd(LATIN, 0))
+    other = functools.reduce(Column.bitwiseOR, odd(CYRILLIC, len(LATIN)))
+    return F.when(F.length(line) == F.octet_length(line), latin).otherwise(latin.bitwiseOR(other))
 
 
-def _probe_keys(distance: int) -> Column:
-    """Keys under which a line finds partners of its own length or up to ``distance`` shorter."""
-    parts, keys = distance + 1, []
+def _places(distance: int) -> Column:
+    """(probes, less, part, shift): whose segments to take; a probe looks for lines of its own length or up to ``distance`` shorter."""
+    parts = distance + 1
+    made = [(False, 0, i, 0) for i in range(1, parts + 1)]
     for less in range(distance + 1):
-        length = F.col("size") - less
         for i in range(1, parts + 1):
-            start, size = _start(length, i, parts)
             low, high = max(1 - i, less - (parts - i)), min(i - 1, less + (parts - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                inside = (at >= 0) & (at + size <= F.col("size")) & (size > 0)
-                keys.append(F.when(inside, F.xxhash64(length, F.lit(i), F.substring(F.col("line"), at + 1, size))))
-    return F.array_distinct(F.array_compact(F.array(*keys)))
+            made += [(True, less, i, shift) for shift in range(low, high + 1)]
+    return F.array(*(F.struct(*(F.lit(v).alias(name) for v, name in zip(place, ("probes", "less", "part", "shift")))) for place in made))
+
+
+def _keys(every: DataFrame, distance: int) -> DataFrame:
+    """line, id, h and probes: each key of each line. The last segments of a line take the remainder of its length."""
+    parts, length = distance + 1, F.col("size") - F.col("less")
+    first_long = parts - length % parts + 1
+    placed = every.select("line", "size", F.xxhash64("line").alias("id"), F.explode(_places(distance)).alias("p")).select(
+        "line", "size", "id", "p.*").withColumn("length", length).withColumn("base", F.floor(length / parts).cast("int")).withColumn(
+        "first_long", first_long)
+    cut = placed.withColumn("at", F.col("base") * (F.col("part") - 1) + F.greatest(F.col("part") - F.col("first_long"), F.lit(0)) + F.col("shift")).withColumn(
+        "width", F.col("base") + (F.col("part") >= F.col("first_long")).cast("int"))
+    inside = (F.col("at") >= 0) & (F.col("at") + F.col("width") <= F.col("size")) & ((F.col("width") > 0) | ~F.col("probes"))
+    return cut.where(inside).select("line", "id", F.xxhash64("length", "part", F.expr("substring(line, at + 1, width)")).alias("h"), "probes")
 
 
 def links(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> DataFrame:
     """Pairs (a, b) of keys of different lines within ``distance`` edits, both ``short`` characters long or longer."""
-    every = lines(docs).where(F.length("line") >= short).select("line")
-    distinct = every.groupBy("line").agg(F.lit(1).alias("one")).select(
-        F.xxhash64("line").alias("id"), _parity(F.col("line")).alias("parity"), F.length("line").alias("size"), "line")
-    index = distinct.select("id", "parity", F.explode_outer(_index_keys(distance)).alias("h")).where("h is not null")
-    probe = distinct.select("id", "parity", F.explode_outer(_probe_keys(distance)).alias("h")).where("h is not null")
-    pairs = stored(
-        index.alias("a").join(probe.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.id") != F.col("b.id")) & (
-            F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 3 * distance))
-        .select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct(),
-        "line-candidates",
-    )
-    wanted = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = stored(wanted, "line-wanted")
-    passes = slot_filter(wanted, SLOT_BITS)
-    texts = every.withColumn("id", F.xxhash64("line")).where(passes(F.col("id"))).join(
-        wanted, F.col("id") == wanted["key"], "left_semi").distinct()
-    texts = stored(texts, "line-texts")
-    left, right = texts.select(F.col("id").alias("a"), F.col("line").alias("x")), texts.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    return (
-        pairs.join(left, "a").join(right, "b").where(F.levenshtein("x", "y", distance) >= 0)
-        .select(text_key(F.col("x")).alias("a"), text_key(F.col("y")).alias("b"))
-    )
+    every = lines(docs).select("line", F.length("line").alias("size")).where(F.col("size") >= short)
+    keys = _keys(every, distance)
+    # Keys under which an indexed line meets a probe of a different line; each is one row however many lines share it.
+    shared = stored(
+        keys.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or("probes").alias("probed"),
+                              F.bool_and("probes").alias("only"))
+        .where("low < high and probed and not only").select(F.col("h").alias("key")), "line-keys")
+    passes = slot_filter(shared, SLOT_BITS)
+    met = stored(
+        keys.where(passes(F.col("h"))).join(shared, F.col("h") == shared["key"], "left_semi").select("h", "probes", "line").distinct()
+        .withColumn("parity", _parity(F.col("line"))), "line-candidates")
+    # Verified inside the join, so that only true pairs become rows.
+    x, y = F.col("a.line"), F.col("b.line")
+    near = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 2 * distance
+    pairs = met.where("not probes").alias("a").join(met.where("probes").alias("b"), (F.col("a.h") == F.col("b.h")) & (x != y) & near & (
+        F.levenshtein(x, y, distance) >= 0))
+    return pairs.select(text_key(F.least(x, y)).alias("a"), text_key(F.greatest(x, y)).alias("b")).distinct()
 
 
 def classes(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> DataFrame:
