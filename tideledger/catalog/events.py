@@ -26,16 +26,16 @@ def _topic(c: str) -> str:
 
 
 @query("s1_select_logs", with_(EV, TR, SW) + """
-SELECT block_number, log_index, tx_hash FROM tr WHERE contract_address = 'tok0' AND block_number BETWEEN 10 AND 1000000
+SELECT block_number, log_index, tx_hash FROM tr WHERE contract_address = 'tok0' AND block_number >= 10
 UNION ALL
-SELECT block_number, log_index, tx_hash FROM sw WHERE asset_out = 'tok1' AND block_number BETWEEN 10 AND 1000000""")
+SELECT block_number, log_index, tx_hash FROM sw WHERE asset_out = 'tok1' AND block_number >= 10""")
 def s1(c: Ctx):
     tok0, tok1 = dt.hex_address("tok0"), dt.hex_address("tok1")
     wanted = [
         {"address": [tok0], "topics": [[codec.TRANSFER_TOPIC]]},
         {"address": [tok0, tok1], "topics": [[codec.SWAP_TOPIC], [], ["0x" + tok1[2:].rjust(64, "0")]]},
     ]
-    return lo.select_logs(c.logs, wanted, 10, 1000000).select(
+    return lo.select_logs(c.logs, wanted, 10).select(
         "block_number", "log_index", F.col("transaction_hash").alias("tx_hash"))
 
 

@@ -237,33 +237,37 @@ def d22(c: Ctx):
 
 # --- daily base and balances by code ------------------------------------------
 
-def _third(df):
-    """A 37th of the value, rounded: day averages of cents often tie at .5, their 37ths do not."""
-    return df.withColumn("part_of_base", F.round(F.col("usds_base") / 37.0, 0)).drop("usds_base")
+def _cents(name: str):
+    """Half a cent goes up, also where the noise of a sum leaves it just below."""
+    return F.round(F.col(name) + 0.0001, 2).alias(name)
+
+
+def _base_in_cents(df):
+    return df.withColumn("usds_base", _cents("usds_base"))
 
 
 @query("d45_daily_base", with_(*LEDGER_REWARDS) + """
-SELECT a.dt, round(sum(a.amount * coalesce(v.rate, 1.0)) / 37.0, 0) AS part_of_base FROM amounts a
+SELECT a.dt, round(CAST(sum(CAST(a.amount * coalesce(v.rate, 1.0) AS DECIMAL(28,10))) AS DOUBLE) + 0.0001, 2) AS usds_base FROM amounts a
 LEFT JOIN conv v ON v.blockchain = a.blockchain AND v.token = a.token AND v.dt = a.dt WHERE a.blockchain <> 'chain2' GROUP BY 1""")
 def d45(c: Ctx):
-    return rp.daily_base(savings_amounts(c), share_series(c), ["blockchain", "token", "dt"], skip_chains=["chain2"]).transform(_third)
+    return rp.daily_base(savings_amounts(c), share_series(c), ["blockchain", "token", "dt"], skip_chains=["chain2"]).transform(_base_in_cents)
 
 
 @query("d45_daily_base_vaults", with_(*VAULT_REWARDS[:7]) + """
-SELECT a.dt, round(sum(a.amount * coalesce(d.deployment_ratio, 0.0) * coalesce(v.rate, 1.0)) / 37.0, 0) AS part_of_base FROM amounts a
+SELECT a.dt, round(CAST(sum(CAST(a.amount * coalesce(d.deployment_ratio, 0.0) * coalesce(v.rate, 1.0) AS DECIMAL(28,10))) AS DOUBLE) + 0.0001, 2) AS usds_base FROM amounts a
 LEFT JOIN conv v ON v.blockchain = a.blockchain AND v.token = a.token AND v.dt = a.dt
 LEFT JOIN ratio d ON d.blockchain = a.blockchain AND d.vault_symbol = a.token AND d.dt = a.dt WHERE a.token LIKE 'sp%' AND a.token <> 'spETH' GROUP BY 1""")
 def d45_vaults(c: Ctx):
     amounts = mo.interval_amounts(vault_iv(c), mo.reclass_vaults)
     ratios = mo.deployment_ratios(vault_supply(c), idle(c))
-    return rp.daily_base(amounts, share_series(c), ["blockchain", "token", "dt"], ratios, skip_tokens=["spETH"]).transform(_third)
+    return rp.daily_base(amounts, share_series(c), ["blockchain", "token", "dt"], ratios, skip_tokens=["spETH"]).transform(_base_in_cents)
 
 
 @query("d46_daily_base_by_code", with_(*LEDGER_REWARDS) + """
-SELECT a.dt, a.token, a.ref_code, round(sum(a.amount * coalesce(v.rate, 1.0)) / 37.0, 0) AS part_of_base FROM amounts a
+SELECT a.dt, a.token, a.ref_code, round(CAST(sum(CAST(a.amount * coalesce(v.rate, 1.0) AS DECIMAL(28,10))) AS DOUBLE) + 0.0001, 2) AS usds_base FROM amounts a
 LEFT JOIN conv v ON v.blockchain = a.blockchain AND v.token = a.token AND v.dt = a.dt GROUP BY 1, 2, 3""")
 def d46(c: Ctx):
-    return rp.daily_base(savings_amounts(c), share_series(c), ["blockchain", "token", "dt"], by=["dt", "token", "ref_code"]).transform(_third)
+    return rp.daily_base(savings_amounts(c), share_series(c), ["blockchain", "token", "dt"], by=["dt", "token", "ref_code"]).transform(_base_in_cents)
 
 
 @query("d54_code_slice", with_(*LEDGER_REWARDS, MONTHLY_SQL) + f"SELECT {MONTHLY_OUT} FROM monthly WHERE ref_code = 2 AND blockchain <> 'chain1'")
@@ -317,10 +321,10 @@ def program_rows(c: Ctx):
 
 
 @query("d38_daily_rewards", with_(*DAILY_REWARDS) + """
-SELECT dt, blockchain, token_symbol, token, ref_code, referral_type, reward_code, amount, reward_base, round(amount_7d_avg / 37.0, -1) AS part_of_7d_avg,
+SELECT dt, blockchain, token_symbol, token, ref_code, referral_type, reward_code, amount, reward_base, round(amount_7d_avg + 0.0001, 2) AS amount_7d_avg,
   round(tw_reward, 2) AS tw_reward, price_usd, round(tw_reward * price_usd, 2) AS tw_reward_usd FROM final""")
 def d38(c: Ctx):
-    return program_rows(c).withColumn("part_of_7d_avg", F.round(F.col("amount_7d_avg") / 37.0, -1)).drop("reward_per", "amount_7d_avg").withColumns({
+    return program_rows(c).withColumn("amount_7d_avg", _cents("amount_7d_avg")).drop("reward_per").withColumns({
         "tw_reward": F.round("tw_reward", 2), "tw_reward_usd": F.round("tw_reward_usd", 2)})
 
 
@@ -337,7 +341,7 @@ def d38_export(c: Ctx):
   JOIN (SELECT DISTINCT 'c' || c_custkey AS user_addr, 'chain' || (c_nationkey % 3) AS blockchain FROM customer WHERE c_mktsegment = 'BUILDING') h USING (blockchain, user_addr)
   WHERE d.ends_day GROUP BY ALL)""") + """
 SELECT s.dt, s.blockchain, s.amount, round(s.amount / 365.0::DOUBLE * r.reward_per, 1) AS tw_reward,
-  round(avg(s.amount) OVER (PARTITION BY s.blockchain ORDER BY s.dt ROWS 6 PRECEDING) / 37.0, -1) AS part_of_7d_avg
+  round(avg(s.amount) OVER (PARTITION BY s.blockchain ORDER BY s.dt ROWS 6 PRECEDING) + 0.0001, 2) AS amount_7d_avg
 FROM s JOIN rates r ON r.reward_code = 'XR' AND s.dt BETWEEN r.start_dt AND r.end_dt""")
 def d38_treasury(c: Ctx):
     cust = c.table("customer").filter("c_mktsegment = 'BUILDING'").select(
@@ -348,4 +352,4 @@ def d38_treasury(c: Ctx):
     balances = held.select("dt", "blockchain", "token", F.lit("treasury").alias("user_addr"), "amount")
     holders = c.spark.sql("select * from values ('chain0','treasury',126L,'XR'), ('chain1','treasury',126L,'XR'), ('chain2','treasury',126L,'XR') as t(blockchain,user_addr,ref_code,reward_code)")
     out = pd_.treasury_rewards(balances, holders, rt.schedule(c.spark))
-    return out.select("dt", "blockchain", "amount", F.round("tw_reward", 1).alias("tw_reward"), F.round(F.col("amount_7d_avg") / 37.0, -1).alias("part_of_7d_avg"))
+    return out.select("dt", "blockchain", "amount", F.round("tw_reward", 1).alias("tw_reward"), _cents("amount_7d_avg"))

@@ -73,25 +73,25 @@ def d37(c: Ctx):
 
 @query("d43_wallet_summary", with_(FULL_TWA) + """
 SELECT user_addr, ref_code, symbol AS token, contract_address || '_src' AS source, min(dt) AS first_seen, max(dt) AS last_seen, count(DISTINCT dt) AS days_tagged,
-  max(twab) AS peak_twa, round(sum(twab) / 37.0, 4) AS part_of_days
+  max(twab) AS peak_twa, round(CAST(sum(CAST(twab AS DECIMAL(28,10))) AS DOUBLE), 6) AS total_twa_days
 FROM daily WHERE ref_code IN (1003, 1004, 4011, 42) GROUP BY 1, 2, 3, 4""")
 def d43(c: Ctx):
     twa = full(c)
     codes = c.spark.sql("select * from values (1003L), (1004L), (4011L), (42L) as t(ref_code)")
     parts = {f"{t}_src": twa.filter(F.col("contract_address") == t) for t in ("tok0", "tok1")}
-    return rp.wallet_summary(parts, codes).withColumn("part_of_days", F.round(F.col("total_twa_days") / 37.0, 4)).drop("total_twa_days")
+    return rp.wallet_summary(parts, codes).withColumn("total_twa_days", F.round("total_twa_days", 6))
 
 
 @query("d44_wallet_audit", SINGLE.rstrip() + """
 SELECT s.*, r.total_received FROM (
-  SELECT user_addr, count(*) AS days_counted, min(twab) AS min_daily, max(twab) AS max_daily, round(avg(twab) / 37.0, 4) AS part_of_avg
+  SELECT user_addr, count(*) AS days_counted, min(twab) AS min_daily, max(twab) AS max_daily, round(CAST(sum(CAST(twab AS DECIMAL(28,10))) AS DOUBLE), 6) AS balance_days,
+    round(CAST(sum(CAST(twab AS DECIMAL(28,10))) AS DOUBLE) / count(*), 6) AS avg_daily
   FROM daily WHERE ref_code = 1004 AND ends_day GROUP BY 1) s
 LEFT JOIN (SELECT user_addr, CAST(sum(net) AS BIGINT) AS total_received FROM code_net WHERE user_addr <> 'router' GROUP BY 1) r USING (user_addr)""")
 def d44(c: Ctx):
     counted = single_code_daily(balance_intervals(studied(c), FILL, ["blockchain", "contract_address", "user_addr"]), 1004)
     received = at.code_net_recipients(c.rf, c.tr, 1004).filter("user_addr <> 'router'")
-    out = rp.wallet_audit(counted, received)
-    return out.withColumn("part_of_avg", F.round(F.col("avg_daily") / 37.0, 4)).drop("avg_daily", "balance_days")
+    return rp.wallet_audit(counted, received).withColumns({m: F.round(m, 6) for m in ("avg_daily", "balance_days")})
 
 
 @query("d47_wallet_snapshot", with_(FULL_TWA) + f"""
@@ -117,21 +117,22 @@ def d48_single(c: Ctx):
 
 
 @query("d49_top_wallets", with_(FULL_TWA) + f"""
-SELECT user_addr, ref_code, symbol AS token, blockchain, round(avg(twab * ({DAY_RATE})) / 37.0, 4) AS part_of_avg, count(DISTINCT dt) AS active_days
-FROM daily GROUP BY 1, 2, 3, 4 ORDER BY avg(twab * ({DAY_RATE})) DESC, user_addr, ref_code, token, blockchain LIMIT 300""")
+SELECT user_addr, ref_code, token, blockchain, round(avg_usds, 6) AS avg_daily_usds, active_days FROM (
+  SELECT user_addr, ref_code, symbol AS token, blockchain, CAST(sum(CAST(twab * ({DAY_RATE}) AS DECIMAL(28,10))) AS DOUBLE) / count(*) AS avg_usds, count(DISTINCT dt) AS active_days
+FROM daily GROUP BY 1, 2, 3, 4) ORDER BY avg_usds DESC, user_addr, ref_code, token, blockchain LIMIT 300""")
 def d49(c: Ctx):
     return rp.top_wallets(full(c), 300, day_rates(c)).select(
-        "user_addr", "ref_code", "token", "blockchain", F.round(F.col("avg_daily_usds") / 37.0, 4).alias("part_of_avg"), "active_days")
+        "user_addr", "ref_code", "token", "blockchain", F.round("avg_daily_usds", 6).alias("avg_daily_usds"), "active_days")
 
 
 @query("d49_top_wallets_of_code", with_(FULL_TWA) + """
-SELECT user_addr, round(avg(twab) / 37.0, 4) AS part_of_avg, count(*) AS active_days FROM (
-  SELECT user_addr, dt, sum(twab) AS twab FROM daily WHERE ref_code = 1003 AND dt < DATE '2024-02-01' AND symbol = 'sUSDS' GROUP BY 1, 2)
-GROUP BY 1 ORDER BY avg(twab) DESC, user_addr LIMIT 20""")
+SELECT user_addr, round(CAST(sum(twab) AS DOUBLE) / sum(n), 6) AS avg_daily_usds, count(*) AS active_days FROM (
+  SELECT user_addr, dt, sum(CAST(twab AS DECIMAL(28,10))) AS twab, count(*) AS n FROM daily WHERE ref_code = 1003 AND dt < DATE '2024-02-01' AND symbol = 'sUSDS' GROUP BY 1, 2)
+GROUP BY 1 ORDER BY CAST(sum(twab) AS DOUBLE) / sum(n) DESC, user_addr LIMIT 20""")
 def d49_code(c: Ctx):
     twa = full(c).filter("symbol = 'sUSDS'")
     return rp.top_wallets(twa, 20, code=1003, month="2024-01", keys=["user_addr"]).select(
-        "user_addr", F.round(F.col("avg_daily_usds") / 37.0, 4).alias("part_of_avg"), "active_days")
+        "user_addr", F.round("avg_daily_usds", 6).alias("avg_daily_usds"), "active_days")
 
 
 @query("d50_latest_code_examples", with_(EV, SW) + """

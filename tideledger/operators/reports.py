@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tideledger.operators.monthly import Reclass, daily_amounts, reclass_none, with_conversion, with_ratio
 
 
+def _exact(value):
+    """Ten decimals: sums of them are the same in whatever order rows are met."""
+    return value.cast("decimal(28,10)")
+
+
 def daily_base(
     amounts: DataFrame, conversion: DataFrame | None = None, conversion_keys: Sequence[str] = ("dt",),
     ratios: DataFrame | None = None, by: Sequence[str] = ("dt",), skip_tokens: Sequence[str] = (),
@@ -25,7 +30,7 @@ def daily_base(
     if ratios is not None:
         priced = with_ratio(priced, ratios)
         value = F.col("amount") * F.col("ratio") * F.col("conversion")
-    return priced.groupBy(*by).agg(F.sum(value).alias("usds_base"))
+    return priced.groupBy(*by).agg(F.sum(_exact(value)).cast("double").alias("usds_base"))
 
 
 def wallet_summary(parts: dict[str, DataFrame], codes: DataFrame | None = None) -> DataFrame:
@@ -43,10 +48,10 @@ def wallet_summary(parts: dict[str, DataFrame], codes: DataFrame | None = None)
     # Day totals first: the distinct day count then needs no second shuffle of rows.
     keys = ["user_addr", "ref_code", "token", "source"]
     per_day = rows.groupBy(*keys, "dt").agg(
-        F.max("time_weighted_avg_balance").alias("peak"), F.sum("time_weighted_avg_balance").alias("total"))
+        F.max("time_weighted_avg_balance").alias("peak"), F.sum(_exact(F.col("time_weighted_avg_balance"))).alias("total"))
     return per_day.groupBy(*keys).agg(
         F.min("dt").alias("first_seen"), F.max("dt").alias("last_seen"), F.count("*").alias("days_tagged"),
-        F.max("peak").alias("peak_twa"), F.sum("total").alias("total_twa_days"),
+        F.max("peak").alias("peak_twa"), F.sum("total").cast("double").alias("total_twa_days"),
     )
 
 
@@ -57,9 +62,8 @@ def wallet_audit(counted: DataFrame, received: DataFrame) -> DataFrame:
     """
     stats = counted.groupBy("user_addr").agg(
         F.count("*").alias("days_counted"), F.min("twa_balance").alias("min_daily"),
-        F.avg("twa_balance").alias("avg_daily"), F.max("twa_balance").alias("max_daily"),
-        F.sum("twa_balance").alias("balance_days"),
-    )
+        F.max("twa_balance").alias("max_daily"), F.sum(_exact(F.col("twa_balance"))).cast("double").alias("balance_days"),
+    ).withColumn("avg_daily", F.col("balance_days") / F.col("days_counted"))
     got = received.groupBy("user_addr").agg(F.sum("net").alias("total_received"))
     return stats.join(got, "user_addr", "left")
 
@@ -110,10 +114,10 @@ def top_wallets(
     if month is not None:
         rows = rows.filter(F.trunc("dt", "MM") == F.to_date(F.lit(f"{month}-01")))
     priced = with_conversion(rows, conversion, ["dt"]).withColumn("usds", F.col("time_weighted_avg_balance") * F.col("conversion"))
-    per_day = priced.groupBy(*keys, "dt").agg(F.sum("usds").alias("day_sum"), F.count("*").alias("rows"), F.max("usds").alias("day_max"))
+    per_day = priced.groupBy(*keys, "dt").agg(F.sum(_exact(F.col("usds"))).alias("day_sum"), F.count("*").alias("rows"), F.max("usds").alias("day_max"))
     stats = per_day.groupBy(*keys).agg(
-        (F.sum("day_sum") / F.sum("rows")).alias("avg_daily_usds"), F.max("day_max").alias("max_daily_usds"),
-        F.sum("day_sum").alias("usds_days"), F.count("*").alias("active_days"))
+        (F.sum("day_sum").cast("double") / F.sum("rows")).alias("avg_daily_usds"), F.max("day_max").alias("max_daily_usds"),
+        F.sum("day_sum").cast("double").alias("usds_days"), F.count("*").alias("active_days"))
     return stats.orderBy(F.col("avg_daily_usds").desc(), *keys).limit(n)
 
 
