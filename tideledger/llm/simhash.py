@@ -167,7 +167,11 @@ def representatives(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     """
     made, named = _classed(docs, shingle, radius)
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("key"))
-    least = made.groupBy("fp").agg(F.min(place).alias("place")).join(named, "fp")  # combined before the shuffle
+    return least_of_components(docs, made.groupBy("fp").agg(F.min(place).alias("place")).join(named, "fp"))  # combined before the shuffle
+
+
+def least_of_components(docs: DataFrame, least: DataFrame) -> DataFrame:
+    """The row of ``docs`` at the least place of each component; least: component, place (last, doc_id, key)."""
     kept = stored(least.groupBy("component").agg(F.min("place").alias("p")).select(
         F.col("p.doc_id").alias("keep_id"), F.col("p.key").alias("keep_key")), "representatives")
     keyed = docs.withColumn("own_key", row_key(F.col("text")))
