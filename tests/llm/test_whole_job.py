@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+from tideledger.llm import secretscan
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -48,3 +49,15 @@ def test_near_copies_by_five_word_similarity(spark):
     kept = stage(spark, docs, "")
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(parent)) and len(set(parent)) < 60
+
+
+def test_one_repeated_letter_hides_no_key(spark):
+    rnd = random.Random(7)
+    usual = ["".join(rnd.choice("the of and alpha beta gamma delta river stone cloud paper green".split()) for _ in range(20)) for _ in range(300)]
+    keys = ["".join(rnd.choice(LETTERS + LETTERS.upper() + "0123456789") for _ in range(90)) for _ in range(6)]
+    texts = keys + usual + ["g" * 2000] + ["ha" * n for n in range(40, 52)]
+    docs = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secretscan.digest(secretscan.find(docs)).collect()}
+    assert [got[i] for i in range(6)] == ["random:4:94"] * 6 and not any(got[i] for i in range(6, len(texts)))
+    alone = {r["doc_id"]: r["spans"] for r in secretscan.digest(secretscan.find(docs.where("doc_id < 6 or doc_id % 40 = 10"))).collect()}
+    assert [alone[i] for i in range(6)] == ["random:4:94"] * 6  # the same rule with few ordinary runs

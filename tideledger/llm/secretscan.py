@@ -6,9 +6,13 @@ characters become numbers of that alphabet. Three tests measure it against a
 uniform draw: chi-squared over the alphabet, runs above and below the middle, and
 lag-one serial correlation. Two questions are then asked:
 
-* could it be ordinary? The chi-squared score is compared with the scores of the
-  long runs without any digit (ordinary words) of the same length band, whose mean
-  and spread are taken over the whole corpus. The resulting p-values pass a
+* could it be ordinary? Chi-squared, scaled by length and alphabet so that it grows with neither
+  (the rate of equal characters among its pairs: 1 / alphabet for uniform draws, about 0.07 for
+  words, 1 for one repeated letter), is compared with the
+  long runs without any digit (ordinary words) of the same length band. Their median and the
+  distance to the quantile one deviation below it are taken over the whole corpus, so repeated
+  letters, however long, move neither. Bands have the same rule whatever they hold: five
+  reference runs are always part of them. The resulting p-values pass a
   Benjamini-Hochberg cut within each length band, so long texts full of runs do
   not buy false alarms;
 * does it look random? Bonferroni's p-value of the three tests must not reject
@@ -44,6 +48,11 @@ ENCODINGS = (
 BINS = 400        # of -log10(p), 0.05 wide
 FALSE_RATE = 0.01
 UNIFORM_P = 1e-4  # uniformity is rejected below this
+WORDY = 36.0      # least alphabet that ordinary words can fill; smaller ones count as a share of it
+STEPS = 1000      # histogram steps of the ordinary runs' rate, which lies in 0..1
+# Runs that every band has besides its own: rates of words in lower case.
+REFERENCE = (0.06, 0.07, 0.08, 0.09, 0.1)
+LEAST_SPREAD = 0.003
 
 
 def base_spans(text: Column) -> Column:
@@ -96,7 +105,7 @@ def _measures(token: Column) -> Column:
 
 
 def battery(runs: DataFrame) -> DataFrame:
-    """``runs`` (token) with encoding, size, chi (standardised chi-squared) and p_uniform."""
+    """``runs`` (token) with encoding, size, rate (chi-squared scaled by length: pairs of equal characters) and p_uniform."""
     measured = stored(runs.where(~F.col("token").rlike("^.?=*$")).withColumn("m", _measures(F.col("token"))), "secret-measures")
     n, k, above = F.col("m.n"), F.col("m.k"), F.col("m.above")
     chi = (k / n * F.col("m.squares") - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
@@ -105,7 +114,8 @@ def battery(runs: DataFrame) -> DataFrame:
     z_runs = F.when(runs_var > 0, (F.col("m.changes") + 1 - runs_mean) / F.sqrt(runs_var)).otherwise(F.lit(9.0))
     z_lag = F.when(F.col("m.variance") > 0, (F.col("m.lagged") / F.col("m.variance") + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
     return measured.select(
-        "token", F.col("m.encoding").alias("encoding"), n.cast("int").alias("size"), chi.alias("chi"),
+        "token", F.col("m.encoding").alias("encoding"), n.cast("int").alias("size"),
+        ((F.col("m.squares") - n) / (n * (n - 1)) * k / F.greatest(k, F.lit(WORDY))).alias("rate"),
         F.least(F.lit(1.0), 3 * F.least(normal_tail(chi), 2 * normal_tail(F.abs(z_runs)), 2 * normal_tail(F.abs(z_lag)))).alias("p_uniform"))
 
 
@@ -122,13 +132,16 @@ def random_tokens(runs: DataFrame, rate: float = FALSE_RATE) -> DataFrame:
         .withColumn("candidate", F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")),
         "secret-battery",
     )
-    ordinary = tested.where("not candidate and token rlike '^[A-Za-z]+$'").groupBy("band").agg(
-        F.avg("chi").alias("usual"), F.stddev("chi").alias("spread"), F.count("*").alias("seen"))
-    # Bands with few ordinary runs take a level that lower-case words of that length have.
-    p = normal_tail((F.when(F.col("seen") >= 30, F.col("usual")).otherwise(12.0) - F.col("chi"))
-                    / F.greatest(F.when(F.col("seen") >= 30, F.col("spread")).otherwise(3.0), F.lit(0.5)))
+    ordinary = (
+        tested.where("not candidate and token rlike '^[A-Za-z]+$'").withColumn("level", F.round(F.col("rate") * STEPS).cast("int")).groupBy("band", "level")
+        .agg(F.count("*").alias("n"))  # at most 5 x 1001 rows
+    )
+    levels = tested.sparkSession.createDataFrame([(band, round(x * STEPS), 1) for band in range(5) for x in REFERENCE], "band int, level int, n long")
+    usual = ordinary.unionByName(levels).groupBy("band").agg(
+        F.expr("percentile(level, 0.5, n)").alias("middle"), F.expr("percentile(level, 0.1587, n)").alias("low"))
+    p = normal_tail((F.col("middle") - F.col("rate") * STEPS) / F.greatest(F.col("middle") - F.col("low"), F.lit(LEAST_SPREAD * STEPS)))
     scored = (
-        tested.where("candidate").join(ordinary, "band", "left")
+        tested.where("candidate").join(F.broadcast(usual), "band")
         .withColumn("bin", F.least(F.lit(BINS), F.floor(-F.log10(F.greatest(p, F.lit(1e-30))) * 20)).cast("int"))
     )
     per_bin = scored.groupBy("band", "bin").agg(F.count("*").alias("n"))  # at most 5 x 401 rows
