@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from tideledger.llm import secretscan
+from tideledger.llm import language, secretscan
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -61,3 +61,21 @@ def test_one_repeated_letter_hides_no_key(spark):
     assert [got[i] for i in range(6)] == ["random:4:94"] * 6 and not any(got[i] for i in range(6, len(texts)))
     alone = {r["doc_id"]: r["spans"] for r in secretscan.digest(secretscan.find(docs.where("doc_id < 6 or doc_id % 40 = 10"))).collect()}
     assert [alone[i] for i in range(6)] == ["random:4:94"] * 6  # the same rule with few ordinary runs
+
+
+def test_copies_do_not_empty_a_language(spark):
+    text = "concat_ws(' ', transform(sequence(1, 30), i -> element_at(array({}), 1 + cast(pmod(xxhash64(id, i), 5) as int))))"
+    other = spark.range(30).selectExpr(text.format("'zorb','klim','vran','ostu','pelk'") + " as text", "'xx' as lang")
+    # The copies' hash is far from the least, and their number once set the share of hashes that was looked at.
+    copied = spark.sql("select text from (select concat('mano liro tesa ugo fari ', id) as text from range(200)) order by xxhash64(text) desc limit 1").first()[0]
+    few = spark.createDataFrame([(f"mano liro tesa ugo fari {i}",) for i in range(3)], "text string").where("xxhash64(text) > -9000000000000000000")
+    copies = spark.range(400_000).selectExpr(f"'{copied}' as text").unionAll(few).selectExpr("text", "'yy' as lang")
+    made = language.fit(other.unionAll(copies))
+    assert set(made) == {"xx", "yy"} and copied.encode() in made["yy"]
+
+
+def test_dictionaries_hold_the_whole_sample(spark):
+    rnd = random.Random(8)
+    texts = [" ".join(word(rnd) for _ in range(60)) for _ in range(60)]
+    made = language.fit(spark.createDataFrame([(t, "xx") for t in texts], "text string, lang string"))
+    assert all(t.encode() in made["xx"] for t in texts)

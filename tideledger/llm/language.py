@@ -20,7 +20,6 @@ from . import shipped
 shipped(__name__)
 
 UNKNOWN = "und"
-DICTIONARY = 16_384  # bytes of each dictionary
 EXCERPT = 1_024      # characters one text may give to it
 SAMPLE = 400         # texts asked for per language: the documented bound of the training sample
 BLOCK = 1_024        # bytes compressed at a time
@@ -32,34 +31,22 @@ def remainder(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
-def fit(labelled: DataFrame, dictionary: int = DICTIONARY, sample: int = SAMPLE) -> dict[str, bytes]:
-    """A dictionary per language from ``labelled`` (text, lang), at most ``sample`` texts of each.
+def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict[str, bytes]:
+    """A dictionary per language from ``labelled`` (text, lang), at most ``sample`` texts of each; it holds all their excerpts.
 
-    The sample takes the texts whose hash is least, so it does not depend on partitions; the hash threshold is set
-    from the counts of all labelled rows. Null texts and languages are left out.
+    The sample takes the distinct texts whose hash is least, so it depends neither on partitions nor on copies. Null texts and languages are left out.
     """
-    rows = labelled.where("lang is not null and text is not null").select(
-        "lang", "text", F.xxhash64("text").alias("h"))
-    counts = {r["lang"]: r["n"] for r in labelled.where("lang is not null and text is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return {}
-    low, span = -(1 << 63), 1 << 64
-    # Four times the hashes needed for the sample; everything where a language has few texts.
-    within = F.lit(False)
-    for lang, n in counts.items():
-        top = min(low + span * 4 * sample // n, (1 << 63) - 1)
-        within = within | ((F.col("lang") == lang) & (F.col("h") <= top))
-    # A middle excerpt of each text; equal texts count once.
+    rows = labelled.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
+    # Texts, not rows, are ranked: copies count once. Each partition passes on its ``sample`` least hashes of a language only.
+    ranked = rows.select("lang", "h").distinct().withColumn("at", F.expr("row_number() over (partition by lang order by h)")).where(F.col("at") <= sample)
+    chosen = rows.sparkSession.createDataFrame(ranked.collect(), "lang string, h long, at int")  # at most languages x sample hashes
+    # A middle excerpt of each text.
     start = F.greatest(F.lit(1), ((F.length("text") - EXCERPT) / 2).cast("int"))
-    least = (
-        rows.where(within).select("lang", "h", F.substring(F.col("text"), start, F.lit(EXCERPT)).alias("part")).distinct()
-        .withColumn("at", F.expr("row_number() over (partition by lang order by h, part)")).where(F.col("at") <= sample)
-    )
+    least = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "at").agg(F.min(F.substring(F.col("text"), start, F.lit(EXCERPT))).alias("part"))
     content: dict[str, list[str]] = {}
     for r in least.orderBy("lang", "at").collect():  # at most languages x sample excerpts
         content.setdefault(r["lang"], []).append(r["part"])
-    # The nearest content is the cheapest to point to, so the dictionary is the end of the sample.
-    return {lang: "\n".join(parts).lower().encode("utf-8", "replace")[-dictionary:] for lang, parts in content.items()}
+    return {lang: "\n".join(parts).lower().encode("utf-8", "replace") for lang, parts in content.items()}
 
 
 class Classifier:
@@ -67,7 +54,7 @@ class Classifier:
 
     def __init__(self, dictionaries: dict[str, bytes]):
         settings = zstandard.ZstdCompressionParameters(
-            strategy=zstandard.STRATEGY_LAZY, min_match=4, search_log=3, hash_log=14, chain_log=14, window_log=17,
+            strategy=zstandard.STRATEGY_LAZY, min_match=4, search_log=3, hash_log=18, chain_log=18, window_log=21,
             target_length=32, write_content_size=0, write_checksum=0, write_dict_id=0)
         self.langs = sorted(dictionaries)
         self.encoders, self.words = [], []
