@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from tideledger.llm import language, secretscan
+from tideledger.llm import language, linededup, queries, secretscan
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -79,3 +79,20 @@ def test_dictionaries_hold_the_whole_sample(spark):
     texts = [" ".join(word(rnd) for _ in range(60)) for _ in range(60)]
     made = language.fit(spark.createDataFrame([(t, "xx") for t in texts], "text string, lang string"))
     assert all(t.encode() in made["xx"] for t in texts)
+
+
+def test_lines_of_every_length(spark, tmp_path):
+    a, b, c = "twenty-nine characters, a line", "a short one", "a short line"
+    docs = spark.createDataFrame([(1, f"{a}\n{b}\n\nno"), (2, f"{b}\n{a[1:]}\n\n{c}"), (3, f"no\nquite another\n{b}")], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "cast(length(text) as long) as n_chars")
+    stage = dict(corpus_pipeline.STAGES)["lines"]
+    assert {r["doc_id"]: r["text"] for r in stage(spark, docs, "").collect()} == {1: f"{a}\n{b}\n\nno", 2: f"{a[1:]}\n\n{c}", 3: "quite another"}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["line_no"]): r for r in queries.op8_near_equal_lines(spark, str(tmp_path)).collect()}
+    assert got[1, 0]["line_class"] == got[2, 1]["line_class"] and got[1, 0]["links"] == 1 and len(a) == 30
+
+
+def test_short_lines_within_two_edits_are_linked(spark):
+    every = ["abcd", "abed", "xyzw", "green tea", "green tee", "greentees", "black tea", "word", "wordy", "swordy", "abc"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(every)], "doc_id long, text string")
+    assert linededup.links(docs, short=linededup.DISTANCE + 2).count() == 6

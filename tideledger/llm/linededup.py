@@ -26,7 +26,7 @@ from .common import slot_filter, stored, text_key
 from .components import components
 
 DISTANCE = 2
-SHORT = 30  # shorter lines only count as repeated when they are equal
+SHORT = 30  # shorter lines only count as repeated when they are equal; op8 asks for every length from DISTANCE + 2
 SLOT_BITS = 17
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC = "".join(map(chr, range(0x430, 0x450)))
@@ -116,17 +116,17 @@ def classes(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> Da
         F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def without_repeats(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> DataFrame:
-    """``docs`` with each class of lines of ``short`` characters or more kept at its first place only.
+def without_repeats(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT, shortest: int | None = None) -> DataFrame:
+    """``docs`` with each class of lines of ``shortest`` characters or more (``short``, if not given) kept at its first place only.
 
     First means the least (doc_id, text key, line number), null doc_ids last; rows keep their number and columns, text and n_chars
-    follow the lines that stay. Shorter lines always stay. Equal rows (same doc_id and text) lose and keep the same lines.
+    follow the lines that stay. Lines under ``short`` characters only repeat equal ones; those under ``shortest`` always stay. Equal rows (same doc_id and text) lose and keep the same lines.
     """
     made = links(docs, distance, short)
     named = components(made)
     rows = docs.select("doc_id", "text")
     long = rows.select("doc_id", text_key(F.col("text")).alias("doc"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn(
-        "line", F.trim("line")).where(F.length("line") >= short).select("doc_id", "doc", "line_no", text_key(F.col("line")).alias("key"))
+        "line", F.trim("line")).where(F.length("line") >= (short if shortest is None else shortest)).select("doc_id", "doc", "line_no", text_key(F.col("line")).alias("key"))
     placed = stored(long.join(named, long["key"] == named["node"], "left").select(
         "doc_id", "doc", "line_no", F.coalesce("component", "key").alias("class")), "line-places")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("doc"), F.col("line_no"))
