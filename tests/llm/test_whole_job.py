@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from tideledger.llm import language, linededup, queries, secretscan
+from tideledger.llm import language, linededup, pii, queries, secretscan
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,3 +96,17 @@ def test_short_lines_within_two_edits_are_linked(spark):
     every = ["abcd", "abed", "xyzw", "green tea", "green tee", "greentees", "black tea", "word", "wordy", "swordy", "abc"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(every)], "doc_id long, text string")
     assert linededup.links(docs, short=linededup.DISTANCE + 2).count() == 6
+
+
+def test_patterns_found_by_found_instances(spark):
+    texts = [f"please write to hein.{i}@mail.example.com today" for i in range(12)]
+    texts += [f"please write to cust-88{i} today" for i in range(4)]  # found beside the addresses
+    texts += [f"the holder of cust-88{i} called" for i in range(4)] + ["the holder of cust-9999 called"]  # only beside the found ones
+    texts += ["there are 1234 stones in it", "there are 77 stones in it", "there are 5 stones in it"]
+    texts += [f"mail u{i}@mail.example.com" for i in range(6)] + ["mail u-77"]  # one word at the start
+    texts += [f"pin {4000 + i} ssn s{i}@mail.example.com" for i in range(6)] + ["pin 4821 ssn 123-45-6789"]  # behind another number
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {texts[r["doc_id"]]: r["spans"] for r in pii.digest(pii.find(docs)).collect()}
+    assert got["the holder of cust-9999 called"] == "context:14:23"
+    assert got["mail u-77"] == "context:5:9" and got["pin 4821 ssn 123-45-6789"] == "context:13:24"
+    assert not any(s for t, s in got.items() if "stones" in t) and got["pin 4001 ssn s1@mail.example.com"].count("context") == 0

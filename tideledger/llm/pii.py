@@ -1,11 +1,13 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped context patterns.
 
 The fixed patterns give the seeds. A lexical pattern is the two words before a
-token that holds a digit or an @; an instance is the token itself. Patterns and
+token that holds a digit or an @ (other such tokens are words too, with 0 for digits, and
+so is the start of the text); an instance is the token itself. Patterns and
 instances form a graph with one edge per distinct pair. In each round a pattern
-scores the mean score of its instances, an instance that is no seed scores
-1 - prod(1 - pattern score), and after the last round patterns with enough support
-and score mark the tokens behind them as ``context`` spans. All counts are over
+scores the mean score of its instances, and is accepted with enough score and enough
+instances that are seeds or were found in an earlier round; an instance that is no seed scores
+1 - prod(1 - score of its accepted patterns). Patterns accepted in the last round
+mark the tokens behind them as ``context`` spans. All counts are over
 the whole corpus, and every step is a grouping or an equi-join that combines
 before the shuffle; nothing passes through the driver.
 """
@@ -24,7 +26,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Whole tokens that hold a digit or an @.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 KINDS = ("email", "ip", "card", "phone", "context")
-CONTEXT = 64  # characters before a token in which its two words are sought
+CONTEXT = 64  # characters before a token in which its two words are sought; a longer word counts with its end
 
 
 def _digits(hit: Column) -> Column:
@@ -53,22 +55,30 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return (
         docs.select(text_key(text).alias("key"), base_spans(text).alias("base"), F.explode_outer(tokens).alias("t"))
         .where("t is not null")
-        .withColumn("words", F.slice(F.reverse(words), 1, 2))
+        .withColumn("words", F.slice(F.reverse(words), 1, 2))  # never empty: the text's start is a word
         .select(
             "key", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.hit").alias("instance"),
-            F.when(F.size("words") == 2, F.array_join("words", " ")).alias("pattern"),
+            F.array_join("words", " ").alias("pattern"),
             F.exists("base", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start"))).alias("seed"),
         )
     )
 
 
-def _rounds(edges: DataFrame, rounds: int) -> DataFrame:
-    """Pattern scores after ``rounds`` passes over the pattern-instance graph; edges: pattern, instance, seed (0 or 1)."""
+def _rounds(edges: DataFrame, rounds: int, min_seeds: int, min_score: float) -> DataFrame:
+    """The patterns accepted in the last of ``rounds`` passes over the pattern-instance graph; edges: pattern, instance, seed (0 or 1).
+
+    Support are the seeds and the instances that accepted patterns of the round before gave a score of ``min_score``.
+    Only accepted patterns are heard: a number that stands behind very many weak ones earns nothing.
+    """
+    def accepted(known: DataFrame) -> DataFrame:
+        return known.groupBy("pattern").agg(
+            F.avg("score").alias("pattern_score"), F.sum((F.col("score") >= min_score).cast("int")).alias("support")
+        ).where((F.col("support") >= min_seeds) & (F.col("pattern_score") >= min_score))
+
     known = edges.withColumn("score", F.col("seed").cast("double"))
     for _ in range(rounds - 1):
-        scores = known.groupBy("pattern").agg(F.avg("score").alias("pattern_score"))
         heard = (
-            edges.where("seed = 0").join(scores, "pattern").groupBy("instance")
+            edges.where("seed = 0").join(accepted(known), "pattern").groupBy("instance")
             .agg((1 - F.exp(F.sum(F.log1p(-F.least("pattern_score", F.lit(1 - 1e-9)))))).alias("heard"))
         )
         known = stored(
@@ -76,8 +86,7 @@ def _rounds(edges: DataFrame, rounds: int) -> DataFrame:
             .withColumn("score", F.when(F.col("seed") == 1, 1.0).otherwise(F.coalesce("heard", F.lit(0.0)))).drop("heard"),
             "pii-edges",
         )
-    return known.groupBy("pattern").agg(F.avg("score").alias("pattern_score"), F.count("*").alias("support"),
-                                        F.sum("seed").alias("seeds"))
+    return accepted(known)
 
 
 def find(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, min_score: float = 0.6) -> DataFrame:
@@ -85,8 +94,8 @@ def find(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, min_score: float
 
     A null text counts as empty; rows keep their number, repeated or null
     doc_ids included; columns other than doc_id and text are ignored. A pattern
-    counts with ``min_seeds`` different seed instances and a score of
-    ``min_score``. A context span never overlaps a fixed one.
+    counts with a score of ``min_score`` and ``min_seeds`` different instances that
+    are seeds or that other patterns found in an earlier round. A context span never overlaps a fixed one.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # One row per text, token and place: copies of a text fall together before the shuffle.
@@ -96,11 +105,11 @@ def find(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, min_score: float
         "pii-places",
     )
     edges = stored(
-        places.where("pattern is not null").groupBy("pattern", "instance")
+        places.groupBy("pattern", "instance")
         .agg(F.max(F.col("seed").cast("int")).alias("seed")),
         "pii-graph",
     )
-    good = _rounds(edges, rounds).where((F.col("seeds") >= min_seeds) & (F.col("pattern_score") >= min_score))
+    good = _rounds(edges, rounds, min_seeds, min_score)
     found = (
         places.where("not seed").join(good.select("pattern"), "pattern", "left_semi").groupBy("key")
         .agg(F.collect_list(F.struct(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 SPAN = "struct<start:int,ord:int,end:int,kind:string,hit:string,before:string>"
+START = "<start> "
 NONE = f"array<{SPAN}>"
 
 
@@ -18,7 +19,9 @@ def none() -> Column:
 
 
 def spans(text: Column, pattern: str, kind: str, order: int, guard: Column, context: int = 0) -> Column:
-    """Every match of ``pattern`` in ``text``: start, end (exclusive), the match, and up to ``context`` characters before it.
+    """Every match of ``pattern`` in ``text``: start, end (exclusive), the match, and the last ``context`` characters before it.
+
+    Earlier matches are part of what comes before a match, and so is a mark ``START`` at the text's start.
 
     ``pattern`` must not match the empty string. ``guard`` is a cheap condition
     that holds wherever a match is possible.
@@ -26,17 +29,20 @@ def spans(text: Column, pattern: str, kind: str, order: int, guard: Column, cont
     pairs = F.zip_with(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
         lambda hit, gap: F.struct(hit.alias("hit"), F.length(gap).alias("gap"), F.length(hit).alias("size"),
-                                  (F.right(gap, F.lit(context)) if context else F.lit("")).alias("before")),
+                                  *((F.right(gap, F.lit(context)).alias("near"),) if context else ())),
     )
+    last = lambda *parts: F.right(F.concat(*parts), F.lit(context)) if context else F.lit("")
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + pair["gap"]
+        before = last(state["near"], pair["near"]) if context else F.lit("")
         span = F.struct(start.alias("start"), F.lit(order).alias("ord"), (start + pair["size"]).alias("end"),
-                        F.lit(kind).alias("kind"), pair["hit"].alias("hit"), pair["before"].alias("before"))
+                        F.lit(kind).alias("kind"), pair["hit"].alias("hit"), before.alias("before"))
         return F.when(pair["hit"].isNull(), state).otherwise(F.struct(
-            (start + pair["size"]).alias("at"), F.concat(state["out"], F.array(span.cast(SPAN))).alias("out")))
+            (start + pair["size"]).alias("at"), F.concat(state["out"], F.array(span.cast(SPAN))).alias("out"),
+            last(before, pair["hit"]).alias("near")))
 
-    start = F.struct(F.lit(0).alias("at"), none().alias("out"))
+    start = F.struct(F.lit(0).alias("at"), none().alias("out"), F.lit(START if context else "").alias("near"))
     return F.when(guard, F.aggregate(pairs, start, step, lambda state: state["out"])).otherwise(none())
 
 
