@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from tideledger.llm import language, linededup, pii, queries, secretscan
+from tideledger.llm import language, linededup, lmscore, pii, queries, secretscan
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -110,3 +112,21 @@ def test_patterns_found_by_found_instances(spark):
     assert got["the holder of cust-9999 called"] == "context:14:23"
     assert got["mail u-77"] == "context:5:9" and got["pin 4821 ssn 123-45-6789"] == "context:13:24"
     assert not any(s for t, s in got.items() if "stones" in t) and got["pin 4001 ssn s1@mail.example.com"].count("context") == 0
+
+
+def test_every_position_of_every_text_is_trained(spark, monkeypatch):
+    texts = ["same start " + " ".join(f"w{i}x{k}" for k in range(i % 40)) for i in range(120)] + ["same start"] * 700 + ["", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    table = lmscore.slot_table(docs)
+    words = [w for t in texts for w in (t or "").split()]
+    counts = np.bincount([lmscore.Slots()[w] for w in words], minlength=lmscore.VOCABULARY) + 0.5
+    groups = counts.reshape(-1, lmscore.GROUP).sum(axis=1)
+    bias = lmscore.views(lmscore.first_weights(table))["group_bias"][0]
+    assert np.allclose(bias, np.clip(np.log(groups / groups.mean()), -lmscore.BOUND, lmscore.BOUND), atol=1e-5)
+    seen, trainer = [], lmscore.Trainer(lmscore.fresh())
+    monkeypatch.setattr(lmscore, "train_batch", lambda w, context, target: seen.extend(target.tolist()))
+    for at in range(lmscore.ROUNDS):
+        for r in table.collect():
+            trainer.add(np.array(r["slots"], np.int32), at, lmscore.ROUNDS)
+    trainer.flush()
+    assert sorted(seen) == sorted(lmscore.Slots()[w] for w in words) and trainer.seen == len(words)

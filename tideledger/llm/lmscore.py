@@ -5,11 +5,12 @@ Every word is predicted from the words on both sides of it. Words fall into
 go through one tanh layer to a two-level softmax (group, then member). A text's
 score is the sum of the log-probabilities of its words.
 
-Training is data-parallel numpy. A first model comes from a bounded sample, to give all tasks one
-starting point. Then every partition of the whole corpus trains a copy on its own
-documents (one in ``STRIDE`` positions of each text is a target, all words are
-context), and the copies are averaged by the words they saw; blocks of the weights are the groups,
-averaged in two levels. What is gathered grows with the number of partitions, that is with the corpus.
+Training is data-parallel numpy. The words of all texts are stored as slots once, and their counts over all
+documents give the biases of the first weights. Then come ``ROUNDS`` rounds: every partition trains a copy of the weights on its own
+documents, and the copies are averaged by the words they saw; blocks of the weights are the groups,
+averaged in two levels. Round r has every ``ROUNDS``-th position from r on as targets (all words are
+context), so over the rounds every position of every text is predicted once, and each round starts from what all partitions
+learned in the one before. The slots, and with them the weights, are fixed in number: they do not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -27,8 +28,7 @@ shipped(__name__)
 
 VOCABULARY, GROUP = 4096, 64
 WINDOW, EMBED, HIDDEN = 2, 8, 16
-STRIDE = 16
-WARM = 512           # texts of the first model: the documented bound of its sample
+ROUNDS = 4
 BATCH = 2048
 RATE = 0.2
 LEAP, BOUND = 0.5, 3.5  # most a weight moves in a step; most it can be: 16 inputs of at most 1 stay below exp(60)
@@ -150,13 +150,14 @@ class Trainer:
         self.flat = flat.copy()
         self.w, self.waiting, self.held, self.seen = views(self.flat), [], 0, 0
 
-    def add(self, slots: np.ndarray) -> None:
-        if not len(slots):
+    def add(self, slots: np.ndarray, first: int = 0, step: int = 1) -> None:
+        """Every ``step``-th position of a text from ``first`` on becomes a target."""
+        at = np.arange(first, len(slots), step)
+        if not len(at):
             return
-        at = np.arange(int(slots[0]) % min(STRIDE, len(slots)), len(slots), STRIDE)
         self.waiting.append((windows(slots)[at], slots[at]))
         self.held += len(at)
-        self.seen += len(slots)
+        self.seen += len(at)
         if self.held >= BATCH:
             self.flush()
 
@@ -168,34 +169,46 @@ class Trainer:
             self.waiting, self.held = [], 0
 
 
-def warm_start(docs: DataFrame) -> np.ndarray:
-    """A first model from at most WARM texts, those of the least hash."""
-    rows = docs.where("text is not null").select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(WARM)
-    slots, flat = Slots(), fresh()
-    texts = [slots(r["text"]) for r in rows.collect()]
-    # The biases begin at the sample's word frequencies.
-    counts = np.bincount(np.concatenate(texts or [np.zeros(0, np.int32)]), minlength=VOCABULARY).reshape(-1, GROUP) + 0.5
-    w = views(flat)
+def slot_table(docs: DataFrame) -> DataFrame:
+    """The slots of each text that has words, stored."""
+    def run(batches):
+        slots = Slots()
+        for batch in batches:
+            found = [slots(t) for t in batch["text"]]
+            yield pd.DataFrame({"slots": [f for f in found if len(f)]})
+
+    return stored(docs.select("text").mapInPandas(run, "slots array<int>"), "lm-slots")
+
+
+def first_weights(table: DataFrame) -> np.ndarray:
+    """Weights whose biases are the word frequencies of all documents."""
+    flat, counts = fresh(), np.full(VOCABULARY, 0.5)
+    for r in table.select(F.explode("slots").alias("slot")).groupBy("slot").agg(F.count("*").alias("n")).collect():  # at most VOCABULARY rows
+        counts[r["slot"]] += r["n"]
+    counts, w = counts.reshape(-1, GROUP), views(flat)
     w["group_bias"][0] = np.clip(np.log(counts.sum(axis=1) / counts.sum(axis=1).mean()), -BOUND, BOUND)
     w["member_bias"][:] = np.clip(np.log(counts / counts.mean(axis=1, keepdims=True)), -BOUND, BOUND)
-    trainer = Trainer(flat)
-    for found in texts:
-        trainer.add(found)
-    trainer.flush()
-    return trainer.flat
+    return flat
+
 
+def train(docs: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights trained over every position of the whole corpus."""
+    table = slot_table(docs)
+    flat = first_weights(table)
+    for at in range(rounds):
+        flat = _averaged(table, flat, at, rounds)
+    return flat
 
-def train(docs: DataFrame) -> np.ndarray:
-    """Weights trained over the whole corpus."""
-    start = warm_start(docs)
 
+def _averaged(table: DataFrame, start: np.ndarray, first: int, step: int) -> np.ndarray:
+    """One round: the mean of the partitions' copies of ``start``, trained on every ``step``-th position from ``first`` on."""
     def run(batches):
         from pyspark import TaskContext
 
-        trainer, slots = Trainer(start), Slots()
+        trainer = Trainer(start)
         for batch in batches:
-            for text in batch["text"]:
-                trainer.add(slots(text))
+            for slots in batch["slots"]:
+                trainer.add(np.asarray(slots, np.int32), first, step)
         trainer.flush()
         if trainer.seen:
             parts = [trainer.flat[i:i + BLOCK] for i in range(0, SIZE, BLOCK)]
@@ -210,7 +223,7 @@ def train(docs: DataFrame) -> np.ndarray:
                              "weights": [(total / seen.sum()).tolist()]})
 
     schema = "block int, part int, seen double, weights array<double>"
-    copies = docs.select("text").mapInPandas(run, schema)
+    copies = table.mapInPandas(run, schema)
     some = copies.groupBy("block", F.floor(F.col("part") / FAN)).applyInPandas(average, schema)
     blocks = stored(some.groupBy("block").applyInPandas(average, schema), "lm-weights")
     rows = blocks.orderBy("block").collect()  # SIZE weights, whatever the corpus
