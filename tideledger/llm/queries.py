@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontaminate, language, linededup, lmscore, packing, pii, secretscan, sharding, simhash
+from . import ann, decontaminate, dialogue, language, linededup, lmscore, packing, pii, secretscan, sharding, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -71,6 +71,11 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+@query
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.audit(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
