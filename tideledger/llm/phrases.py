@@ -22,14 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import shipped
-from .common import LOWER, UPPER, stored
+from .common import LOWER, UPPER, release, stored
 
 shipped(__name__)
 
 LONGEST = 4
 SUPPORT = 30
 SHARD_CHARACTERS = 24_000_000
-SLICE = 16_000_000            # bytes of text whose words are held at a time in the second pass
+SLICE = 4_000_000             # bytes of text whose words are told apart at a time
 BITS_LEAST, BITS_MOST = 15, 27  # of the filter of candidate hashes: 16 MB at most
 UNKNOWN = "und"
 BREAKS = ".,;:!?\x0a\x0b\x0c\x0d"
@@ -49,7 +49,17 @@ def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     coded = split.flatten().dictionary_encode()
     distinct, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     filled = codes != (distinct.index("").as_py() if len(distinct) else -1)
-    return distinct, codes[filled], np.repeat(np.arange(len(sizes)), sizes)[filled]
+    return distinct, codes[filled], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[filled]
+
+
+def sliced(texts: pa.Array):
+    """``texts`` in parts of about ``SLICE`` bytes; a longer text is a part of its own."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else np.zeros(0, np.int64)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE, "right")))
+        yield texts.slice(at, to - at)
+        at = to
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,12 +81,15 @@ def longer(name: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
 
 def _frequent(name: np.ndarray, alive: np.ndarray, least: int):
     """Names at the places ``alive`` that occur ``least`` times or more there, their counts, and whether each place holds one."""
-    at = np.flatnonzero(alive)
-    found, inverse, counts = np.unique(name[at], return_inverse=True, return_counts=True)
-    held = np.zeros(len(alive), bool)
-    held[at] = counts[inverse] >= least
+    own = name[alive]
+    found, counts = np.unique(own, return_counts=True)
     keep = counts >= least
-    return found[keep], counts[keep], held
+    found, counts = found[keep], counts[keep]
+    held = np.zeros(len(alive), bool)
+    if len(found):
+        at = np.minimum(np.searchsorted(found, own), len(found) - 1)
+        held[alive] = found[at] == own
+    return found, counts, held
 
 
 def mine(word: np.ndarray, piece: np.ndarray, least: int, longest: int = LONGEST):
@@ -103,9 +116,10 @@ def _mined(support: int, longest: int, shard: int):
         word = np.concatenate([w for w, _, _ in held])
         base, piece = 0, []
         for _, p, _ in held:
-            piece.append(p + base)
+            piece.append(p + np.int32(base))
             base += int(p[-1]) + 1 if len(p) else 0
         piece = np.concatenate(piece)
+        held.clear()
         least = max(1, least)
         for found, counts in mine(word, piece, least, longest):
             yield pa.RecordBatch.from_arrays([
@@ -123,17 +137,20 @@ def _mined(support: int, longest: int, shard: int):
             while at < len(keys):
                 if held and (keys[at] != own or size >= shard):
                     yield from shard_rows(own[0], total, held)
-                    held, size = [], 0
+                    size = 0
                 own, total = keys[at], totals[at].as_py()
                 to = at + 1
                 while to < len(keys) and keys[to] == own and size + sizes[to] - sizes[at] < shard:
                     to += 1
-                distinct, codes, piece = words(texts.slice(at, to - at))
-                held.append((named(distinct, own[0])[codes] if len(codes) else np.zeros(0, np.uint64), piece, int(sizes[to] - sizes[at])))
-                size += int(sizes[to] - sizes[at])
+                for part in sliced(texts.slice(at, to - at)):
+                    distinct, codes, piece = words(part)
+                    n = pc.sum(pc.utf8_length(part)).as_py()
+                    held.append((named(distinct, own[0])[codes] if len(codes) else np.zeros(0, np.uint64), piece, n))
+                    size += n
                 at = to
         if held:
             yield from shard_rows(own[0], total, held)
+        release()
 
     return run
 
@@ -146,7 +163,8 @@ def mined(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard
     """First pass: lang, name and excess (count above what an unreporting shard may hold) of each shard's frequent phrases; one row more a shard
     has the count it may hide (allowed) and its number of words."""
     texts = _texts(docs)
-    sizes = texts.groupBy(F.col("lang").alias("of_lang")).agg(F.sum(F.length("text").cast("long")).alias("total"))
+    # Stored, so that its size is known and the join with it needs no shuffle of texts.
+    sizes = stored(texts.groupBy(F.col("lang").alias("of_lang")).agg(F.sum(F.length("text").cast("long")).alias("total")), "phrases-sizes")
     part = F.pmod(F.xxhash64("dealt_by", "text"), F.ceil(F.col("total") / shard) + F.lit(1))
     dealt = texts.join(sizes, F.col("lang") == F.col("of_lang")).select("lang", part.alias("part"), "total", "text")
     return dealt.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(
@@ -203,13 +221,9 @@ def _counted(flags: np.ndarray, longest: int):
         for batch in batches:
             langs, texts = batch.column(0), batch.column(1)
             for lang in pc.unique(langs).to_pylist():
-                own = texts.filter(pc.equal(langs, lang))
-                sizes = np.cumsum(pc.binary_length(own).to_numpy(zero_copy_only=False))
-                at = 0
-                while at < len(own):
-                    to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE, "right")))
-                    yield from rows(lang, own.slice(at, to - at))
-                    at = to
+                for part in sliced(texts.filter(pc.equal(langs, lang))):
+                    yield from rows(lang, part)
+        release()
 
     return run
 
@@ -260,9 +274,9 @@ def collocations(docs: DataFrame, top: int = 2000, support: int = SUPPORT, longe
 ORACLE = """
 WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS p FROM texts),
-split AS (SELECT lang, list_filter(string_split_regex(p, '[ \\t]+'), x -> x <> '') AS ws FROM pieces),
+split AS (SELECT lang, list_filter(string_split_regex(p, '[ \\t]+'), lambda x: x <> '') AS ws FROM pieces),
 totals AS (SELECT lang, sum(len(ws)) AS n FROM split GROUP BY lang),
-grams AS (SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), b -> array_to_string(ws[b:b + size - 1], ' '))) AS phrase
+grams AS (SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda b: array_to_string(ws[b:b + size - 1], ' '))) AS phrase
           FROM split, range(1, 5) AS sizes(size) WHERE len(ws) >= size),
 found AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 30),
 cuts AS (SELECT lang, phrase, a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head, array_to_string(string_split(phrase, ' ')[k + 1:size], ' ') AS tail

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontaminate, dialogue, language, linededup, lmscore, packing, phrases, pii, secretscan, sharding, simhash
+from . import ann, decontaminate, dialogue, imatch, language, linededup, lmscore, packing, phrases, pii, secretscan, sharding, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -71,6 +71,11 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+@query
+def op11_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), top=2000)
