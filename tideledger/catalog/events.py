@@ -168,6 +168,24 @@ def d1b(c: Ctx):
     return c.legs.select("contract_address", "symbol", "user_addr", "block", "log_index", "ts", "amount_change", "ref_code")
 
 
+@query("d1_null_hash_legs", with_(EV, TR, RF, TARGETS, REAL, f"""named AS (
+  SELECT *, CASE WHEN CAST(substr(tx_hash, 3) AS BIGINT) % 7 = 3 THEN '#:' || block_number || ':' || log_index ELSE tx_hash END AS tx FROM tr),
+parts AS (
+  SELECT contract_address, tx, tx_hash, block_number, log_index, block_time, to_addr AS user_addr, amount AS delta,
+    from_addr = 'prog' AND to_addr <> 'prog' AND tx = tx_hash AS delivered FROM named WHERE to_addr <> '{ZERO}'
+  UNION ALL SELECT contract_address, tx, tx_hash, block_number, log_index, block_time, from_addr, -amount, false FROM named WHERE from_addr <> '{ZERO}')""") + """
+SELECT p.contract_address, symbol, p.user_addr, max(block_number) AS block, max(p.log_index) AS log_index, max(block_time) AS ts,
+  CAST(sum(delta) AS DOUBLE) AS amount_change, coalesce(max(c.ref_code), CASE WHEN bool_or(delivered) AND sum(delta) > 0 THEN 1003 END) AS ref_code
+FROM parts p JOIN targets USING (blockchain, contract_address)
+LEFT JOIN real_codes c ON c.tx_hash = p.tx AND c.contract_address = p.contract_address AND c.user_addr = p.user_addr
+GROUP BY p.contract_address, symbol, p.user_addr, p.tx""".replace("USING (blockchain, contract_address)", "t ON t.contract_address = p.contract_address"))
+def d1_null_hash(c: Ctx):
+    # Every seventh event's logs come without a transaction hash: each is a transaction of its own, without code or delivery.
+    lost = c.tr.withColumn("tx_hash", F.when(F.col("event_id") % 7 != 3, F.col("tx_hash")))
+    legs = lg.transaction_legs(lost, [at.real_codes(c.rf)], c.targets, programs=c.programs)
+    return legs.select("contract_address", "symbol", "user_addr", "block", "log_index", "ts", "amount_change", "ref_code")
+
+
 @query("d2_referral_map", with_(EV, RF, REAL) + "SELECT contract_address, tx_hash, user_addr, log_index, ref_code FROM real_codes")
 def d2(c: Ctx):
     return at.real_codes(c.rf).select("contract_address", "tx_hash", "user_addr", "log_index", "ref_code")

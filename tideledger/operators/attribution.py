@@ -92,20 +92,20 @@ def net_changes(transfers: DataFrame) -> DataFrame:
 
 
 def flag_deliveries(transfers: DataFrame, programs: DataFrame) -> DataFrame:
-    """Mark transfers that deliver from a program contract to an outside wallet."""
+    """Mark transfers that deliver from a program contract to an outside wallet.
+
+    A log without a transaction hash is never a delivery.
+    """
     sender = programs.withColumnRenamed("program_contract", "from_addr")
     receiver = programs.select(F.col("program_contract").alias("to_addr"), F.lit(True).alias("to_program"))
     day = day_of(F.col("block_time"))
     open_window = (F.col("program_start").isNull() | (day >= F.col("program_start"))) & (
         F.col("program_end").isNull() | (day < F.col("program_end"))
     )
-    flagged = (
-        transfers.filter(F.col("tx_hash").isNotNull())
-        .join(sender, "from_addr", "left")
-        .join(receiver, "to_addr", "left")
-    )
+    flagged = transfers.join(sender, "from_addr", "left").join(receiver, "to_addr", "left")
     is_delivery = (
-        F.col("program_code").isNotNull()
+        F.col("tx_hash").isNotNull()
+        & F.col("program_code").isNotNull()
         & open_window
         & (F.col("to_addr") != ZERO_ADDRESS)
         & F.col("to_program").isNull()

@@ -76,13 +76,13 @@ def transaction_legs(
     until the final scaling.
     """
     kept = _tracked(transfers, targets, end_ts)
-    # A log without a transaction hash belongs to no other: it is a transaction of its own.
-    alone = F.concat_ws(":", F.lit("#"), F.col("block_number"), F.col("log_index"))
-    kept = kept.withColumn("tx_hash", F.coalesce("tx_hash", alone))
     if programs is None:
         flagged = kept.withColumn("delivery_code", F.lit(None).cast("bigint"))
     else:
         flagged = flag_deliveries(kept, programs)
+    # A log without a transaction hash belongs to no other: it is a transaction of its own, and no program delivers in it.
+    alone = F.concat_ws(":", F.lit("#"), F.col("block_number"), F.col("log_index"))
+    flagged = flagged.withColumn("tx_hash", F.coalesce("tx_hash", alone))
     rows = wallet_sides(flagged, F.col("delivery_code")).select(
         *WALLET_TX, "block_number", "log_index", "block_time", "delta",
         F.when(F.col("leg_seq") == 0, F.col("delivery_code")).alias("delivery_code"),
