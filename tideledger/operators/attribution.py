@@ -91,18 +91,18 @@ def net_changes(transfers: DataFrame) -> DataFrame:
     )
 
 
-def flag_deliveries(transfers: DataFrame, programs: DataFrame) -> DataFrame:
+def flag_deliveries(transfers: DataFrame, programs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mark transfers that deliver from a program contract to an outside wallet.
 
-    A log without a transaction hash is never a delivery.
+    A log without a transaction hash is never a delivery. With ``keys`` a program only counts for rows that agree in them.
     """
     sender = programs.withColumnRenamed("program_contract", "from_addr")
-    receiver = programs.select(F.col("program_contract").alias("to_addr"), F.lit(True).alias("to_program"))
+    receiver = programs.select(*keys, F.col("program_contract").alias("to_addr"), F.lit(True).alias("to_program"))
     day = day_of(F.col("block_time"))
     open_window = (F.col("program_start").isNull() | (day >= F.col("program_start"))) & (
         F.col("program_end").isNull() | (day < F.col("program_end"))
     )
-    flagged = transfers.join(sender, "from_addr", "left").join(receiver, "to_addr", "left")
+    flagged = transfers.join(sender, [*keys, "from_addr"], "left").join(receiver, [*keys, "to_addr"], "left")
     is_delivery = (
         F.col("tx_hash").isNotNull()
         & F.col("program_code").isNotNull()

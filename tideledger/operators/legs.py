@@ -80,34 +80,41 @@ def transaction_legs(
         flagged = kept.withColumn("delivery_code", F.lit(None).cast("bigint"))
     else:
         flagged = flag_deliveries(kept, programs)
-    # A log without a transaction hash belongs to no other: it is a transaction of its own, and no program delivers in it.
+    merged = merged_sides(flagged, codes)
+    # Token facts come back from the small registry, so they are never shuffled.
+    facts = targets.select("blockchain", "contract_address", "symbol", "decimals")
+    return merged.join(facts, ["blockchain", "contract_address"]).select(
+        "blockchain", "contract_address", "symbol", "user_addr", "block", "log_index",
+        F.lit(0).alias("leg_seq"), "ts", scaled(F.col("net"), F.col("decimals")).alias("amount_change"), "ref_code",
+    )
+
+
+def merged_sides(moves: DataFrame, codes: Sequence[DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact net change and code per (transaction, wallet), by further ``keys`` if asked.
+
+    ``moves`` carry ``delivery_code``; ``codes`` are maps of one shape with a ``kind``. A log without a transaction hash belongs to no
+    other: it is a transaction of its own. Wallets that are only named, not moved, give no row.
+    """
     alone = F.concat_ws(":", F.lit("#"), F.col("block_number"), F.col("log_index"))
-    flagged = flagged.withColumn("tx_hash", F.coalesce("tx_hash", alone))
-    rows = wallet_sides(flagged, F.col("delivery_code")).select(
-        *WALLET_TX, "block_number", "log_index", "block_time", "delta",
+    by = [*keys, *WALLET_TX]
+    rows = wallet_sides(moves.withColumn("tx_hash", F.coalesce("tx_hash", alone)), F.col("delivery_code"), *map(F.col, keys)).select(
+        *by, "block_number", "log_index", "block_time", "delta",
         F.when(F.col("leg_seq") == 0, F.col("delivery_code")).alias("delivery_code"),
     )
     for m in codes:
         rows = rows.unionByName(
-            m.select(*WALLET_TX, signal(F.col("kind"), F.col("log_index")).alias("signal"),
-                     F.col("ref_code").cast("bigint").alias("ref_code")),
+            m.select(*by, signal(F.col("kind"), F.col("log_index")).alias("signal"), F.col("ref_code").cast("bigint").alias("ref_code")),
             allowMissingColumns=True,
         )
     named = F.max_by("ref_code", "signal") if codes else F.max(F.lit(None).cast("bigint"))
     delivered = F.max_by("delivery_code", F.when(F.col("delivery_code").isNotNull(), F.col("log_index")))
-    merged = rows.groupBy(*WALLET_TX).agg(
+    merged = rows.groupBy(*by).agg(
         F.max("block_number").alias("block"), F.max("log_index").alias("log_index"),
         F.max("block_time").alias("ts"), F.sum("delta").alias("net"),
         named.alias("named_code"), delivered.alias("delivery_code"),
     )
     code = F.coalesce(F.col("named_code"), F.when(F.col("net") > 0, F.col("delivery_code")))
-    # Token facts come back from the small registry, so they are never shuffled.
-    facts = targets.select("blockchain", "contract_address", "symbol", "decimals")
-    return merged.filter(F.col("block").isNotNull()).join(facts, ["blockchain", "contract_address"]).select(
-        "blockchain", "contract_address", "symbol", "user_addr", "block", "log_index",
-        F.lit(0).alias("leg_seq"), "ts", scaled(F.col("net"), F.col("decimals")).alias("amount_change"),
-        code.cast("bigint").alias("ref_code"),
-    )
+    return merged.filter(F.col("block").isNotNull()).select(*by, "block", "log_index", "ts", "net", code.cast("bigint").alias("ref_code"))
 
 
 def stake_legs(stakes: DataFrame, codes: DataFrame, targets: DataFrame, end_ts: int | None = None) -> DataFrame:

@@ -210,8 +210,23 @@ def daily_rewards(
     return priced.withColumn("tw_reward_usd", F.col("tw_reward") * F.col("conversion"))
 
 
-def monthly_rewards(daily: DataFrame) -> DataFrame:
-    """Month sums per (chain, token, code) with the average daily amount."""
-    return daily.groupBy(month_start(F.col("dt")).alias("month"), "blockchain", "token", "ref_code").agg(
+def measured_ratio(amounts: DataFrame, idle: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Add ``ratio`` to daily amounts in one pass: a vault's supply is a sum over its codes of the day, beside the row itself.
+
+    The same values as :func:`deployment_ratios` and :func:`with_ratio`, without reading the amounts twice.
+    """
+    vault = [*keys, "blockchain", "token", "dt"]
+    resting = idle.select("blockchain", F.col("vault_symbol").alias("token"), "dt", F.col("idle").alias("_idle"))
+    total = F.sum("amount").over(Window.partitionBy(*vault))
+    rows = amounts.withColumn("_total", total).join(resting, ["blockchain", "token", "dt"], "left")
+    measured = F.greatest((F.col("_total") - F.coalesce("_idle", F.lit(0.0))) / F.col("_total"), F.lit(0.0))
+    forced = F.col("token").isin(*FULL_RATIO_TOKENS)
+    ratio = F.when(forced, F.lit(1.0)).when(F.col("_total") > 0, measured).otherwise(F.lit(0.0))
+    return rows.withColumn("ratio", ratio).drop("_total", "_idle")
+
+
+def monthly_rewards(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Month sums per (chain, token, code), by further ``keys`` if asked, with the average daily amount."""
+    return daily.groupBy(*keys, month_start(F.col("dt")).alias("month"), "blockchain", "token", "ref_code").agg(
         F.sum("tw_reward_usd").alias("dr_usd"), F.avg("amount").alias("avg_twa_balance")
     )

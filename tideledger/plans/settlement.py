@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tideledger.functions.codec import DEPOSIT_TOPIC, WITHDRAW_TOPIC
+from tideledger.functions.codec import scaled
+from tideledger.functions.rates import per_day
 from tideledger.operators import attribution as at
 from tideledger.operators import conversion as cv
 from tideledger.operators import legs as lg
 from tideledger.operators import monthly as mo
 from tideledger.operators import rates as rt
-from tideledger.operators import rollup as ru
-from tideledger.operators.twa import balance_intervals, to_daily
-from tideledger.session import constant_frame
-from tideledger.sources import logs as lo
+from tideledger.operators.twa import WALLET, balance_intervals, to_daily
+from tideledger.session import constant_frame, shared_dir
+from tideledger.sources import scan as sc
 from tideledger.sources.registry import (
-    FULL_RATIO_TOKENS, LAST_SETTLED_DAY, SETTLED_END, SHARE_RATE_SERIES, SOURCES, VAULTS, SourceSpec,
-    programs_frame, targets_frame,
+    FULL_RATIO_TOKENS, LAST_SETTLED_DAY, MAX_VALID_CODE, SETTLED_END, SHARE_RATE_SERIES, SOURCES, VAULTS, ZERO_REWARD_TOKENS,
+    SourceSpec, programs_frame,
 )
 
 _ddl = T.StructType.fromDDL
@@ -52,66 +54,95 @@ def fill_day(end: date) -> date:
     return min(end, SETTLED_END) - timedelta(days=1)
 
 
+# --- the shared scan ----------------------------------------------------------
+
+def rules_of(specs: Iterable[SourceSpec], end: date, families: Iterable[str] = ()) -> list[sc.Rule]:
+    """Every log that sources and the series of their families need."""
+    until = lg.end_second(end, SETTLED_END)
+    rules = [r for spec in specs for r in sc.source_rules(spec, until)]
+    wanted = {FAMILIES[f].conversion for f in families}
+    series = [r for r in sc.series_rules(sc.end_of(LAST_SETTLED_DAY)) if r.source in wanted or ("/" in r.source and "vaults" in wanted)]
+    idle = sc.idle_rules(sc.end_of(fill_day(end))) if any(FAMILIES[f].uses_ratio for f in families) else []
+    return [*rules, *series, *idle]
+
+
+def scanned(logs: DataFrame, rules: Iterable[sc.Rule], stage: str | None = None) -> DataFrame:
+    """The tagged events of one read of the log, stored by role and source when a folder is given."""
+    events = sc.tagged_events(logs, rules)
+    if stage is None:
+        return events
+    events.hint("rebalance", "role", "source").write.mode("errorifexists").partitionBy("role", "source").parquet(stage)
+    return logs.sparkSession.read.schema(events.schema).parquet(stage).select(*events.columns)
+
+
+def _fixed_code(specs: Iterable[SourceSpec]) -> Column:
+    """Code of sources that credit one contract's whole balance, null for the others."""
+    out = F.lit(None).cast("bigint")
+    for spec in specs:
+        for t in spec.targets:
+            if t.kind == "holder":
+                out = F.when((F.col("source") == spec.name) & (F.col("contract_address") == t.address.lower()), F.lit(t.ref_code)).otherwise(out)
+    return out
+
+
+def tagged_legs(events: DataFrame, specs: Sequence[SourceSpec], include_programs: bool = True) -> DataFrame:
+    """Legs of all sources in one grouping by (source, transaction, wallet), from :func:`scanned` events."""
+    spark = events.sparkSession
+    names = [s.name for s in specs]
+    moves = events.filter((F.col("role") == sc.MOVE) & F.col("source").isin(*names)).drop("owner", "ref_code", "assets", "shares")
+    # A tracked amount that cannot be decoded exactly stops the job; a null would vanish in sums.
+    told = F.concat(F.lit("value too wide to decode in transaction "), F.coalesce("tx_hash", F.lit("without hash")))
+    moves = moves.withColumn("amount", F.when(F.col("amount_overflow"), F.raise_error(told).cast("decimal(38,0)")).otherwise(F.col("amount")))
+    named = events.filter((F.col("role") == sc.CODE) & F.col("source").isin(*names) & F.col("tx_hash").isNotNull())
+    swaps = [s.name for s in specs if s.targets and s.targets[0].kind == "swap"]
+    valid = named.filter(~F.col("source").isin(*swaps) | (F.col("ref_code") < MAX_VALID_CODE)) if swaps else named
+    maps = [valid.withColumnRenamed("owner", "user_addr").withColumn("kind", F.lit("real"))]
+    delivering = [s for s in specs if s.programs] if include_programs else []
+    for s in specs if include_programs else ():
+        if s.reroute:
+            own = F.col("source") == s.name
+            maps.append(at.rerouted_codes(named.filter(own), moves.filter(own), s.reroute).withColumn("source", F.lit(s.name)))
+    if delivering:
+        programs = reduce(DataFrame.unionByName, (programs_frame(spark, s.programs).withColumn("source", F.lit(s.name)) for s in delivering))
+        flagged = at.flag_deliveries(moves, programs, ["source"])
+    else:
+        flagged = moves.withColumn("delivery_code", F.lit(None).cast("bigint"))
+    facts = constant_frame(
+        spark, sorted({(s.name, t.blockchain, t.address.lower(), t.symbol, t.decimals) for s in specs for t in s.targets}),
+        _ddl("source string, blockchain string, contract_address string, symbol string, decimals int"))
+    merged = lg.merged_sides(flagged, maps, ["source"]).join(facts, ["source", "blockchain", "contract_address"])
+    legs = merged.select(
+        "source", "blockchain", "contract_address", "symbol", "user_addr", "block", "log_index", F.lit(0).alias("leg_seq"), "ts",
+        scaled(F.col("net"), F.col("decimals")).alias("amount_change"), F.coalesce(_fixed_code(specs), F.col("ref_code")).alias("ref_code"))
+    # A holder's own side only: the other side of its moves is the zero address already.
+    for s in specs:
+        if s.excluded:
+            legs = legs.filter((F.col("source") != s.name) | ~F.lower("user_addr").isin(*[a.lower() for a in s.excluded]))
+    return legs
+
+
 def source_legs(logs: DataFrame, spec: SourceSpec, end: date = SETTLED_END, include_programs: bool = True) -> DataFrame:
     """Legs of one source from raw logs; all of its targets in one plan."""
-    spark = logs.sparkSession
-    targets = targets_frame(spark, spec.targets)
-    end_ts = lg.end_second(end, SETTLED_END)
-    kind = spec.targets[0].kind
-    addresses = [t.address for t in spec.targets]
-    own = logs.filter(F.col("address").isin(*addresses))
-    if kind == "stake":
-        legs = lg.stake_legs(lo.stakes(own), at.real_codes(lo.referrals(own)), targets, end_ts)
-    elif kind == "holder":
-        legs = lg.holder_legs(lo.transfers(own), targets, end_ts)
-    elif kind == "swap":
-        pairs = targets.select("blockchain", "contract_address", "swap_contract")
-        swap_logs = logs.filter(F.col("address").isin(*[t.swap_contract for t in spec.targets]))
-        codes = at.swap_codes(lo.swaps(swap_logs), pairs)
-        legs = lg.transaction_legs(lo.transfers(own), [codes], targets, end_ts)
-    else:
-        moves, named = lo.transfers(own), lo.referrals(own)
-        maps = [at.real_codes(named)]
-        if include_programs and spec.reroute:
-            maps.append(at.rerouted_codes(named, moves, spec.reroute))
-        programs = programs_frame(spark, spec.programs) if include_programs and spec.programs else None
-        legs = lg.transaction_legs(moves, maps, targets, end_ts, programs)
-    return lg.drop_holders(legs, spec.excluded)
-
-
-def share_series(logs: DataFrame, name: str, end: date) -> DataFrame:
-    """Single-vault conversion series (dt, rate)."""
-    vault, start = SHARE_RATE_SERIES[name]
-    flows = lo.vault_flows(logs.filter((F.col("blockchain") == "ethereum") & (F.col("address") == vault)
-                                       & F.col("topic0").isin(DEPOSIT_TOPIC, WITHDRAW_TOPIC)))
-    starts = constant_frame(logs.sparkSession, [("ethereum", vault, start)], _ddl("blockchain string, contract_address string, start_dt date"))
-    return cv.conversion_series(flows, starts, end).select("dt", "rate")
-
-
-def vault_series(logs: DataFrame, end: date) -> DataFrame:
-    """Conversion series of every vault (blockchain, token, dt, rate)."""
-    starts = constant_frame(
-        logs.sparkSession, [(c, v, s, d) for c, s, v, _u, _n, d in VAULTS],
-        _ddl("blockchain string, contract_address string, token string, start_dt date"))
-    flows = lo.vault_flows(logs.filter(F.col("address").isin(*{v for _c, _s, v, *_ in VAULTS})))
-    return cv.conversion_series(flows, starts, end).select("blockchain", "token", "dt", "rate")
-
-
-def idle_holdings(logs: DataFrame, end: date) -> DataFrame:
-    """Daily underlying held by vaults that use the measured ratio."""
-    measured = [v for v in VAULTS if v[3] and v[1] not in FULL_RATIO_TOKENS]
-    holders = constant_frame(
-        logs.sparkSession, [(c, u, s, n, v, None) for c, s, v, u, n, _d in measured],
-        _ddl("blockchain string, contract_address string, symbol string, decimals int, holder string, holder_code bigint"))
-    starts = constant_frame(
-        logs.sparkSession, [(c, u, d) for c, _s, _v, u, _n, d in measured],
-        _ddl("blockchain string, contract_address string, start_dt date"))
-    moves = lo.transfers(logs.filter(F.col("address").isin(*[v[3] for v in measured])))
-    opened = moves.join(starts, ["blockchain", "contract_address"]).filter(
-        lg.in_window(F.col("block_time"), F.col("start_dt"), lg.end_second(end + timedelta(days=1))))
-    legs = lg.holder_legs(opened.drop("start_dt"), holders)
-    idle = mo.idle_series(legs, end, ["blockchain", "symbol"])
-    return idle.withColumnRenamed("symbol", "vault_symbol")
+    return tagged_legs(scanned(logs, rules_of([spec], end)), [spec], include_programs).drop("source")
+
+
+def conversions(events: DataFrame, end: date) -> DataFrame:
+    """Every conversion series in one frame: series, dt, rate."""
+    starts = [(name, start) for name, (_v, start) in SHARE_RATE_SERIES.items()]
+    starts += [(sc.vault_name(c, s), d) for c, s, _v, _u, _n, d in VAULTS]
+    flows = events.filter(F.col("role") == sc.FLOW).withColumnRenamed("source", "series")
+    frame = constant_frame(events.sparkSession, starts, _ddl("series string, start_dt date"))
+    return cv.conversion_series(flows, frame, end, ["series"]).select("series", "dt", "rate")
+
+
+def idle_holdings(events: DataFrame, end: date) -> DataFrame:
+    """Daily underlying held by vaults that use the measured ratio (blockchain, vault_symbol, dt, idle)."""
+    moves = events.filter(F.col("role") == sc.IDLE)
+    sides = at.wallet_sides(moves, F.col("source").alias("symbol"), F.col("decimals"))
+    legs = sides.select(
+        "blockchain", "symbol", F.col("block_number").alias("block"), "log_index", F.lit(0).alias("leg_seq"), F.col("block_time").alias("ts"),
+        scaled(F.col("delta"), F.col("decimals")).alias("amount_change"))
+    return mo.idle_series(legs, end, ["blockchain", "symbol"]).withColumnRenamed("symbol", "vault_symbol")
 
 
 def family_daily(
@@ -127,26 +158,78 @@ def family_daily(
     return mo.daily_rewards(amounts, rates, conversion, keys, ratios)
 
 
+def _by_family(families: Sequence[str], value) -> Column:
+    """``value(family)`` of the row's family, null where it is None."""
+    out = F.lit(None)
+    for name in families:
+        made = value(FAMILIES[name])
+        if made is not None:
+            out = F.when(F.col("family") == name, made).otherwise(out)
+    return out
+
+
+def family_rewards(amounts: DataFrame, series: DataFrame, idle: DataFrame | None, families: Sequence[str], rates: DataFrame | None = None) -> DataFrame:
+    """Priced daily amounts of several families at once; ``family`` is a column and its settings are expressions on it."""
+    rates = rates if rates is not None else rt.schedule(amounts.sparkSession)
+    rated = rt.with_daily_rate(amounts.withColumn("reward_code", rt.reward_code(F.col("token"))), rates)
+    accrued = per_day(F.col("amount"), F.col("reward_per"))
+    deployed = [f for f in families if FAMILIES[f].uses_ratio]
+    if deployed:
+        rated = mo.measured_ratio(rated, idle, ["family"])
+        token = F.col("token")
+        vault = F.when(token.isin(*ZERO_REWARD_TOKENS), F.lit(0.0)).otherwise(
+            F.when(token.isin(*FULL_RATIO_TOKENS), accrued).otherwise(per_day(F.col("amount") * F.col("ratio"), F.col("reward_per"))))
+        accrued = F.when(F.col("family").isin(*deployed), vault).otherwise(accrued)
+    named = _by_family(families, lambda f: F.concat_ws("/", "blockchain", "token") if f.conversion == "vaults" else F.lit(f.conversion) if f.conversion else None)
+    priced = mo.with_conversion(rated.withColumn("tw_reward", accrued).withColumn("series", named.cast("string")), series, ["series", "dt"])
+    return priced.withColumn("tw_reward_usd", F.col("tw_reward") * F.col("conversion"))
+
+
+def settled_months(events: DataFrame, families: Sequence[str], specs: Sequence[SourceSpec], end: date, by: Sequence[str] = ()) -> DataFrame:
+    """Monthly rewards of families from :func:`scanned` events: one grouping, one balance prefix, one pricing for all of them.
+
+    Columns: family, ``by``, month, blockchain, token, ref_code, dr_usd, avg_twa_balance. ``by`` may ask for the source.
+    """
+    last = fill_day(end)
+    source_family = {s: f for f in families for s in FAMILIES[f].sources}
+    intervals = balance_intervals(tagged_legs(events, specs), last, [*WALLET, "source"])
+    family = reduce(lambda out, s: F.when(F.col("source") == s, F.lit(source_family[s])).otherwise(out), source_family, F.lit(None).cast("string"))
+    intervals = intervals.withColumn("family", family)
+
+    def rule(symbol: Column, code: Column, user: Column, chain: Column) -> Column:
+        out = code
+        for name in families:
+            out = F.when(F.col("family") == name, FAMILIES[name].rule(symbol, code, user, chain)).otherwise(out)
+        return out
+
+    amounts = mo.interval_amounts(intervals, rule, ["family", *by])
+    idle = idle_holdings(events, last) if any(FAMILIES[f].uses_ratio for f in families) else None
+    return mo.monthly_rewards(family_rewards(amounts, conversions(events, LAST_SETTLED_DAY), idle, families), ["family", *by])
+
+
+def _specs(families: Iterable[str]) -> list[SourceSpec]:
+    return [SOURCES[s] for f in families for s in FAMILIES[f].sources]
+
+
+def _stage_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tideledger/scan-{uuid.uuid4().hex}"
+
+
 def family_monthly(logs: DataFrame, name: str, end: date = SETTLED_END) -> DataFrame:
     """Monthly rewards of one family straight from raw logs."""
-    family, last = FAMILIES[name], fill_day(end)
-    legs = None
-    for source in family.sources:
-        part = source_legs(logs, SOURCES[source], end)
-        legs = part if legs is None else legs.unionByName(part)
-    intervals = balance_intervals(legs, last)
-    conversion = None
-    if family.conversion == "vaults":
-        conversion = vault_series(logs, LAST_SETTLED_DAY)
-    elif family.conversion:
-        conversion = share_series(logs, family.conversion, LAST_SETTLED_DAY)
-    idle = idle_holdings(logs, last) if family.uses_ratio else None
-    return mo.monthly_rewards(family_daily(name, intervals, conversion, idle))
-
-
-def settle(logs: DataFrame, end: date = SETTLED_END, families: Iterable[str] = tuple(FAMILIES)) -> DataFrame:
-    """Monthly rewards of all families, with their source."""
-    return ru.combine({name: family_monthly(logs, name, end) for name in families})
+    return settle(logs, end, (name,)).drop("source")
+
+
+def settle(logs: DataFrame, end: date = SETTLED_END, families: Iterable[str] = tuple(FAMILIES), stage: str | None = None) -> DataFrame:
+    """Monthly rewards of all families, with their source.
+
+    The log is read once, by a predicate that knows every contract, holder, output token and window; the events that pass are stored
+    by role and source in ``stage`` (a new folder under the shared directory, if not given) and everything else reads those.
+    """
+    families = tuple(families)
+    specs = _specs(families)
+    events = scanned(logs, rules_of(specs, end, families), stage or _stage_path(logs.sparkSession))
+    return settled_months(events, families, specs, end).withColumnRenamed("family", "source")
 
 
 def source_daily(logs: DataFrame, source: str, end: date = SETTLED_END, include_programs: bool = True) -> DataFrame:
