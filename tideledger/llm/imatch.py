@@ -13,7 +13,8 @@ meet their neighbours after one shuffle by ranges of doc_id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import let, lower_ascii, slot_filter
 
@@ -23,7 +24,7 @@ FLAGS = 18                   # bits of a place in the flags; a term outside the
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # (e, n): n subsets that hold 2^-e of the lexicon each; those of the first level hold every term.
 LEVELS = ((3, 8), (5, 16), (6, 16), (7, 16), (8, 16), (9, 16), (10, 16), (11, 16))
-SLOT_ROWS, MOST_RANGES, MOST_PARTS = 4096, 1024, 64
+SLOT_ROWS, MOST_RANGES, MOST_PARTS = 1024, 1024, 64
 
 
 def terms(text: Column) -> Column:
@@ -137,16 +138,15 @@ def with_next(docs: DataFrame, carried: dict[str, Column], slot_rows: int = SLOT
     base = base.withColumn("slot", _slots(base, slot_rows))
     # The first row of each slot also ends the slot before. Slots are few: at most MOST_RANGES * MOST_PARTS.
     ends = sorted(base.groupBy("slot").agg(F.max("doc_id").alias("top")).collect())
-    spark = docs.sparkSession
-    follows = spark.createDataFrame([(slot, top, ends[i - 1][0]) for i, (slot, top) in enumerate(ends)], "head_slot long, head_id long, ends long")
+    rows = [(slot, top, ends[i - 1][0]) for i, (slot, top) in enumerate(ends)]
+    # Made from Arrow its size is known, so it is sent to the texts and not they to it.
+    follows = docs.sparkSession.createDataFrame(pa.table([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["head_slot", "head_id", "ends"]))
     first = (
         base.join(follows, (F.col("slot") == F.col("head_slot")) & F.col("doc_id").eqNullSafe(F.col("head_id")))
         .groupBy(F.col("ends").alias("slot"), "doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text"))).alias("head"))
         .select("doc_id", F.col("head.text").alias("text"), "slot", F.lit(True).alias("guest"))
     )
     rows = base.withColumn("guest", F.lit(False)).unionByName(first).withColumns(carried)
-    from pyspark.sql import Window
-
     ordered = Window.partitionBy("slot").orderBy("guest", *_order())
     return rows.withColumns({f"next_{c}": F.lead(c).over(ordered) for c in ("text", *carried)}).where("not guest").drop("slot", "guest")
 

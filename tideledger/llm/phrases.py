@@ -7,7 +7,7 @@ a shard that does not report a phrase holds it less often than its local support
 bounds the total, and phrases whose bound stays under the support go. A second pass over
 all texts counts the others exactly, by their words.
 
-Shards are as large as a task's memory allows (``SHARD_CHARACTERS``), so their number grows with the corpus. A language of more than
+A language has 12 shards, and more once they pass what a task's memory allows (``SHARD_CHARACTERS``). A language of more than
 ``support`` shards has a local support of 1: then the first pass passes on every phrase once a shard, and
 the union's sums are the counts already. Hashes only name phrases between the passes; an accidental match
 adds a candidate, never a count.
@@ -28,7 +28,9 @@ shipped(__name__)
 
 LONGEST = 4
 SUPPORT = 30
-SHARD_CHARACTERS = 24_000_000
+SHARDS = 12                   # of a language at least
+SHARD_CHARACTERS = 48_000_000  # that a task mines at a time: larger languages have more shards
+STEP = 1 << 20
 SLICE = 4_000_000             # bytes of text whose words are told apart at a time
 BITS_LEAST, BITS_MOST = 15, 27  # of the filter of candidate hashes: 16 MB at most
 UNKNOWN = "und"
@@ -82,13 +84,17 @@ def longer(name: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
 def _frequent(name: np.ndarray, alive: np.ndarray, least: int):
     """Names at the places ``alive`` that occur ``least`` times or more there, their counts, and whether each place holds one."""
     own = name[alive]
-    found, counts = np.unique(own, return_counts=True)
+    own.sort()
+    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+    counts = np.diff(np.r_[starts, len(own)])
     keep = counts >= least
-    found, counts = found[keep], counts[keep]
+    found, counts = own[starts[keep]], counts[keep]
+    del own, starts
     held = np.zeros(len(alive), bool)
-    if len(found):
-        at = np.minimum(np.searchsorted(found, own), len(found) - 1)
-        held[alive] = found[at] == own
+    for begin in range(0, len(name) if len(found) else 0, STEP):
+        part = slice(begin, begin + STEP)
+        at = np.minimum(np.searchsorted(found, name[part]), len(found) - 1)
+        held[part] = alive[part] & (found[at] == name[part])
     return found, counts, held
 
 
@@ -165,7 +171,7 @@ def mined(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard
     texts = _texts(docs)
     # Stored, so that its size is known and the join with it needs no shuffle of texts.
     sizes = stored(texts.groupBy(F.col("lang").alias("of_lang")).agg(F.sum(F.length("text").cast("long")).alias("total")), "phrases-sizes")
-    part = F.pmod(F.xxhash64("dealt_by", "text"), F.ceil(F.col("total") / shard) + F.lit(1))
+    part = F.pmod(F.xxhash64("dealt_by", "text"), F.greatest(F.lit(SHARDS), F.ceil(F.col("total") / shard)))
     dealt = texts.join(sizes, F.col("lang") == F.col("of_lang")).select("lang", part.alias("part"), "total", "text")
     return dealt.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(
         _mined(support, longest, shard), "lang string, name long, excess long, allowed long, words long")
