@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
 
 from pyspark.sql import functions as F
 
 from tideledger.catalog.base import (
-    EV, FULL_TWA, LEDGER, LEDGER_FILL, LEDGER_TWA, RATES, REWARD_CODE, Ctx, _day, day, query, twa_views, with_,
+    DELIVERY, EV, FULL_TWA, LEDGER, LEDGER_FILL, LEDGER_TWA, MERGED, NET, RATES, REAL, REROUTED, REWARD_CODE, RF, SIDES, TR, Ctx, _day, day,
+    legs_view, query, twa_views, with_,
 )
 from tideledger.catalog.relational import PERIODS, PRICES, RULES, periods, prices
 from tideledger.operators import conversion as cv, monthly as mo, program_daily as pd_, rates as rt, reports as rp, rollup as ru
@@ -235,6 +237,58 @@ def d22(c: Ctx):
     return _rounded(ru.combine(family_parts(c)))
 
 
+# --- all families from raw logs, in one scan ------------------------------------
+
+_SETTLE_END, _SETTLE_LAST = date(2025, 12, 16), "2025-12-15"
+_CLASS = "['susds_eth','susdc','stusds','usds_farms','susds_psm3','sp_vaults','usds_aave','usds_ref4001'][user_id % 8 + 1]"
+_CLASS_EV = EV.replace("'tok' || (user_id % 2) AS token", f"{_CLASS} AS token").replace(
+    "OVER (PARTITION BY event_id // 4) AS block_time", f"OVER (PARTITION BY event_id // 4) + {dt.SETTLEMENT_SHIFT_DAYS * 86400} AS block_time")
+_NAMED = """targets AS (SELECT * FROM (VALUES ('main', 'susds_eth', 'sUSDS'), ('main', 'susdc', 'sUSDC'), ('main', 'stusds', 'stUSDS'),
+  ('main', 'susds_psm3', 'sUSDS'), ('main', 'sp_vaults', 'spUSDC')) AS t(blockchain, contract_address, symbol))"""
+_SETTLE_VIEWS = [_CLASS_EV, TR, RF, _NAMED, SIDES, NET, REAL, DELIVERY, REROUTED, MERGED, """codes AS (
+  SELECT * FROM merged WHERE contract_address = 'susds_eth' UNION ALL
+  SELECT * FROM real_codes WHERE contract_address IN ('susdc', 'stusds', 'sp_vaults') UNION ALL
+  SELECT 'main', token, tx_hash, u, first_index + 3, k, 'real' FROM ev WHERE token = 'susds_psm3' AND event_type = 'signup' AND k % 2 = 0 AND k % 10 <> 9)""",
+    legs_view("token_legs", "codes"), """legs AS (
+  SELECT * FROM token_legs UNION ALL
+  SELECT 'main', e.token, 'USDS-SKY', u, e.block_number, first_index, 0, e.block_time, CASE WHEN event_type = 'signup' THEN cents ELSE -(cents // 2) END,
+    CASE WHEN event_type = 'signup' THEN k END FROM ev e WHERE token = 'usds_farms' AND event_type IN ('signup', 'error') UNION ALL
+  SELECT 'main', token, 'USDS', 'holder', block_number, first_index, 0, block_time, CASE WHEN event_type = 'signup' THEN cents ELSE -(cents // 2) END,
+    CASE WHEN token = 'usds_aave' THEN 9001 ELSE 4001 END FROM ev WHERE token LIKE 'usds_%' AND token <> 'usds_farms' AND event_type IN ('signup', 'error'))""",
+    """idle_legs AS (SELECT 'main' AS blockchain, 'vault' AS contract_address, 'spUSDC' AS symbol, 'vault' AS user_addr, block_number AS block, first_index AS log_index, 0 AS leg_seq,
+  block_time AS ts, CASE WHEN event_type = 'view' THEN cents ELSE -(cents // 2) END AS amount_change, NULL::BIGINT AS ref_code
+  FROM ev WHERE token = 'sp_vaults' AND event_type IN ('view', 'error'))""",
+    twa_views(_SETTLE_LAST), twa_views(_SETTLE_LAST, legs="idle_legs", p="i_", always=True), RATES, f"""observed AS (
+  SELECT token AS series, {day('block_time')} AS dt, arg_max(CAST(cents * (k + 100) AS DOUBLE) / CAST(cents * 100 AS DOUBLE), block_number * 16 + first_index) AS rate
+  FROM ev WHERE event_type = 'purchase' AND token IN ('susds_eth', 'stusds', 'sp_vaults') AND cents > 0 GROUP BY ALL)""", f"""conv AS (
+  SELECT series, dt, coalesce(last_value(rate IGNORE NULLS) OVER (PARTITION BY series ORDER BY dt ROWS UNBOUNDED PRECEDING), 1.0) AS rate
+  FROM (SELECT series, CAST(unnest(generate_series(TIMESTAMP '2025-10-02', TIMESTAMP '{_SETTLE_LAST}', INTERVAL 1 DAY)) AS DATE) AS dt FROM (VALUES ('susds_eth'), ('stusds'), ('sp_vaults')) AS s(series))
+  LEFT JOIN observed USING (series, dt))""", """amounts AS (
+  SELECT family, dt, blockchain, token, ref_code, sum(prod) / 86400.0::DOUBLE * CASE WHEN token = 'spUSDC' THEN 1.048576::DOUBLE ELSE 1.152921504606846976::DOUBLE END AS amount FROM (
+    SELECT CASE contract_address WHEN 'susds_eth' THEN 'susds_susdc' WHEN 'susdc' THEN 'susds_susdc' WHEN 'usds_farms' THEN 'farms' WHEN 'susds_psm3' THEN 'psm3'
+        WHEN 'sp_vaults' THEN 'sp' ELSE contract_address END AS family, dt, CASE contract_address WHEN 'susds_psm3' THEN 'base' ELSE 'ethereum' END AS blockchain, symbol AS token,
+      CASE WHEN contract_address IN ('susds_eth', 'susds_psm3') AND ref_code = -999999 THEN 99 WHEN contract_address = 'susdc' AND ref_code = -999999 THEN 127
+        WHEN contract_address = 'susds_psm3' AND ref_code = 0 THEN 10000 WHEN contract_address = 'sp_vaults' AND ref_code IN (-999999, 127) THEN 131 ELSE ref_code END AS ref_code,
+      CAST(prod AS DOUBLE) AS prod FROM daily) GROUP BY family, dt, blockchain, token, ref_code)""",
+    """idle AS (SELECT dt, sum(prod) / 86400.0::DOUBLE * 1.048576::DOUBLE AS idle FROM i_daily_all GROUP BY dt)""",
+    """supply AS (SELECT dt, sum(amount) AS total FROM amounts WHERE family = 'sp' GROUP BY dt)""", f"""rewards AS (
+  SELECT a.*, a.amount * CASE WHEN family = 'sp' THEN greatest((s.total - coalesce(i.idle, 0.0)) / s.total, 0.0) ELSE 1.0 END / 365.0::DOUBLE * r.reward_per * coalesce(c.rate, 1.0) AS usd
+  FROM amounts a JOIN rates r ON r.reward_code = {REWARD_CODE.format(t='a.token')} AND a.dt BETWEEN r.start_dt AND r.end_dt
+  LEFT JOIN supply s ON s.dt = a.dt LEFT JOIN idle i ON i.dt = a.dt
+  LEFT JOIN conv c ON c.dt = a.dt AND c.series = CASE family WHEN 'susds_susdc' THEN 'susds_eth' WHEN 'psm3' THEN 'susds_eth' WHEN 'stusds' THEN 'stusds' WHEN 'sp' THEN 'sp_vaults' END)"""]
+SETTLE_OUT = """SELECT family AS source, CAST(date_trunc('month', dt) AS DATE) AS month, blockchain, token, ref_code, round(sum(usd), 6) AS dr_usd, round(avg(amount), 2) AS avg_twa_balance
+FROM rewards GROUP BY ALL"""
+
+
+def _exact_months(df):
+    return df.withColumns({"dr_usd": F.round("dr_usd", 6), "avg_twa_balance": F.round("avg_twa_balance", 2)})
+
+
+@query("d22_settle_logs", with_(*_SETTLE_VIEWS) + SETTLE_OUT)
+def d22_settle(c: Ctx):
+    return _exact_months(se.settle(dt.settlement_logs(c.ev), _SETTLE_END))
+
+
 # --- daily base and balances by code ------------------------------------------
 
 def _cents(name: str):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideledger.functions.codec import ZERO_ADDRESS
 from tideledger.functions.dates import day_of
@@ -170,32 +170,24 @@ def rerouted_codes(
     owners = (
         listed.groupBy(*TOKEN, "owner").agg(F.count("*").alias("n")).filter(F.col("n") >= min_owner_events)
     )
-    owned = (
-        listed.join(owners, TOKEN + ["owner"], "left_semi")
-        .groupBy(*TX, "owner")
-        .agg(F.max_by("ref_code", "log_index").alias("owner_code"))
+    owned = listed.join(owners, TOKEN + ["owner"], "left_semi").select(
+        *TX, F.col("owner").alias("user_addr"), F.col("ref_code").alias("owner_code"), F.col("log_index").alias("owner_at"))
+    # One row per (transaction, wallet): its net change, the code it owns, and from whom it received.
+    inside = transfers.join(listed.select(*TX), TX, "left_semi")
+    received = F.when(F.col("leg_seq") == 0, F.struct("log_index", "from_addr"))
+    sides = wallet_sides(inside, F.col("from_addr")).select(*WALLET_TX, "delta", received.alias("received"))
+    parties = sides.unionByName(owned, allowMissingColumns=True).groupBy(*WALLET_TX).agg(
+        F.coalesce(F.sum("delta"), F.lit(0)).alias("net"), F.max_by("owner_code", "owner_at").alias("owner_code"),
+        F.collect_list("received").alias("received"),
     )
-    inside = transfers.join(owned.select(*TX).distinct(), TX, "left_semi")
-    sides = wallet_sides(inside).select(*WALLET_TX, "delta", F.lit(None).cast("bigint").alias("owner_code"))
-    owner_rows = owned.select(
-        *TX, F.col("owner").alias("user_addr"), F.lit(None).cast(sides.schema["delta"].dataType).alias("delta"),
-        "owner_code",
-    )
-    parties = sides.unionByName(owner_rows).groupBy(*WALLET_TX).agg(
-        F.coalesce(F.sum("delta"), F.lit(0)).alias("net"), F.max("owner_code").alias("owner_code")
-    )
-    payers = parties.filter(F.col("owner_code").isNotNull() & (F.col("net") <= 0)).select(
-        *TX, F.col("user_addr").alias("from_addr"), F.col("owner_code").alias("ref_code")
-    )
-    receivers = parties.filter(F.col("owner_code").isNull() & (F.col("net") > 0)).select(
-        *TX, F.col("user_addr").alias("to_addr")
-    )
-    moved = (
-        inside.join(payers, TX + ["from_addr"])
-        .join(receivers, TX + ["to_addr"], "left_semi")
-        .withColumnRenamed("to_addr", "user_addr")
-    )
-    return _latest(moved, WALLET_TX, "rerouted")
+    pays = F.col("owner_code").isNotNull() & (F.col("net") <= 0)
+    payers = F.collect_list(F.when(pays, F.struct("user_addr", "owner_code"))).over(Window.partitionBy(*TX))
+    keeps = F.col("owner_code").isNull() & (F.col("net") > 0)
+    paid = F.flatten(F.transform("received", lambda r: F.transform(
+        F.filter("payers", lambda p: p["user_addr"] == r["from_addr"]),
+        lambda p: F.struct(r["log_index"].alias("log_index"), p["owner_code"].alias("ref_code")))))
+    moved = parties.withColumn("payers", payers).filter(keeps).withColumn("latest", F.array_max(paid)).filter(F.col("latest").isNotNull())
+    return moved.select(*WALLET_TX, "latest.log_index", "latest.ref_code", F.lit("rerouted").alias("kind"))
 
 
 def merge_codes(*maps: DataFrame) -> DataFrame:

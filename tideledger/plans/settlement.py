@@ -67,11 +67,12 @@ def rules_of(specs: Iterable[SourceSpec], end: date, families: Iterable[str] = (
 
 
 def scanned(logs: DataFrame, rules: Iterable[sc.Rule], stage: str | None = None) -> DataFrame:
-    """The tagged events of one read of the log, stored by role and source when a folder is given."""
+    """The tagged events of one read of the log, stored by role and sorted by source when a folder is given."""
     events = sc.tagged_events(logs, rules)
     if stage is None:
         return events
-    events.hint("rebalance", "role", "source").write.mode("errorifexists").partitionBy("role", "source").parquet(stage)
+    dealt = events.hint("rebalance", "role", "source").sortWithinPartitions("role", "source")
+    dealt.write.mode("errorifexists").partitionBy("role").parquet(stage)
     return logs.sparkSession.read.schema(events.schema).parquet(stage).select(*events.columns)
 
 
@@ -224,7 +225,7 @@ def settle(logs: DataFrame, end: date = SETTLED_END, families: Iterable[str] = t
     """Monthly rewards of all families, with their source.
 
     The log is read once, by a predicate that knows every contract, holder, output token and window; the events that pass are stored
-    by role and source in ``stage`` (a new folder under the shared directory, if not given) and everything else reads those.
+    by role in ``stage`` (a new folder under the shared directory, if not given) and everything else reads those.
     """
     families = tuple(families)
     specs = _specs(families)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tideledger.functions import codec
 from tideledger.functions.codec import ZERO_ADDRESS
 from tideledger.functions.dates import day_of
-from tideledger.sources.registry import DeliveryProgram
+from tideledger.sources.registry import SETTLEMENT_PROGRAM, SOURCES, VAULTS, DeliveryProgram
 
 CHAIN = "main"
 TOKENS = {"tok0": "sUSDS", "tok1": "sUSDC"}  # by user parity
@@ -199,6 +199,92 @@ def hex_logs(events: DataFrame) -> DataFrame:
     )
 
 
+# Classes of users for the registered contracts: user number modulo 8.
+CLASS_SOURCES = ("susds_eth", "susdc", "stusds", "usds_farms", "susds_psm3", "sp_vaults", "usds_aave", "usds_ref4001")
+SETTLEMENT_SHIFT_DAYS = 660  # 2024-01 becomes 2025-10, after every start date that is used
+
+
+def settlement_logs(events: DataFrame) -> DataFrame:
+    """The events as raw logs of registered contracts, a source for each class of users.
+
+    Raw amounts are cents times 2^60 (18 decimals) or 2^20 (6 decimals). Holder classes also move the token between users, which no rule asks for.
+    """
+    first = {name: next(t for t in SOURCES[name].targets) for name in CLASS_SOURCES}
+    of = (F.substring("u", 2, 20).cast("int") % len(CLASS_SOURCES)).alias("of")
+    vault = next(v for v in VAULTS if v[1] == "spUSDC" and v[0] == "ethereum")
+
+    def user(c: Column) -> Column:
+        return codec.address_topic(_hex_id(c))
+
+    def fixed(address: str) -> Column:
+        return F.lit("0x" + address.lower()[2:].rjust(64, "0"))
+
+    def by_class(value) -> Column:
+        out = F.lit(None).cast("string")
+        for i, name in enumerate(CLASS_SOURCES):
+            out = F.when(F.col("of") == i, F.lit(value(first[name]))).otherwise(out)
+        return out
+
+    token, six = by_class(lambda t: t.address.lower()), by_class(lambda t: t.decimals) == "6"
+    chain = by_class(lambda t: t.blockchain)
+
+    def units(n: Column) -> Column:
+        return F.lpad(F.concat(F.lower(F.hex(n)), F.when(six, F.lit("0" * 5)).otherwise(F.lit("0" * 15))), 64, "0")
+
+    def log(i, address, topic0, topics, *words) -> Column:
+        t = list(topics) + [F.lit(None).cast("string")] * (3 - len(topics))
+        return F.struct(F.lit(i).alias("i"), address.alias("address"), F.lit(topic0).alias("topic0"), t[0].alias("topic1"), t[1].alias("topic2"),
+                        t[2].alias("topic3"), F.concat(F.lit("0x"), *words).alias("data"))
+
+    zero, prog, router = fixed(ZERO_ADDRESS), fixed(SETTLEMENT_PROGRAM.contracts[0]), user(F.lit(ROUTER))
+    u, cp, cents, k = user(F.col("u")), user(F.col("cp")), F.col("cents"), F.col("k")
+    half, quarter = F.floor(cents / 2).cast("bigint"), F.floor(cents / 4).cast("bigint")
+
+    def move(i, frm, to, n, address=token) -> Column:
+        return log(i, address, codec.TRANSFER_TOPIC, [frm, to], units(n))
+
+    def code(i, owner, n, topic0=codec.REFERRAL_TOPIC) -> Column:
+        return log(i, token, topic0, [F.concat(F.lit("0x"), _hex_word(n)), owner])
+
+    swap = first["susds_psm3"]
+    out_token = F.when(k % 2 == 0, fixed(swap.address)).otherwise(user(F.lit("other")))
+    swap_no = F.when(k % 10 == 9, k + 1000000000).otherwise(k)
+    deposit = log(2, token, codec.DEPOSIT_TOPIC, [u], _hex_word(cents * (k + 100)), _hex_word(cents * 100))
+    routed = F.when(k % 2 == 0, F.lit(1004)).otherwise(F.lit(4011))
+    held = by_class(lambda t: codec_topic(t.holder) if t.holder else None)
+    under, safe = F.lit(vault[3]), fixed(vault[2])
+    kinds = {
+        "signup": [move(0, zero, u, cents), code(1, u, k),
+                   log(3, F.lit(swap.swap_contract.lower()), codec.SWAP_TOPIC, [user(F.lit("other_in")), out_token, u], _hex_word(cents), _hex_word(cents), _hex_word(swap_no))],
+        "purchase": [move(0, zero, prog, cents), move(1, prog, u, cents), deposit],
+        "view": [move(0, zero, router, cents), code(1, router, routed), move(2, router, u, cents), move(3, u, safe, cents, under)],
+        "error": [move(0, u, zero, half), move(3, safe, u, half, under)],
+        "click": [move(0, u, cp, quarter)],
+    }
+    stakes_ = {"signup": [log(0, token, codec.STAKED_TOPIC, [u], units(cents)), code(1, u, k, codec.STAKE_REFERRAL_TOPIC)],
+               "error": [log(0, token, codec.WITHDRAWN_TOPIC, [u], units(half))]}
+    holds = {"signup": [move(0, u, held, cents)], "error": [move(0, held, u, half)], "click": [move(0, u, cp, quarter)]}
+    none = F.array().cast("array<struct<i:int,address:string,topic0:string,topic1:string,topic2:string,topic3:string,data:string>>")
+
+    def of_type(table) -> Column:
+        out = none
+        for name, structs in table.items():
+            out = F.when(F.col("event_type") == name, F.array(*structs)).otherwise(out)
+        return out
+
+    name = F.element_at(F.array(*map(F.lit, CLASS_SOURCES)), F.col("of") + 1)
+    made = F.when(name == "usds_farms", of_type(stakes_)).when(name.isin("usds_aave", "usds_ref4001"), of_type(holds)).otherwise(of_type(kinds))
+    kept = F.filter(made, lambda r: ((name == "susds_psm3") | (r["topic0"] != codec.SWAP_TOPIC)) & ((name == "sp_vaults") | (r["address"] != under)))
+    return events.withColumn("of", of).withColumn("r", F.explode(kept)).select(
+        chain.alias("blockchain"), "block_number", (F.col("first_index") + F.col("r.i")).alias("log_index"),
+        (F.col("block_time") + SETTLEMENT_SHIFT_DAYS * 86400).alias("block_time"), "r.address", "r.topic0", "r.topic1", "r.topic2", "r.topic3", "r.data",
+        F.col("tx_hash").alias("transaction_hash"))
+
+
+def codec_topic(address: str) -> str:
+    return "0x" + address.lower()[2:].rjust(64, "0")
+
+
 def ledger_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balance changes of customers over 6.6 years, one token per customer."""
     orders = table(spark, sf_dir, "orders").select(
