@@ -124,7 +124,7 @@ def test_strict_load_and_resume(spark, tmp_path):
     computed = []
 
     def compute(todo):
-        rows = results.join(todo, ["source", "target"], "left_semi")
+        rows = results.join(todo.select("source", "target"), ["source", "target"], "left_semi")
         computed.append(sorted(r["target"] for r in rows.collect()))
         return rows
 
@@ -138,11 +138,54 @@ def test_strict_load_and_resume(spark, tmp_path):
     more = plan.union(spark.createDataFrame([("b", "t9")], "source string, target string"))
     with pytest.raises(ValueError, match="missing"):
         store.load_parts(spark, more, root, end)
+    # A target without rows is finished by its commit, and a rewritten part replaces only itself.
+    empty = store.resume(spark, more, root, end, compute)
+    assert store.pending(spark, more, root, end).isEmpty() and empty.count() == 2
+    store.write_parts(results.filter("target = 't3'").withColumn("dr_usd", F.lit(9.0)), plan.filter("target = 't3'"), root, end)
+    assert {(r["source"], r["dr_usd"]) for r in store.load_parts(spark, more, root, end, verify=True).collect()} == {("a", 2.0), ("b", 9.0)}
 
 
-def test_mixed_shards_are_reported(spark):
-    parts = spark.createDataFrame([("t", 2), ("t", 3), ("u", 2)], "target string, shards int")
-    assert [r["target"] for r in store.mixed_shards(parts).collect()] == ["t"]
+def test_changed_files_are_found(spark, tmp_path):
+    root, end = tmp_path / "parts", date(2026, 7, 1)
+    results, plan = _results(spark), _results(spark).select("source", "target")
+    store.write_parts(results, plan, str(root), end)
+    (folder,) = (root / "parts").glob("attempt=*")
+    store.whole(results.filter("target = 't1'")).write.mode("append").parquet(str(folder))   # rows that no commit counted
+    assert [r["target"] for r in store.changed_parts(spark, str(root), end).collect()] == ["t1"]
+    with pytest.raises(ValueError, match="changed: a/t1"):
+        store.load_parts(spark, plan, str(root), end, verify=True)
+
+
+def test_rows_outside_the_plan_are_not_committed(spark, tmp_path):
+    root, end = str(tmp_path / "parts"), date(2026, 7, 1)
+    with pytest.raises(Exception, match="part not in the plan: b/t3"):
+        store.write_parts(_results(spark), _results(spark).filter("source = 'a'").select("source", "target"), root, end)
+    assert store.completed(spark, root, end).isEmpty()
+
+
+def test_mixed_shards_stop_a_load(spark, tmp_path):
+    root, end = str(tmp_path / "parts"), date(2026, 7, 1)
+    results, plan = _results(spark).filter("source = 'b'"), _results(spark).filter("source = 'b'").select("source", "target")
+    store.write_parts(results, plan, root, end)
+    two = plan.selectExpr("*", "explode(array(0, 1)) as shard", "2 as shards")
+    store.write_parts(results.selectExpr("*", "1 as shard", "2 as shards"), two, root, end)
+    with pytest.raises(ValueError, match="mixed: b/t3"):
+        store.load_parts(spark, two, root, end)
+
+
+def test_settlement_resumes_by_target(spark, logs, tmp_path):
+    root, end = str(tmp_path / "parts"), date(2025, 10, 2)
+    some = se.plan_frame(spark, ["farms", "usds_aave"])
+    first = se.settle_parts(logs, root, end, ["farms", "usds_aave"])
+    assert {(r["source"], r["ref_code"]) for r in first.collect()} == {("farms", 12), ("usds_aave", 9001)}
+    assert store.completed(spark, root, end).count() == some.count()
+    whole = se.settle_parts(logs, root, end)
+    want = {(r["source"], r["month"], r["token"], r["ref_code"]): r["dr_usd"] for r in se.settle(logs, end).collect()}
+    got = {(r["source"], r["month"], r["token"], r["ref_code"]): r["dr_usd"] for r in whole.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+    attempts = {r["attempt"] for r in store.completed(spark, root, end).collect()}
+    assert se.settle_parts(logs, root, end).count() == whole.count()      # nothing is left to do
+    assert {r["attempt"] for r in store.completed(spark, root, end).collect()} == attempts
 
 
 def test_latest_run_is_greatest_stamp(spark, tmp_path):

@@ -121,25 +121,50 @@ def s13(c: Ctx):
     results = _targets(monthly(c))
     plan = results.select("source", "target").distinct()
     # The first attempt finishes one family only; the second computes the rest.
-    store.resume(c.spark, plan.filter("source = 'sp'"), root, end, lambda todo: results.join(todo, ["source", "target"], "left_semi"))
-    return store.resume(c.spark, plan, root, end, lambda todo: results.join(todo, ["source", "target"], "left_semi"))
+    store.resume(c.spark, plan.filter("source = 'sp'"), root, end, lambda todo: results.join(todo.select("source", "target"), ["source", "target"], "left_semi"))
+    return store.resume(c.spark, plan, root, end, lambda todo: results.join(todo.select("source", "target"), ["source", "target"], "left_semi"))
 
 
 @query("s13_pending_parts", with_(MONTHLY) + "SELECT DISTINCT source, blockchain || '_' || token AS target FROM monthly WHERE source = 'other'")
 def s13_pending(c: Ctx):
     root, end = folder(c, "parts"), date(2030, 9, 1)
     results = _targets(monthly(c))
-    store.write_parts(results.filter("source = 'sp'"), root, end)
-    store.write_parts(results, root, date(2030, 8, 1))  # another window: not reusable
-    return store.pending(c.spark, results.select("source", "target").distinct(), root, end).drop("window_end")
+    plan = results.select("source", "target").distinct()
+    store.write_parts(results.filter("source = 'sp'"), plan.filter("source = 'sp'"), root, end)
+    store.write_parts(results, plan, root, date(2030, 8, 1))  # another window: not reusable
+    return store.pending(c.spark, plan, root, end).select("source", "target")
+
+
+@query("s13_empty_target", with_(MONTHLY) + PARTS)
+def s13_empty(c: Ctx):
+    # Every token also has a target without any result: finished once, never computed again, never missing.
+    root, end = folder(c, "parts"), date(2030, 9, 1)
+    results = _targets(monthly(c))
+    plan = results.select("source", "target").union(results.select("source", F.concat(F.lit("none_"), F.col("token")))).distinct()
+    compute = lambda todo: results.join(todo.select("source", "target"), ["source", "target"], "left_semi")
+    store.resume(c.spark, plan, root, end, compute)
+    if not store.pending(c.spark, plan, root, end).isEmpty():
+        raise ValueError("a finished target is pending")
+    return store.load_parts(c.spark, plan, root, end, verify=True)
+
+
+@query("s13_killed_attempt", with_(MONTHLY) + PARTS)
+def s13_killed(c: Ctx):
+    # An attempt that died wrote half of its files and no commit: its rows count nowhere.
+    root, end = folder(c, "parts"), date(2030, 9, 1)
+    results = _targets(monthly(c))
+    plan = results.select("source", "target").distinct()
+    store.whole(results.filter("ref_code <= 2")).write.parquet(f"{root}/parts/attempt=killed")
+    return store.resume(c.spark, plan, root, end, lambda todo: results.join(todo.select("source", "target"), ["source", "target"], "left_semi"))
 
 
 @query("s14_strict_load", with_(MONTHLY) + PARTS)
 def s14(c: Ctx):
     root, end = folder(c, "parts"), date(2030, 9, 1)
     results = _targets(monthly(c))
-    store.write_parts(results, root, end)
-    return store.load_parts(c.spark, results.select("source", "target").distinct(), root, end)
+    plan = results.select("source", "target").distinct()
+    store.write_parts(results, plan, root, end)
+    return store.load_parts(c.spark, plan, root, end)
 
 
 @query("s14_plan_problems", with_(MONTHLY) + """
@@ -148,7 +173,35 @@ UNION ALL SELECT DISTINCT source, 'later_' || token, 'missing' FROM monthly""")
 def s14_problems(c: Ctx):
     root, end = folder(c, "parts"), date(2030, 9, 1)
     results = _targets(monthly(c))
-    store.write_parts(results, root, end)
+    store.write_parts(results, results.select("source", "target").distinct(), root, end)
     plan = results.filter("token <> 'spETH'").select("source", "target").union(
         results.select("source", F.concat(F.lit("later_"), F.col("token")))).distinct()
     return store.plan_problems(c.spark, plan, root, end)
+
+
+def _sharded(df, shards: int):
+    """Rows dealt into shards by code; a plan of all shards goes with them."""
+    return df.withColumns({"shard": (F.abs("ref_code") % shards).cast("int"), "shards": F.lit(shards)})
+
+
+@query("s14_sharded_load", with_(MONTHLY) + PARTS)
+def s14_sharded(c: Ctx):
+    root, end = folder(c, "parts"), date(2030, 9, 1)
+    results = _targets(monthly(c))
+    targets = results.select("source", "target").distinct()
+    plan = targets.withColumn("shard", F.explode(F.array(*map(F.lit, range(4))))).withColumn("shards", F.lit(4))
+    store.write_parts(_sharded(results, 4), plan, root, end)  # shards without rows are finished too
+    return store.load_parts(c.spark, plan, root, end, verify=True)
+
+
+@query("s14_mixed_shards", with_(MONTHLY) + """
+SELECT DISTINCT source, blockchain || '_' || token AS target, p AS problem FROM monthly, (VALUES ('mixed'), ('stray')) AS t(p) WHERE source = 'sp'""")
+def s14_mixed(c: Ctx):
+    # The vaults are stored whole and in two shards: both are commits of one target, and their rows would count twice.
+    root, end = folder(c, "parts"), date(2030, 9, 1)
+    results = _targets(monthly(c))
+    targets = results.select("source", "target").distinct()
+    store.write_parts(results, targets, root, end)
+    vaults = targets.filter("source = 'sp'").withColumn("shard", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("shards", F.lit(2))
+    store.write_parts(_sharded(results.filter("source = 'sp'"), 2), vaults, root, end)
+    return store.plan_problems(c.spark, targets, root, end)

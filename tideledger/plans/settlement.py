@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 from functools import reduce
 
@@ -19,7 +19,7 @@ from tideledger.operators import monthly as mo
 from tideledger.operators import rates as rt
 from tideledger.operators.twa import WALLET, balance_intervals, to_daily
 from tideledger.session import constant_frame, shared_dir
-from tideledger.sources import scan as sc
+from tideledger.sources import scan as sc, store
 from tideledger.sources.registry import (
     FULL_RATIO_TOKENS, LAST_SETTLED_DAY, MAX_VALID_CODE, SETTLED_END, SHARE_RATE_SERIES, SOURCES, VAULTS, ZERO_REWARD_TOKENS,
     SourceSpec, programs_frame,
@@ -233,6 +233,29 @@ def settle(logs: DataFrame, end: date = SETTLED_END, families: Iterable[str] = t
     return settled_months(events, families, specs, end).withColumnRenamed("family", "source")
 
 
+def _label(source: str, t) -> str:
+    return f"{source}_{t.blockchain}_{t.symbol}"
+
+
+def settle_parts(logs: DataFrame, root: str, end: date = SETTLED_END, families: Iterable[str] = tuple(FAMILIES), stage: str | None = None) -> DataFrame:
+    """:func:`settle`, resumable: targets that are committed under ``root`` for this window are neither scanned nor computed again.
+
+    Pending targets of all families are one scan and one job. Vaults are taken whole: their ratio needs the whole supply.
+    """
+    families, spark = tuple(families), logs.sparkSession
+
+    def compute(todo: DataFrame) -> DataFrame:
+        wanted = {r["target"] for r in todo.select("target").distinct().collect()}  # at most the registered targets
+        specs = [replace(s, targets=tuple(t for t in s.targets if _label(s.name, t) in wanted)) for s in _specs(families)]
+        specs = [s for s in specs if s.targets]
+        left = [f for f in families if any(s.name in FAMILIES[f].sources for s in specs)]
+        events = scanned(logs, rules_of(specs, end, left), stage or _stage_path(spark))
+        months = settled_months(events, left, specs, end, ["source"])
+        return months.withColumn("target", F.concat_ws("_", "source", "blockchain", "token")).withColumn("source", F.col("family")).drop("family")
+
+    return store.resume(spark, plan_frame(spark, families), root, end, compute)
+
+
 def source_daily(logs: DataFrame, source: str, end: date = SETTLED_END, include_programs: bool = True) -> DataFrame:
     """Daily balances of one source in the shared schema."""
     legs = source_legs(logs, SOURCES[source], end, include_programs)
@@ -242,7 +265,7 @@ def source_daily(logs: DataFrame, source: str, end: date = SETTLED_END, include_
 def plan_frame(spark: SparkSession, families: Sequence[str] = tuple(FAMILIES)) -> DataFrame:
     """One row per family and tracked target: what a complete run consists of."""
     rows = [
-        (name, f"{source}_{t.blockchain}_{t.symbol}")
+        (name, _label(source, t))
         for name in families for source in FAMILIES[name].sources for t in SOURCES[source].targets
     ]
     return constant_frame(spark, rows, _ddl("source string, target string"))
