@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -11,11 +14,13 @@ from tideledger.catalog.base import (
     TR, TWA_COLUMNS, Ctx, _day, day, query, twa_views, with_,
 )
 from tideledger.catalog.events import HOLDERS_SQL, MOVES, STUDIED, _BASE41, holders, studied
-from tideledger.operators import attribution as at, legs as lg, monthly as mo, reports as rp
+from tideledger.operators import attribution as at, legs as lg, monthly as mo, reports as rp, state as st
 from tideledger.operators.twa import (
     FILL_DAY, balance_intervals, daily_snapshots, daily_twa, expand_days, positive,
     single_code_daily, to_daily, windowed_daily,
 )
+from tideledger.session import shared_dir
+from tideledger.sources import store
 from tideledger.sources.driver_tables import EXCLUDED
 
 FILL = _day(EVENT_FILL)
@@ -116,6 +121,57 @@ def d13_union(c: Ctx):
     return out
 
 
+_CUTS = [date(2024, 1, 1), date(2024, 1, 9), date(2024, 1, 17), date(2024, 1, 25), date(2024, 2, 1)]
+_WINDOWS_SQL = with_(FULL_LEGS, twa_views("2024-01-31")) + """
+SELECT contract_address, user_addr, dt, ref_code, twab AS time_weighted_avg_balance FROM daily WHERE dt <= DATE '2024-01-31'"""
+
+
+def _chained(legs, root: str, cuts=_CUTS):
+    """Windows in sequence, each from the stored state of the one before; the results are stored as they come."""
+    parts = {}
+    for a, b in zip(cuts, cuts[1:]):
+        daily = st.advance(legs, f"{root}/state", a, b, genesis=a == _CUTS[0])
+        parts[a, b] = store.stage(daily, f"{root}/daily-{a}-{uuid.uuid4().hex}")
+    return parts
+
+
+def _days(parts):
+    return reduce(lambda x, y: x.unionByName(y), parts.values()).select("contract_address", "user_addr", "dt", "ref_code", "time_weighted_avg_balance")
+
+
+@query("d13_chained_state", _WINDOWS_SQL)
+def d13_chained(c: Ctx):
+    root = f"{shared_dir(c.spark)}/tideledger/chain-{uuid.uuid4().hex}"
+    return _days(_chained(store.stage(c.legs, f"{root}/legs"), root))
+
+
+@query("d13_late_logs", _WINDOWS_SQL)
+def d13_late(c: Ctx):
+    # One block in nine of the first two weeks arrives after three windows are settled: the states are merged, the windows they touch issued again.
+    root = f"{shared_dir(c.spark)}/tideledger/late-{uuid.uuid4().hex}"
+    legs = store.stage(c.legs, f"{root}/legs")
+    late = (F.col("block") % 9 == 4) & (F.col("ts") >= 1704758400) & (F.col("ts") < 1705363200)  # 2024-01-09 to 2024-01-15
+    parts = _chained(legs.filter(~late), root, _CUTS[:4])
+    changed = st.apply_late(legs.filter(late), f"{root}/state")
+    for a, b in list(parts):
+        if a in changed or b in changed:
+            parts[a, b] = st.advance(legs, f"{root}/state", a, b)
+    parts[_CUTS[3], _CUTS[4]] = st.advance(legs, f"{root}/state", _CUTS[3], _CUTS[4])
+    return _days(parts)
+
+
+@query("d13_state_merge", with_(FULL_LEGS) + """
+SELECT contract_address, symbol, user_addr, CAST(sum(amount_change) AS DOUBLE) AS balance, arg_max(ref_code, block * 100 + log_index * 2 + leg_seq) FILTER (WHERE ref_code IS NOT NULL) AS code,
+  max(block) AS last_block FROM legs WHERE ts < 1706140800 GROUP BY ALL""")
+def d13_merge(c: Ctx):
+    # States of slices of the legs, merged pairwise in an order of their own.
+    legs = st.of_window(c.legs, date(2023, 12, 1), date(2024, 1, 25))
+    slices = [st.partial_state(legs.filter(F.col("block") % 3 == i)) for i in range(3)]
+    merged = st.merge_states(slices[2], st.merge_states(slices[0], slices[1]))
+    return merged.select("contract_address", "symbol", "user_addr", F.col("net").cast("double").alias("balance"), "code",
+                         F.floor(F.col("last_at") / F.lit(Decimal(10**19))).cast("bigint").alias("last_block"))
+
+
 @query("d16_idle_series", with_(EV, TR, HOLDERS_SQL, "codeless AS (SELECT * REPLACE (NULL::BIGINT AS ref_code) FROM holder_legs)",
        twa_views(EVENT_FILL, legs="codeless", always=True)) + "SELECT contract_address, user_addr, dt, CAST(sum(prod) AS DOUBLE) / 86400.0 AS idle FROM daily_all GROUP BY ALL")
 def d16(c: Ctx):

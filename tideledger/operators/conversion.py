@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -17,7 +18,8 @@ def last_rate_of_day(flows: DataFrame, keys: list[str] = VAULT) -> DataFrame:
         *keys, day_of(F.col("block_time")).alias("dt"), "block_time", "log_index",
         (F.col("assets").cast("double") / F.col("shares").cast("double")).alias("rate"),
     )
-    return rated.groupBy(*keys, "dt").agg(F.max_by("rate", F.struct("block_time", "log_index")).alias("rate"))
+    latest = (F.col("block_time").cast("decimal(18,0)") * F.lit(Decimal(10**19)) + F.col("log_index")).cast("decimal(38,0)")
+    return rated.groupBy(*keys, "dt").agg(F.max_by("rate", latest).alias("rate"))
 
 
 def filled_series(rates: DataFrame, starts: DataFrame, end: date, keys: list[str] = VAULT) -> DataFrame:

@@ -18,6 +18,7 @@ only when they need one row per day.
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -33,6 +34,13 @@ TX_DAY = "transaction_day"
 FILL_DAY = "no_transaction_day"
 
 
+def order_key() -> Column:
+    """The order of legs as one number: block, log index, side. Latest-value aggregates over it are hash-based."""
+    number = lambda name: F.col(name).cast("decimal(18,0)")
+    scale = F.lit(Decimal(10**19))
+    return (number("block") * scale + (number("log_index") + 1) * 10 + F.col("leg_seq")).cast("decimal(38,0)")
+
+
 def _slotted(legs: DataFrame, keys: list[str], slot_seconds: int) -> DataFrame:
     if SECONDS_PER_DAY % slot_seconds:
         raise ValueError("slot_seconds must divide a day")
@@ -55,7 +63,7 @@ def running_state(
         "rel_balance": F.sum("amount_change").over(in_slot),
         "rel_code": F.last("ref_code", ignorenulls=True).over(in_slot),
     })
-    order = F.struct(*LEG_ORDER)
+    order = order_key()
     totals = slotted.groupBy(*keys, "slot").agg(
         F.sum("amount_change").alias("slot_net"),
         F.max_by("ref_code", F.when(F.col("ref_code").isNotNull(), order)).alias("slot_code"),
@@ -232,11 +240,11 @@ def single_code_daily(intervals: DataFrame, code: int) -> DataFrame:
 def opening_state(legs: DataFrame, start_ts: int, keys: list[str] = WALLET) -> DataFrame:
     """Balance and code every wallet carries into a window, and whether it acts in it.
 
-    One map-side combined aggregate; save it to start the next window without
-    reading earlier legs again.
+    One map-side combined aggregate over all history; :mod:`tideledger.operators.state` keeps it as a snapshot
+    so that the next window does not read earlier legs again.
     """
     before = F.col("ts") < start_ts
-    order = F.struct(*LEG_ORDER)
+    order = order_key()
     return legs.groupBy(*keys).agg(
         F.sum(F.when(before, F.col("amount_change"))).alias("open_balance"),
         F.max_by("ref_code", F.when(before & F.col("ref_code").isNotNull(), order)).alias("open_code"),

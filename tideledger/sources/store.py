@@ -153,11 +153,26 @@ def changed_parts(spark: SparkSession, root: str, end: date) -> DataFrame:
         (F.coalesce("rows_now", F.lit(0)) != F.col("part_rows")) | (F.coalesce("digest_now", F.lit(0)) != F.col("digest"))).select("source", "target")
 
 
+def windows(spark: SparkSession, root: str) -> list[str]:
+    """Window ends with a commit, oldest first."""
+    if not _exists(spark, f"{root}/log"):
+        return []
+    return sorted(r["window_end"] for r in spark.read.schema(LOG_COLUMNS).parquet(f"{root}/log").select("window_end").distinct().collect())
+
+
 def load_parts(spark: SparkSession, plan: DataFrame, root: str, end: date, verify: bool = False) -> DataFrame:
-    """Strict load: any missing, stray or mixed part is an error, else month sums.
+    """Month sums of a strict load: any missing, stray or mixed part is an error.
 
-    ``verify`` also reads all parts against their digests first. Only files that the completion log names are read.
+    ``verify`` also reads all parts against their digests first.
     """
+    parts = load_rows(spark, plan, root, end, verify)
+    if parts is None:
+        return spark.createDataFrame([], "month date, blockchain string, token string, ref_code bigint, source string, dr_usd double")
+    return parts.groupBy("month", "blockchain", "token", "ref_code", "source").agg(F.sum("dr_usd").alias("dr_usd"))
+
+
+def load_rows(spark: SparkSession, plan: DataFrame, root: str, end: date, verify: bool = False) -> DataFrame | None:
+    """The stored rows of a plan, None if it has none; the same errors as :func:`load_parts`. Only files that the completion log names are read."""
     problems = plan_problems(spark, plan, root, end)
     if verify:
         problems = problems.unionByName(changed_parts(spark, root, end).withColumn("problem", F.lit("changed")))
@@ -165,12 +180,16 @@ def load_parts(spark: SparkSession, plan: DataFrame, root: str, end: date, verif
     if told:
         raise ValueError(f"stored parts do not match the plan: {told}")
     log = completed(spark, root, end)
-    attempts = [r["attempt"] for r in log.filter("part_rows > 0").select("attempt").distinct().collect()]
-    keys, columns = ["month", "blockchain", "token", "ref_code", "source"], "month date, blockchain string, token string, ref_code bigint, source string, dr_usd double"
-    if not attempts:
-        return spark.createDataFrame([], columns)
-    parts = _attempt(spark, root, attempts).join(log.select(*PART_KEYS, "attempt"), [*PART_KEYS, "attempt"], "left_semi")
-    return parts.groupBy(*keys).agg(F.sum("dr_usd").alias("dr_usd"))
+    kept = log.filter("part_rows > 0").select(*PART_KEYS, "attempt").collect()  # one row a part
+    if not kept:
+        return None
+    attempts = sorted({r["attempt"] for r in kept})
+    rows = _attempt(spark, root, attempts)
+    if len(attempts) > 1:  # an attempt may hold parts that a later one superseded
+        rows = rows.join(log.select(*PART_KEYS, "attempt"), [*PART_KEYS, "attempt"], "left_semi")
+    else:
+        rows = rows.filter(F.concat_ws("/", *PART_KEYS).isin(*["/".join(str(r[k]) for k in PART_KEYS) for r in kept]))
+    return rows.drop("attempt")
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
