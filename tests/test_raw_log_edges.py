@@ -1,7 +1,5 @@
 """Raw-log inputs that must neither merge nor vanish."""
 
-import pytest
-
 from helpers import DAY, ZERO, targets, tr, transfers
 from tideledger.operators import legs as lg
 from tideledger.sources.registry import DeliveryProgram, programs_frame
@@ -15,12 +13,6 @@ def test_logs_without_a_hash_stay_apart(spark):
     assert got == [(DAY, 5.0), (DAY + 86400, 5.0)]
 
 
-def test_a_value_too_wide_stops_the_job(spark):
-    moved = transfers(spark, [tr("t", 1, ZERO, A, 5)]).selectExpr("*", "true as amount_overflow")
-    with pytest.raises(Exception, match="too wide to decode"):
-        lg.transaction_legs(moved, [], targets(spark)).collect()
-
-
 def test_no_program_delivers_in_a_log_without_a_hash(spark):
     programs = programs_frame(spark, (DeliveryProgram("p", 1003, ("prog",)),))
     moved = transfers(spark, [tr(None, 1, "prog", A, 5), tr("t", 2, "prog", "0xb", 5), tr("t", 3, ZERO, "prog", 5)])

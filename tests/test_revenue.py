@@ -99,3 +99,53 @@ def test_ratio_bounds(spark):
     idle = spark.sql("select * from values ('e','spUSDC',date'2026-01-01',130D), ('e','spUSDT',date'2026-01-01',50D) as t(blockchain,vault_symbol,dt,idle)")
     got = {(r["vault_symbol"], str(r["dt"])): r["deployment_ratio"] for r in mo.deployment_ratios(totals, idle).collect()}
     assert got == {("spUSDC", "2026-01-01"): 0.0, ("spUSDT", "2026-01-01"): 1.0, ("spUSDC", "2026-01-02"): 1.0}
+
+
+def _slice_frame(spark, rows):
+    return spark.createDataFrame(rows, "source string, slice_start string, slice_end string")
+
+
+def test_combine_fails_on_a_gap(spark):
+    from tideledger.operators import rollup as ru
+
+    part = spark.sql("select date'2025-01-01' as month, 1.0D as dr_usd")
+    whole = _slice_frame(spark, [("a", "2025-01-01", "2025-03-01"), ("a", "2025-03-01", "2025-04-01"), ("b", "2025-01-01", "2025-04-01")])
+    assert ru.combine({"a": part, "b": part}, whole, "2025-01-01", "2025-04-01").count() == 2
+    for bad, told in (([("a", "2025-01-01", "2025-02-01"), ("a", "2025-03-01", "2025-04-01")], "gap 2025-02-01 to 2025-03-01"),
+                      ([("a", "2025-01-01", "2025-03-15")], "short 2025-03-15 to 2025-04-01"),
+                      ([("a", "2025-01-01", "2025-03-15"), ("a", "2025-03-01", "2025-04-01")], "overlap 2025-03-01 to 2025-03-15")):
+        with pytest.raises(Exception, match=told):
+            ru.combine({"a": part}, _slice_frame(spark, bad), "2025-01-01", "2025-04-01").count()
+    late = _slice_frame(spark, [("a", "2025-01-01", "2025-03-01")])
+    assert ru.combine({"a": part}, late, "2025-01-01", "2025-04-01", tolerate_after="2025-03-01").count() == 1   # the rest has not happened yet
+    assert [r["problem"] for r in rc.coverage_problems(late.filter("false"), "2025-01-01", "2025-04-01").collect()] == ["short"]
+
+
+def test_uncovered_months_fail(spark):
+    monthly = spark.sql("select date'2026-01-01' as month, 1L as ref_code, 5.0D as dr_usd union all select date'2026-02-01', 1L, 6.0D")
+    paid = spark.sql("select 1L as ref_code, '2026-03' as month, 7.0D as paid_usd")
+    codes = spark.sql("select 1L as ref_code, 'p' as partner union all select 2L, 'q'")
+    with pytest.raises(Exception, match="month not covered by the calculated rewards: 2026-03"):
+        rc.reconcile_payments(monthly, paid, codes, ["2026-02", "2026-03"]).collect()
+    got = {(r["ref_code"], r["month"]): (r["calculated_dr_usd"], r["diff_paid_minus_calc"])
+           for r in rc.reconcile_payments(monthly, paid, codes, ["2026-02", "2026-03"], uncovered="null").collect()}
+    assert got == {(1, "2026-02"): (6.0, None), (2, "2026-02"): (0.0, None), (1, "2026-03"): (None, None), (2, "2026-03"): (None, None)}
+
+
+def test_schedule_keeps_the_highest_priority(spark):
+    from datetime import date as d
+
+    rows = [("X", "fixed", d(2025, 1, 1), d(2025, 1, 31), 0.1, 1), ("X", "seen", d(2025, 1, 5), d(2025, 1, 9), 0.2, 2), ("X", "seen", d(2025, 1, 8), d(2025, 1, 12), 0.3, 2),
+            ("X", "campaign", d(2025, 1, 10), d(2025, 1, 10), 0.4, 3), ("Y", "fixed", d(2025, 1, 1), d(2025, 1, 2), 0.5, 1), ("Y", "fixed", d(2025, 1, 4), d(2025, 1, 4), 0.6, 1)]
+    df = spark.createDataFrame(rows, "reward_code string, reward_description string, start_dt date, end_dt date, reward_per double, priority int")
+    got = sorted((r["reward_code"], r["start_dt"].day, r["end_dt"].day, r["reward_per"]) for r in rt.resolved(df).collect())
+    assert got == [("X", 1, 4, 0.1), ("X", 5, 7, 0.2), ("X", 8, 9, 0.3), ("X", 10, 10, 0.4), ("X", 11, 12, 0.3), ("X", 13, 31, 0.1), ("Y", 1, 2, 0.5), ("Y", 4, 4, 0.6)]
+
+
+def test_no_window_of_the_operators_is_unpartitioned():
+    from pathlib import Path
+
+    import tideledger.operators as ops
+
+    for file in Path(ops.__path__[0]).glob("*.py"):
+        assert "Window.orderBy" not in file.read_text(), file

@@ -43,7 +43,7 @@ def s1(c: Ctx):
 SELECT tx_hash, block_number, log_index, block_time, {_id('contract_address')} AS contract_address, {_id('from_addr')} AS from_addr,
   {_id('to_addr')} AS to_addr, amount, false AS amount_overflow FROM tr""")
 def s2a(c: Ctx):
-    return lo.transfers(c.logs).drop("blockchain").withColumn("amount", F.col("amount").cast("bigint"))
+    return lo.transfers(c.logs).drop("blockchain", "amount_wide").withColumn("amount", F.col("amount").cast("bigint"))
 
 
 @query("s2_decode_swaps", with_(EV, SW) + f"""

@@ -11,7 +11,7 @@ from tideledger.functions import dates
 from tideledger.functions.labels import code_order
 from tideledger.operators import attribution as at, conversion as cv, monthly as mo, rates as rt, reconcile as rc
 from tideledger.operators import reports as rp, rollup as ru
-from tideledger.operators.twa import running_state
+from tideledger.operators.twa import running_state, seconds_to_next
 from tideledger.sources.registry import REROUTED_CODES
 
 # Net amount per (day, chain, token, code) of the ledger: a small daily table.
@@ -356,14 +356,11 @@ def w4(c: Ctx):
 
 
 @query("w5_seconds_to_next", with_(PLAIN_LEGS) + f"""
-SELECT contract_address, user_addr, {day('ts')} AS dt, CAST(sum(nxt - ts) AS BIGINT) AS covered FROM (
-  SELECT *, coalesce(lead(ts) OVER (PARTITION BY contract_address, user_addr, {day('ts')} ORDER BY block, log_index, leg_seq), ts // 86400 * 86400 + 86400) AS nxt FROM legs)
-GROUP BY ALL""")
+SELECT contract_address, user_addr, {day('ts')} AS dt, block, log_index, leg_seq,
+  CAST(coalesce(lead(ts) OVER (PARTITION BY contract_address, user_addr, {day('ts')} ORDER BY block, log_index, leg_seq), ts // 86400 * 86400 + 86400) - ts AS BIGINT) AS seconds FROM legs""")
 def w5(c: Ctx):
-    # The seconds covered by a day's legs telescope: day end minus first leg.
-    d = dates.day_of(F.col("ts"))
-    return c.plain_legs.groupBy("contract_address", "user_addr", d.alias("dt")).agg(F.min("ts").alias("first_ts")).select(
-        "contract_address", "user_addr", "dt", (dates.next_midnight(F.col("dt")) - F.col("first_ts")).alias("covered"))
+    return seconds_to_next(c.plain_legs).select(
+        "contract_address", "user_addr", dates.day_of(F.col("ts")).alias("dt"), "block", "log_index", "leg_seq", "seconds")
 
 
 @query("w6_forward_filled_calendar", with_(PLAIN_LEGS, RUNNING, DAY_END) + """
@@ -398,6 +395,19 @@ def w9(c: Ctx):
     return periods(c).withColumn("observed_apy", F.round("observed_apy", 6))
 
 
+@query("w9_change_periods_of_many_series", with_(EV, f"""obs AS (SELECT token AS series, block_time AS ts, event_id AS seq, 1e27::DOUBLE + (k // 30) * 1e17::DOUBLE AS value FROM ev),
+changes AS (SELECT *, {day('ts')} AS dt FROM (SELECT *, lag(value) OVER (PARTITION BY series ORDER BY ts, seq) AS prev FROM obs) WHERE value <> coalesce(prev, 0))""") + """
+SELECT series, round(pow(value / 1e27::DOUBLE, 31536000) - 1, 6) AS observed_apy, dt AS start_date,
+  coalesce(CAST(lead(dt) OVER (PARTITION BY series ORDER BY ts, seq) - INTERVAL 1 DAY AS DATE), DATE '2030-12-31') AS end_date FROM changes WHERE dt >= DATE '2024-01-03'""")
+def w9_series(c: Ctx):
+    from datetime import date
+
+    seen = c.ev.select(F.col("token").alias("series"), F.col("block_time").alias("ts"), F.col("event_id").alias("seq"),
+                       (F.lit(1e27) + F.floor(F.col("k") / 30) * F.lit(1e17)).alias("value"))
+    found = rt.observed_periods(rt.change_points(seen, keys=["series"]), date(2024, 1, 3), keys=["series"])
+    return found.withColumn("observed_apy", F.round("observed_apy", 6))
+
+
 @query("w10_sample_per_group", with_(EV, SW) + """
 SELECT asset_out, tx_hash, receiver FROM (SELECT *, row_number() OVER (PARTITION BY asset_out ORDER BY md5(tx_hash || '#7'), tx_hash) AS rn FROM sw) WHERE rn <= 10""")
 def w10(c: Ctx):

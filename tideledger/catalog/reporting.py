@@ -66,19 +66,33 @@ def p9(c: Ctx):
     return kept.groupBy("month").agg(F.sum("dr_usd").alias("dr_usd"))
 
 
-SLICES = """slices AS (SELECT CAST(date_trunc('quarter', d) AS DATE) AS slice_start, CAST(date_trunc('quarter', d) + INTERVAL 3 MONTH AS DATE) AS slice_end
-  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderpriority = '1-URGENT' AND month(o_orderdate) NOT IN (4, 5, 6)) GROUP BY ALL)"""
+_MONTHS_SEEN = "SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders"
+_SLICED = f"""slices AS (SELECT 'c' || (month(m) % 3) AS source, m AS slice_start, CAST(m + to_days(CASE WHEN month(m) % 5 = 0 THEN 10 ELSE 35 END) AS DATE) AS slice_end FROM ({_MONTHS_SEEN})),
+reached AS (SELECT *, max(slice_end) OVER (PARTITION BY source ORDER BY slice_start, slice_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM slices)"""
 
 
-@query("d24_window_coverage", "WITH " + SLICES + """
-SELECT 'gap' AS problem, slice_end AS from_dt, nxt AS to_dt FROM (SELECT slice_end, lead(slice_start) OVER (ORDER BY slice_start) AS nxt FROM slices) WHERE nxt > slice_end
+def slices(c: Ctx):
+    """A slice for every month with orders, in three series; most reach into the next month, some end early."""
+    m = F.trunc(F.to_date("o_orderdate"), "MM")
+    months = c.table("orders").select(m.alias("slice_start")).distinct()
+    return months.select(F.concat(F.lit("c"), F.month("slice_start") % 3).alias("source"), "slice_start",
+                         F.date_add("slice_start", F.when(F.month("slice_start") % 5 == 0, F.lit(10)).otherwise(F.lit(35))).alias("slice_end"))
+
+
+@query("d24_window_coverage", "WITH " + _SLICED.replace("'c' || (month(m) % 3)", "'all'") + """
+SELECT 'gap' AS problem, greatest(coalesce(reach, DATE '1995-01-01'), DATE '1995-01-01') AS from_dt, slice_start AS to_dt FROM reached WHERE slice_start > greatest(coalesce(reach, DATE '1995-01-01'), DATE '1995-01-01')
 UNION ALL SELECT 'short', max(slice_end), DATE '2002-01-01' FROM slices""")
 def d24(c: Ctx):
-    # Slices exist for the quarters with urgent orders; the second quarter is left out.
-    o = c.table("orders").filter("o_orderpriority = '1-URGENT' and month(o_orderdate) not in (4, 5, 6)")
-    quarter = F.trunc(F.to_date("o_orderdate"), "quarter")
-    slices = o.select(quarter.alias("slice_start")).distinct().withColumn("slice_end", F.add_months("slice_start", 3))
-    return rc.assert_coverage(slices, "1995-01-01", "2002-01-01")
+    return rc.assert_coverage(slices(c), "1995-01-01", "2002-01-01")
+
+
+@query("d24_coverage_by_source", "WITH " + _SLICED + """
+SELECT source, 'gap' AS problem, greatest(coalesce(reach, DATE '1995-01-01'), DATE '1995-01-01') AS from_dt, least(slice_start, DATE '2001-09-01') AS to_dt FROM reached
+  WHERE slice_start > greatest(coalesce(reach, DATE '1995-01-01'), DATE '1995-01-01') AND greatest(coalesce(reach, DATE '1995-01-01'), DATE '1995-01-01') < DATE '2001-09-01'
+UNION ALL SELECT source, 'short', max(slice_end), DATE '2001-09-01' FROM slices GROUP BY 1 HAVING max(slice_end) < DATE '2001-09-01'
+UNION ALL SELECT source, 'overlap', slice_start, least(slice_end, reach) FROM reached WHERE slice_start < reach""")
+def d24_sources(c: Ctx):
+    return rc.coverage_problems(slices(c), "1995-01-01", "2002-01-01", ["source"], overlaps=True, tolerate_after="2001-09-01")
 
 
 _NP = ", ".join(str(x) for x in NON_PAYABLE_CODES)
@@ -241,13 +255,13 @@ lines AS (SELECT g.month, c.ref_code, c.partner, round(coalesce(x.calc, 0.0), 2)
   LEFT JOIN paid p ON p.ref_code = c.ref_code AND p.month = g.month)"""
 
 
-def payment_lines(c: Ctx):
+def payment_lines(c: Ctx, months=_YEAR, uncovered: str = "fail"):
     m = monthly(c)
     label = ru.month_label(F.col("month"))
     paid = m.filter(label.between("2026-02", "2026-06") & F.col("ref_code").isin(1, 2, 3)).groupBy("ref_code", label.alias("month")).agg(
         (F.floor(F.sum("dr_usd") / F.lit(100.0)).cast("double") * F.lit(100.0)).alias("paid_usd"))
     codes = c.spark.sql("select * from values (1L,'one'), (2L,'two'), (3L,'three'), (99L,'memo') as t(ref_code, partner)")
-    return rc.reconcile_payments(m, paid, codes, _YEAR)
+    return rc.reconcile_payments(m, paid, codes, months, uncovered)
 
 
 @query("d31_reconcile_payments", with_(MONTHLY, PAID) + "SELECT * FROM lines")
@@ -255,6 +269,16 @@ def d31(c: Ctx):
     return payment_lines(c)
 
 
+_LATER = [*LEDGER_MONTHS[-4:], "2030-12", "2031-01"]  # the last months of the ledger, and two that it does not reach
+
+
+@query("d31_uncovered_months", with_(MONTHLY, PAID.replace(repr(_YEAR)[1:-1], repr(_LATER)[1:-1])) + """
+SELECT month, ref_code, partner, CASE WHEN month <= (SELECT max(m) FROM monthly) THEN calculated_dr_usd END AS calculated_dr_usd, paid_dr_usd,
+  CASE WHEN month <= (SELECT max(m) FROM monthly) THEN diff_paid_minus_calc END AS diff_paid_minus_calc FROM lines""")
+def d31_uncovered(c: Ctx):
+    return payment_lines(c, _LATER, uncovered="null")
+
+
 @query("d31_payment_summary", with_(MONTHLY, PAID) + """
 SELECT ref_code, partner, round(sum(CASE WHEN month < '2026-02' THEN calculated_dr_usd ELSE 0 END), 2) AS calc_before,
   round(sum(CASE WHEN month BETWEEN '2026-02' AND '2026-06' THEN calculated_dr_usd ELSE 0 END), 2) AS calc_window, round(sum(paid_dr_usd), 2) AS paid_window,

@@ -344,6 +344,31 @@ def d56_deployed(c: Ctx):
     return mo.with_ratio(amounts, ratios).withColumn("amount_deployed", F.round(deployed, 2)).drop("ratio")
 
 
+_SUBSIDISED = """subsidised AS (SELECT 'AR' AS reward_code, CAST(day AS DATE) AS start_dt, CAST(day + INTERVAL 4 DAY AS DATE) AS end_dt, n / 1000.0::DOUBLE AS reward_per FROM (
+  SELECT date_trunc('week', ts) AS day, count(*) AS n FROM events GROUP BY 1))"""
+
+
+@query("d19_full_schedule", with_(EV, PERIODS, RULES, RATES, _SUBSIDISED, """every AS (
+  SELECT 2 AS priority, reward_code, greatest(start_date, a) AS start_dt, least(end_date, b) AS end_dt,
+    365.0::DOUBLE * (exp(ln(1.0::DOUBLE + CASE WHEN spread = 0 THEN observed_apy ELSE (1 + observed_apy) * (1 + spread::DOUBLE) - 1 END) / 365.0::DOUBLE) - 1.0::DOUBLE) AS reward_per
+  FROM periods, rule_periods JOIN rules USING (early) WHERE start_date <= b AND end_date >= a AND greatest(start_date, a) <= least(end_date, b)
+    AND NOT (reward_code = 'AR*' AND greatest(start_date, a) >= DATE '2026-01-01')
+  UNION ALL SELECT 1, reward_code, start_dt, end_dt, reward_per FROM rates
+  UNION ALL SELECT 3, reward_code, start_dt, end_dt, reward_per FROM subsidised)""") + """
+SELECT reward_code, dt, round(arg_max(reward_per, priority * 10000000 + (start_dt - DATE '1970-01-01')), 6) AS reward_per FROM every,
+  (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2026-12-31', INTERVAL 1 DAY)) AS DATE) AS dt) WHERE dt BETWEEN start_dt AND end_dt GROUP BY 1, 2""")
+def d19_full(c: Ctx):
+    from tideledger.functions.dates import days_between
+
+    # Weekly campaigns subsidise one class from Monday to Friday.
+    week = F.date_trunc("week", F.col("ts").cast("timestamp")).cast("date")
+    campaigns = c.table("events").groupBy(week.alias("start_dt")).agg((F.count("*") / F.lit(1000.0)).alias("reward_per")).select(
+        F.lit("AR").alias("reward_code"), F.lit("campaign").alias("reward_description"), "start_dt", F.date_add("start_dt", 4).alias("end_dt"), "reward_per")
+    lo, hi = F.lit(date(2024, 1, 1)), F.lit(date(2026, 12, 31))
+    inside = days_between(F.greatest("start_dt", lo), F.least("end_dt", hi))
+    return rt.full_schedule(c.spark, periods(c), campaigns).select("reward_code", F.explode(inside).alias("dt"), F.round("reward_per", 6).alias("reward_per"))
+
+
 # --- daily rewards over all sources -------------------------------------------
 
 CLASS = """CASE WHEN {t} = 'stUSDS' THEN 'XR-stUSDS' WHEN {t} IN ('sUSDS', 'USDS-SKY', 'USDS-SPK') THEN 'XR' WHEN {t} IN ('sUSDC', 'spUSDC', 'spUSDT', 'spPYUSD', 'spETH') THEN 'XR*' END"""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from tideledger.catalog.base import EV, ZERO, Ctx, day, query, with_
-from tideledger.functions import codec, dates, labels, rates
+from tideledger.functions import codec, dates, labels, rates, wide
 from tideledger.sources import driver_tables as dt
 
 
@@ -55,6 +57,32 @@ def f4(c: Ctx):
         codec.uint_overflows(F.col("word")).alias("too_wide"))
 
 
+_HIGH, _LOW = "CAST(o_orderkey AS HUGEINT) * 1000003 + 7", "CAST(o_custkey AS HUGEINT) * 1125899906842624 + o_orderkey"
+
+
+@query("f4_wide_words", f"""
+WITH parts AS (SELECT o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END AS sign, {_HIGH} AS high, {_LOW} AS low FROM orders),
+sums AS (SELECT o_custkey, sum(sign * high) AS high, sum(sign * low) AS low, count(*) AS n FROM parts GROUP BY 1),
+normal AS (SELECT o_custkey, n, high + (low - ((low % m + m) % m)) // m AS high, (low % m + m) % m AS low FROM sums, (SELECT CAST(1 AS HUGEINT) << 100 AS m))
+SELECT o_custkey, n, CAST(high AS VARCHAR) AS high, CAST(low AS VARCHAR) AS low FROM normal""")
+def f4_wide(c: Ctx):
+    # Words high * 2^150 + low, signed, summed per customer; both halves of the exact sum come back from its digits in base 2.
+    o = c.table("orders")
+    high = F.lower(F.hex((F.col("o_orderkey") * 1000003 + 7).cast("bigint")))
+    low = F.lower(F.hex((F.col("o_custkey") * 1125899906842624 + F.col("o_orderkey")).cast("bigint")))
+    word = F.lpad(F.concat(high, F.lpad(low, 25, "0")), 64, "0")  # 25 hex digits: 100 bits
+    signed = F.when(F.col("o_orderkey") % 3 == 0, wide.times(wide.limbs(word), -1)).otherwise(wide.limbs(word))
+    sums = o.select("o_custkey", signed.alias("v")).groupBy("o_custkey").agg(wide.total(F.col("v")).alias("v"), F.count("*").alias("n"))
+    exact = sums.select("o_custkey", "n", wide.carried(F.col("v")).alias("v"))
+    # lo and mid hold 96 bits each: four bits of mid belong to the low half.
+    sixteen = F.lit(16).cast("decimal(38,0)")
+    rest = F.pmod(F.col("v.mid"), sixteen).cast("decimal(38,0)")
+    above = ((F.col("v.mid") - rest) / sixteen).cast("decimal(38,0)")
+    base, step = F.lit(Decimal(1 << 96)).cast("decimal(38,0)"), F.lit(Decimal(1 << 92)).cast("decimal(38,0)")
+    return exact.select("o_custkey", "n", (F.col("v.hi") * step + above).cast("decimal(38,0)").cast("string").alias("high"),
+                        (rest * base + F.col("v.lo")).cast("decimal(38,0)").cast("string").alias("low"))
+
+
 @query("f5_referral_code", with_(EV) + """
 SELECT tx_hash, CASE WHEN event_type = 'signup' THEN k WHEN k % 2 = 0 THEN 1004 ELSE 4011 END AS ref_code
 FROM ev WHERE event_type IN ('signup', 'view')""")

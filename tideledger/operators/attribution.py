@@ -12,6 +12,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tideledger.functions import wide
 from tideledger.functions.codec import ZERO_ADDRESS
 from tideledger.functions.dates import day_of
 from tideledger.sources.registry import CANARY_FLOOR_UNITS, MAX_VALID_CODE, MIN_INTERMEDIARY_EVENTS
@@ -69,12 +70,17 @@ def swap_codes(swaps: DataFrame, tracked: DataFrame | str) -> DataFrame:
 def wallet_sides(transfers: DataFrame, *extra: Column) -> DataFrame:
     """Both sides of every transfer as (wallet, signed amount); no zero address.
 
-    ``leg_seq`` 0 is the receiving side, so a self-transfer has a fixed order.
+    ``leg_seq`` 0 is the receiving side, so a self-transfer has a fixed order. Where transfers carry wide amounts, ``delta_wide``
+    has those that do not fit ``delta``.
     """
-    sides = F.array(
-        F.struct(F.col("to_addr").alias("user_addr"), F.col("amount").alias("delta"), F.lit(0).alias("leg_seq")),
-        F.struct(F.col("from_addr").alias("user_addr"), (-F.col("amount")).alias("delta"), F.lit(1).alias("leg_seq")),
-    )
+    def side(address: str, sign: int) -> Column:
+        amount = F.col("amount") if sign > 0 else -F.col("amount")
+        more = []
+        if "amount_wide" in transfers.columns:
+            more = [F.when(F.col("amount_wide").isNotNull(), wide.times(F.col("amount_wide"), sign)).cast(wide.TYPE).alias("delta_wide")]
+        return F.struct(F.col(address).alias("user_addr"), amount.alias("delta"), F.lit(int(sign < 0)).alias("leg_seq"), *more)
+
+    sides = F.array(side("to_addr", 1), side("from_addr", -1))
     return (
         transfers.withColumn("_side", F.explode(sides))
         .select(*TX, "block_number", "log_index", "block_time", *extra, "_side.*")

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tideledger.functions import wide
 from tideledger.functions.dates import day_of, days_between
 
 VAULT = ["blockchain", "contract_address"]
@@ -14,9 +15,12 @@ VAULT = ["blockchain", "contract_address"]
 
 def last_rate_of_day(flows: DataFrame, keys: list[str] = VAULT) -> DataFrame:
     """Assets per share of the last flow of each day (ties by log index)."""
-    rated = flows.filter(F.col("shares") > 0).select(
-        *keys, day_of(F.col("block_time")).alias("dt"), "block_time", "log_index",
-        (F.col("assets").cast("double") / F.col("shares").cast("double")).alias("rate"),
+    def value(name: str):
+        plain = F.col(name).cast("double")
+        return F.coalesce(plain, wide.as_double(wide.carried(F.col(f"{name}_wide")))) if f"{name}_wide" in flows.columns else plain
+
+    rated = flows.filter(value("shares") > 0).select(
+        *keys, day_of(F.col("block_time")).alias("dt"), "block_time", "log_index", (value("assets") / value("shares")).alias("rate"),
     )
     latest = (F.col("block_time").cast("decimal(18,0)") * F.lit(Decimal(10**19)) + F.col("log_index")).cast("decimal(38,0)")
     return rated.groupBy(*keys, "dt").agg(F.max_by("rate", latest).alias("rate"))

@@ -13,6 +13,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tideledger.functions import wide
 from tideledger.functions.codec import scaled
 from tideledger.functions.dates import day_of
 from tideledger.operators.attribution import WALLET_TX, flag_deliveries, signal, wallet_sides
@@ -35,14 +36,16 @@ def end_second(end: date, cutoff: date | None = None) -> int:
 
 def _tracked(events: DataFrame, targets: DataFrame, end_ts: int | None) -> DataFrame:
     tracked = targets.select("blockchain", "contract_address", "symbol", "decimals", "start_date")
-    kept = events.join(tracked, ["blockchain", "contract_address"]).filter(
+    return events.join(tracked, ["blockchain", "contract_address"]).filter(
         in_window(F.col("block_time"), F.col("start_date"), end_ts)
     )
-    if "amount_overflow" not in events.columns:
-        return kept
-    # A tracked amount that cannot be decoded exactly stops the job; a null would vanish in sums.
-    told = F.concat(F.lit("value too wide to decode in transaction "), F.coalesce("tx_hash", F.lit("without hash")))
-    return kept.withColumn("amount", F.when(F.col("amount_overflow"), F.raise_error(told).cast("decimal(38,0)")).otherwise(F.col("amount")))
+
+
+def _scaled_side(delta: Column, wide_delta: Column | None, decimals: Column) -> Column:
+    """Token units of one signed amount, wide or not."""
+    if wide_delta is None:
+        return scaled(delta, decimals)
+    return F.coalesce(scaled(delta, decimals), wide.as_double(wide.carried(wide_delta)) / F.pow(F.lit(10.0), decimals))
 
 
 def transfer_legs(
@@ -55,7 +58,7 @@ def transfer_legs(
     return sides.join(named, WALLET_TX, "left").select(
         "blockchain", "contract_address", "symbol", "user_addr", F.col("block_number").alias("block"),
         "log_index", "leg_seq", F.col("block_time").alias("ts"),
-        scaled(F.col("delta"), F.col("decimals")).alias("amount_change"), "ref_code",
+        side_units(sides).alias("amount_change"), "ref_code",
     )
 
 
@@ -85,10 +88,20 @@ def transaction_legs(
     facts = targets.select("blockchain", "contract_address", "symbol", "decimals")
     return merged.join(facts, ["blockchain", "contract_address"]).select(
         "blockchain", "contract_address", "symbol", "user_addr", "block", "log_index",
-        F.lit(0).alias("leg_seq"), "ts", scaled(F.col("net"), F.col("decimals")).alias("amount_change"), "ref_code",
+        F.lit(0).alias("leg_seq"), "ts", net_units(merged).alias("amount_change"), "ref_code",
     )
 
 
+def side_units(sides: DataFrame) -> Column:
+    """Token units of the signed amounts of transfer sides, beside a ``decimals`` column."""
+    return _scaled_side(F.col("delta"), F.col("delta_wide") if "delta_wide" in sides.columns else None, F.col("decimals"))
+
+
+def net_units(merged: DataFrame) -> Column:
+    """Token units of the net changes of :func:`merged_sides`, beside a ``decimals`` column."""
+    return _scaled_side(F.col("net"), F.col("net_wide") if "net_wide" in merged.columns else None, F.col("decimals"))
+
+
 def merged_sides(moves: DataFrame, codes: Sequence[DataFrame], keys: Sequence[str] = ()) -> DataFrame:
     """Exact net change and code per (transaction, wallet), by further ``keys`` if asked.
 
@@ -98,7 +111,7 @@ def merged_sides(moves: DataFrame, codes: Sequence[DataFrame], keys: Sequence[st
     alone = F.concat_ws(":", F.lit("#"), F.col("block_number"), F.col("log_index"))
     by = [*keys, *WALLET_TX]
     rows = wallet_sides(moves.withColumn("tx_hash", F.coalesce("tx_hash", alone)), F.col("delivery_code"), *map(F.col, keys)).select(
-        *by, "block_number", "log_index", "block_time", "delta",
+        *by, "block_number", "log_index", "block_time", "delta", *(["delta_wide"] if "amount_wide" in moves.columns else []),
         F.when(F.col("leg_seq") == 0, F.col("delivery_code")).alias("delivery_code"),
     )
     for m in codes:
@@ -112,18 +125,30 @@ def merged_sides(moves: DataFrame, codes: Sequence[DataFrame], keys: Sequence[st
         F.max("block_number").alias("block"), F.max("log_index").alias("log_index"),
         F.max("block_time").alias("ts"), F.sum("delta").alias("net"),
         named.alias("named_code"), delivered.alias("delivery_code"),
+        *([wide.total(F.coalesce("delta_wide", wide.of(F.col("delta")))).alias("all_limbs"), F.max(F.col("delta_wide").isNotNull()).alias("any_wide")]
+          if "delta_wide" in rows.columns else []),
     )
-    code = F.coalesce(F.col("named_code"), F.when(F.col("net") > 0, F.col("delivery_code")))
-    return merged.filter(F.col("block").isNotNull()).select(*by, "block", "log_index", "ts", "net", code.cast("bigint").alias("ref_code"))
+    net = F.col("net")
+    out = ["net"]
+    gains = net > 0
+    if "delta_wide" in rows.columns:
+        # A wide side makes the whole sum wide: ordinary sides are limbs too, and the exact difference of two wide ones may be small again.
+        whole = wide.carried(F.col("all_limbs"))
+        merged = merged.withColumn("net_wide", F.when(F.col("any_wide"), whole))
+        gains = F.when(F.col("any_wide"), wide.is_positive(F.col("net_wide"))).otherwise(gains)
+        out = [F.when(~F.col("any_wide"), net).alias("net"), "net_wide"]
+    code = F.coalesce(F.col("named_code"), F.when(gains, F.col("delivery_code")))
+    return merged.filter(F.col("block").isNotNull()).select(*by, "block", "log_index", "ts", *out, code.cast("bigint").alias("ref_code"))
 
 
 def stake_legs(stakes: DataFrame, codes: DataFrame, targets: DataFrame, end_ts: int | None = None) -> DataFrame:
     """One leg per staking event: in is positive, out is negative."""
     kept = _tracked(stakes, targets, end_ts)
+    side = F.when(F.col("sign") < 0, wide.times(F.col("amount_wide"), -1)).otherwise(F.col("amount_wide")) if "amount_wide" in stakes.columns else None
     return kept.join(codes.select(*WALLET_TX, "ref_code"), WALLET_TX, "left").select(
         "blockchain", "contract_address", "symbol", "user_addr", F.col("block_number").alias("block"),
         "log_index", F.lit(0).alias("leg_seq"), F.col("block_time").alias("ts"),
-        scaled(F.col("sign") * F.col("amount"), F.col("decimals")).alias("amount_change"), "ref_code",
+        _scaled_side(F.col("sign") * F.col("amount"), side, F.col("decimals")).alias("amount_change"), "ref_code",
     )
 
 
@@ -136,13 +161,13 @@ def holder_legs(transfers: DataFrame, holders: DataFrame, end_ts: int | None = N
     sides = wallet_sides(transfers.filter(F.col("to_addr") != F.col("from_addr")))
     listed = holders.select("blockchain", "contract_address", "symbol", "decimals",
                             F.lower("holder").alias("user_addr"), F.col("holder_code").alias("ref_code"))
-    kept = sides.join(listed, ["blockchain", "contract_address", "user_addr"]).filter(F.col("delta") != 0)
+    kept = sides.join(listed, ["blockchain", "contract_address", "user_addr"]).filter(F.col("delta").isNull() | (F.col("delta") != 0))
     if end_ts is not None:
         kept = kept.filter(F.col("block_time") < end_ts)
     return kept.select(
         "blockchain", "contract_address", "symbol", "user_addr", F.col("block_number").alias("block"),
         "log_index", F.lit(0).alias("leg_seq"), F.col("block_time").alias("ts"),
-        scaled(F.col("delta"), F.col("decimals")).alias("amount_change"), "ref_code",
+        side_units(sides).alias("amount_change"), "ref_code",
     )
 
 

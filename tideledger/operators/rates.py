@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tideledger.functions.dates import day_of
+from tideledger.functions.dates import SECONDS_PER_DAY, day_of
 from tideledger.session import constant_frame
 from tideledger.functions.rates import annualised_daily_rate, per_second_to_apy
 
@@ -81,46 +82,80 @@ def with_daily_rate(daily: DataFrame, rates: DataFrame, missing: str = "zero") -
     return joined.withColumn("reward_per", F.coalesce("_rate", F.lit(0.0))).drop("_code", "_from", "_to", "_rate")
 
 
+def _latest_first(ts: str, seq: str) -> Column:
+    """Order of observations as one number, so that latest values are hash-based aggregates."""
+    return (F.col(ts).cast("decimal(18,0)") * F.lit(Decimal(10**19)) + F.col(seq)).cast("decimal(38,0)")
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """A single series is a keyed one under an empty name."""
+    return (df, list(keys)) if keys else (df.withColumn("_series", F.lit("")), ["_series"])
+
+
+def _slots(df: DataFrame, ts: str, slot_seconds: int) -> DataFrame:
+    if SECONDS_PER_DAY % slot_seconds:
+        raise ValueError("slot_seconds must divide a day")
+    return df.withColumn("slot", F.floor(F.col(ts) / F.lit(slot_seconds))).withColumn("slot_day", F.floor(F.col(ts) / F.lit(SECONDS_PER_DAY)))
+
+
+def _carried(slots: DataFrame, keys: list[str], value: str, forward: bool) -> DataFrame:
+    """Per (series, slot): ``value`` of the slot before it, or after it.
+
+    In two levels: inside a day first, then from day to day, so that a task holds the slots of one day or the days of one series.
+    """
+    step = F.lag if forward else F.lead
+    in_day = Window.partitionBy(*keys, "slot_day").orderBy("slot")
+    over_days = Window.partitionBy(*keys).orderBy("slot_day")
+    edge = F.max_by(value, "slot") if forward else F.min_by(value, "slot")
+    days = slots.groupBy(*keys, "slot_day").agg(edge.alias("_edge"))
+    days = days.select(*keys, "slot_day", step("_edge").over(over_days).alias("_other_day"))
+    inside = slots.withColumns({"_beside": step(value).over(in_day), "_at_edge": step("slot").over(in_day).isNull()})
+    return inside.join(days, [*keys, "slot_day"]).select(
+        *keys, "slot", F.when(F.col("_at_edge"), F.col("_other_day")).otherwise(F.col("_beside")).alias("_carried"))
+
+
 def change_points(
-    observations: DataFrame, value: str = "value", ts: str = "ts", seq: str = "seq", slot_seconds: int = 3600
+    observations: DataFrame, value: str = "value", ts: str = "ts", seq: str = "seq", slot_seconds: int = 3600, keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Observations whose value differs from the one before.
+    """Observations whose value differs from the one before, in one series or in each of many.
 
     Compared inside each time slot first; only the last value of a slot crosses
-    slots, so no task ever holds the whole series.
+    slots, by day and then from day to day, so no task ever holds a whole series.
     """
-    slotted = observations.withColumn("slot", F.floor(F.col(ts) / F.lit(slot_seconds)))
-    in_slot = Window.partitionBy("slot").orderBy(ts, seq)
-    last = slotted.groupBy("slot").agg(F.max_by(value, F.struct(ts, seq)).alias("_last"))
-    carried = last.select("slot", F.lag("_last").over(Window.orderBy("slot")).alias("_before_slot"))
+    series, by = _keyed(observations, keys)
+    slotted = _slots(series, ts, slot_seconds)
+    in_slot = Window.partitionBy(*by, "slot").orderBy(ts, seq)
+    last = slotted.groupBy(*by, "slot", "slot_day").agg(F.max_by(value, _latest_first(ts, seq)).alias("_last"))
+    before_slot = _carried(last, by, "_last", forward=True)
     marked = slotted.withColumns({
         "_prev": F.lag(value).over(in_slot), "_first": F.row_number().over(in_slot) == 1,
     })
-    before = F.when(F.col("_first"), F.col("_before_slot")).otherwise(F.col("_prev"))
+    before = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_prev"))
     return (
-        marked.join(carried, "slot")
+        marked.join(before_slot, [*by, "slot"])
         .filter(F.col(value) != F.coalesce(before, F.lit(0)))
         .select(*observations.columns, day_of(F.col(ts)).alias("dt"))
     )
 
 
 def observed_periods(
-    changes: DataFrame, since: date, value: str = "value", ts: str = "ts", seq: str = "seq", slot_seconds: int = 3600
+    changes: DataFrame, since: date, value: str = "value", ts: str = "ts", seq: str = "seq", slot_seconds: int = 3600, keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Periods between changes of a per-second rate, the last one open-ended.
+    """Periods between changes of a per-second rate, the last one of each series open-ended.
 
     A period ends the day before the next change; only slots with changes are
     put in sequence, not the changes themselves.
     """
-    kept = changes.filter(F.col("dt") >= F.lit(since)).withColumn("slot", F.floor(F.col(ts) / F.lit(slot_seconds)))
-    slots = kept.groupBy("slot").agg(F.min("dt").alias("slot_dt"))
-    following = slots.select("slot", F.lead("slot_dt").over(Window.orderBy("slot")).alias("_next_slot_dt"))
-    in_slot = Window.partitionBy("slot").orderBy(ts, seq)
-    next_dt = F.coalesce("_next_dt", "_next_slot_dt")
+    series, by = _keyed(changes.filter(F.col("dt") >= F.lit(since)), keys)
+    kept = _slots(series, ts, slot_seconds)
+    slots = kept.groupBy(*by, "slot", "slot_day").agg(F.min("dt").alias("_first_dt"))
+    following = _carried(slots, by, "_first_dt", forward=False)
+    in_slot = Window.partitionBy(*by, "slot").orderBy(ts, seq)
+    next_dt = F.coalesce("_next_dt", "_carried")
     end = F.when(next_dt.isNull(), F.lit(OPEN_END)).otherwise(F.date_sub(next_dt, 1))
     return (
-        kept.withColumn("_next_dt", F.lead("dt").over(in_slot)).join(following, "slot")
-        .select(per_second_to_apy(F.col(value)).alias("observed_apy"), F.col("dt").alias("start_date"), end.alias("end_date"))
+        kept.withColumn("_next_dt", F.lead("dt").over(in_slot)).join(following, [*by, "slot"])
+        .select(*keys, per_second_to_apy(F.col(value)).alias("observed_apy"), F.col("dt").alias("start_date"), end.alias("end_date"))
     )
 
 
@@ -150,8 +185,37 @@ def dynamic_rates(periods: DataFrame) -> DataFrame:
     return out.filter(~((F.col("reward_code") == "AR*") & (F.col("start_dt") >= F.lit(date(2026, 1, 1)))))
 
 
+SCHEDULE = ["reward_code", "reward_description", "start_dt", "end_dt", "reward_per"]
+FIXED, OBSERVED, SUBSIDISED = 1, 2, 3  # priorities where periods of one class overlap
+
+
+def resolved(periods: DataFrame) -> DataFrame:
+    """Overlapping periods of each class cut so that every day has one rate.
+
+    ``periods``: the schedule's columns and ``priority``. A sweep over the boundaries of a class: between two of them the same periods are active, and the
+    one of the highest priority holds, the latest begun among equals. Neighbouring pieces of one period are joined again.
+    """
+    valid = periods.filter(F.col("start_dt") <= F.col("end_dt"))
+    bounds = valid.select("reward_code", F.explode(F.array("start_dt", F.date_add("end_dt", 1))).alias("a")).distinct()
+    by_class = Window.partitionBy("reward_code")
+    pieces = bounds.withColumn("b", F.lead("a").over(by_class.orderBy("a"))).filter(F.col("b").isNotNull())
+    p = valid.select(F.col("reward_code").alias("_code"), "reward_description", "reward_per", F.col("start_dt").alias("_from"), F.col("end_dt").alias("_to"),
+                     (F.col("priority") * 10_000_000 + F.unix_date("start_dt")).alias("_rank"))
+    active = pieces.join(p, (F.col("reward_code") == F.col("_code")) & (F.col("_from") <= F.col("a")) & (F.col("_to") >= F.col("a")))
+    held = active.groupBy("reward_code", "a", "b").agg(
+        F.max("_rank").alias("_rank"), F.max_by("reward_per", "_rank").alias("reward_per"), F.max_by("reward_description", "_rank").alias("reward_description"))
+    ordered = by_class.orderBy("a")
+    goes_on = (F.lag("_rank").over(ordered) == F.col("_rank")) & (F.lag("b").over(ordered) == F.col("a"))
+    runs = held.withColumn("_new", (~F.coalesce(goes_on, F.lit(False))).cast("int")).withColumn("_run", F.sum("_new").over(ordered))
+    return runs.groupBy("reward_code", "_run").agg(
+        F.max("reward_description").alias("reward_description"), F.min("a").alias("start_dt"), F.date_sub(F.max("b"), 1).alias("end_dt"),
+        F.max("reward_per").alias("reward_per")).select(*SCHEDULE)
+
+
 def full_schedule(spark: SparkSession, periods: DataFrame, subsidised: DataFrame | None = None) -> DataFrame:
-    """Dynamic, fixed and subsidised rates in one schedule."""
-    columns = ["reward_code", "reward_description", "start_dt", "end_dt", "reward_per"]
-    out = dynamic_rates(periods).unionByName(schedule(spark).select(*columns))
-    return out if subsidised is None else out.unionByName(subsidised.select(*columns))
+    """Dynamic, fixed and subsidised rates in one schedule without two rates on a day of a class."""
+    def ranked(df: DataFrame, priority: int) -> DataFrame:
+        return df.select(*SCHEDULE, F.lit(priority).alias("priority"))
+
+    out = ranked(dynamic_rates(periods), OBSERVED).unionByName(ranked(schedule(spark), FIXED))
+    return resolved(out if subsidised is None else out.unionByName(ranked(subsidised, SUBSIDISED)))

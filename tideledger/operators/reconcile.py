@@ -168,16 +168,28 @@ def rate_basis_check(rates: DataFrame, expected: DataFrame, tol: float = 1e-15)
 
 # --- payments -----------------------------------------------------------------
 
-def reconcile_payments(monthly: DataFrame, paid: DataFrame, codes: DataFrame, months: Sequence[str]) -> DataFrame:
+def reconcile_payments(
+    monthly: DataFrame, paid: DataFrame, codes: DataFrame, months: Sequence[str], uncovered: str = "fail",
+) -> DataFrame:
     """Calculated against paid for every listed code and month.
 
     ``codes``: ref_code, partner; ``months``: ``yyyy-MM`` labels; ``paid``: ref_code,
-    month, paid_usd (null = no payment line).
+    month, paid_usd (null = no payment line). A listed month after the last, or before the first, calculated one is not covered: it fails the
+    job, or with ``uncovered="null"`` has no calculated amount and no difference. A covered month without rows of a code is 0.
     """
+    if uncovered not in ("fail", "null"):
+        raise ValueError("uncovered is 'fail' or 'null'")
+    label = month_label(F.col("month"))
+    span = monthly.select(F.min(label).alias("a"), F.max(label).alias("b"))
     grid = codes.select("ref_code", "partner", F.explode(F.array(*[F.lit(m) for m in months])).alias("month"))
-    calc = monthly.groupBy("ref_code", month_label(F.col("month")).alias("month")).agg(F.sum("dr_usd").alias("calc"))
-    joined = grid.join(calc, ["ref_code", "month"], "left").join(paid, ["ref_code", "month"], "left")
-    rounded = F.round(F.coalesce("calc", F.lit(0.0)), 2)
+    grid = grid.withColumns({"first_month": span.select("a").scalar(), "last_month": span.select("b").scalar()})
+    inside = F.coalesce(F.col("month").between(F.col("first_month"), F.col("last_month")), F.lit(False))
+    if uncovered == "fail":
+        told = F.concat(F.lit("month not covered by the calculated rewards: "), F.col("month"))
+        inside = F.when(inside, F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))
+    calc = monthly.groupBy("ref_code", label.alias("month")).agg(F.sum("dr_usd").alias("calc"))
+    joined = grid.withColumn("covered", inside).join(calc, ["ref_code", "month"], "left").join(paid, ["ref_code", "month"], "left")
+    rounded = F.when(F.col("covered"), F.round(F.coalesce("calc", F.lit(0.0)), 2))
     return joined.select(
         "month", "ref_code", "partner", rounded.alias("calculated_dr_usd"), F.col("paid_usd").alias("paid_dr_usd"),
         F.round(F.col("paid_usd") - rounded, 2).alias("diff_paid_minus_calc"),
@@ -216,19 +228,44 @@ def verify_payments(payments: DataFrame, transfers: DataFrame, labels: DataFrame
         "found", F.col("from_addr").isNotNull())
 
 
-def assert_coverage(slices: DataFrame, start: str, end: str) -> DataFrame:
-    """Problems of a set of [start, end) slices that must cover a window.
+def coverage_problems(
+    slices: DataFrame, start: str, end: str, keys: Sequence[str] = (), overlaps: bool = False, tolerate_after: str | None = None,
+) -> DataFrame:
+    """Problems of [start, end) slices that must cover a window, for every key.
 
-    Returns gaps between slices, a late first slice or an early last one; an
-    empty frame means the slices cover the window.
+    ``gap`` between slices or before the first one, ``short`` where the last one ends too early, and with ``overlaps`` the days that two slices share.
+    Days from ``tolerate_after`` on may be missing: they are still in the future. Slices are put in sequence
+    for each key; an empty frame means that the slices cover the window.
     """
     from pyspark.sql import Window
 
-    s = slices.select(F.col("slice_start").cast("date").alias("a"), F.col("slice_end").cast("date").alias("b"))
-    reach = F.max("b").over(Window.orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1))
-    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
-    gaps = s.withColumn("reach", F.coalesce(reach, lo)).filter((F.col("a") > F.col("reach")) & (F.col("reach") < hi)).select(
-        F.lit("gap").alias("problem"), F.col("reach").alias("from_dt"), F.least(F.col("a"), hi).alias("to_dt"))
-    short = s.agg(F.coalesce(F.max("b"), lo).alias("m")).filter(F.col("m") < hi).select(
-        F.lit("short").alias("problem"), F.col("m").alias("from_dt"), hi.alias("to_dt"))
-    return gaps.unionByName(short)
+    by = list(keys) or ["_all"]
+    s = slices.withColumn("_all", F.lit(0)).select(*by, F.col("slice_start").cast("date").alias("a"), F.col("slice_end").cast("date").alias("b"))
+    lo, hi = F.lit(start).cast("date"), F.lit(end if tolerate_after is None else min(end, tolerate_after)).cast("date")
+    before = Window.partitionBy(*by).orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    reached = s.withColumn("reach", F.greatest(F.coalesce(F.max("b").over(before), lo), lo))
+    row = lambda problem, a, b: (F.lit(problem).alias("problem"), a.alias("from_dt"), b.alias("to_dt"))
+    out = reached.filter((F.col("a") > F.col("reach")) & (F.col("reach") < hi)).select(*by, *row("gap", F.col("reach"), F.least(F.col("a"), hi)))
+    last = s.groupBy(*by).agg(F.max("b").alias("m"))
+    if not keys:  # no slice at all leaves the whole window open
+        last = last.select("m").groupBy().agg(F.coalesce(F.max("m"), lo).alias("m")).withColumn("_all", F.lit(0))
+    out = out.unionByName(last.filter(F.col("m") < hi).select(*by, *row("short", F.greatest(F.col("m"), lo), hi)))
+    if overlaps:
+        seen = s.withColumn("reach", F.max("b").over(before))
+        out = out.unionByName(seen.filter(F.col("a") < F.col("reach")).select(*by, *row("overlap", F.col("a"), F.least(F.col("b"), F.col("reach")))))
+    return out.drop("_all")
+
+
+def assert_coverage(slices: DataFrame, start: str, end: str) -> DataFrame:
+    """:func:`coverage_problems` of one series of slices."""
+    return coverage_problems(slices, start, end)
+
+
+def covered(df: DataFrame, slices: DataFrame, start: str, end: str, **kw) -> DataFrame:
+    """``df`` behind a guard in its own plan: any coverage problem of the slices it was made of fails the job that reads it."""
+    problems = coverage_problems(slices, start, end, **kw)
+    told = F.concat_ws(" ", "problem", F.col("from_dt").cast("string"), F.lit("to"), F.col("to_dt").cast("string"))
+    first = problems.agg(F.min(told).alias("told")).scalar()
+    guard = F.when(F.coalesce(first, F.lit("")) == "", F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("slices do not cover the window: "), first)).cast("boolean"))
+    return df.filter(guard)

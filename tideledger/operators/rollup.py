@@ -12,10 +12,21 @@ from tideledger.functions.labels import (
 )
 
 
-def combine(parts: dict[str, DataFrame]) -> DataFrame:
-    """Monthly rewards of several sources in one frame with a ``source`` column."""
+def combine(
+    parts: dict[str, DataFrame], slices: DataFrame | None = None, start: str | None = None, end: str | None = None,
+    tolerate_after: str | None = None,
+) -> DataFrame:
+    """Monthly rewards of several sources in one frame with a ``source`` column.
+
+    With ``slices`` (source, slice_start, slice_end: the windows the parts were computed for) a gap of any source in [start, end) fails the job.
+    """
     named = [df.withColumn("source", F.lit(name)) for name, df in parts.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+    if slices is None:
+        return out
+    from tideledger.operators.reconcile import covered
+
+    return covered(out, slices, start, end, keys=["source"], overlaps=True, tolerate_after=tolerate_after)
 
 
 def month_label(month: Column) -> Column:

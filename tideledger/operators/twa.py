@@ -82,6 +82,21 @@ def running_state(
     )
 
 
+def seconds_to_next(legs: DataFrame, keys: list[str] = WALLET, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+    """Every leg with the seconds its state lasts on its day: to the wallet's next leg of the day, else to midnight.
+
+    The mirror of the balance prefix: inside a slot the next leg is a neighbour, across slots it is the first leg of the day's next slot with
+    legs. Only one row a slot crosses slots, so a busy wallet stays split.
+    """
+    slotted = _slotted(legs, keys, slot_seconds).withColumn("_day", F.floor(F.col("ts") / F.lit(SECONDS_PER_DAY)))
+    slots = slotted.groupBy(*keys, "_day", "slot").agg(F.min_by("ts", order_key()).alias("_first"))
+    after = slots.select(*keys, "slot", F.lead("_first").over(Window.partitionBy(*keys, "_day").orderBy("slot")).alias("_next_slot"))
+    within = F.lead("ts").over(Window.partitionBy(*keys, "slot").orderBy(*LEG_ORDER))
+    until = F.coalesce("_within", "_next_slot", (F.col("_day") + 1) * SECONDS_PER_DAY)
+    return slotted.withColumn("_within", within).join(after, [*keys, "slot"]).withColumn(
+        "seconds", (until - F.col("ts")).cast("bigint")).select(*legs.columns, "seconds")
+
+
 def _slot_sums(legs: DataFrame, keys: list[str], slot_seconds: int) -> DataFrame:
     """Per (wallet, slot, code in slot): covered seconds and balance-seconds,
     relative to the slot's opening balance. Code null = still the opening code."""

@@ -10,7 +10,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tideledger.functions.codec import scaled
 from tideledger.functions.rates import per_day
 from tideledger.operators import attribution as at
 from tideledger.operators import conversion as cv
@@ -90,10 +89,7 @@ def tagged_legs(events: DataFrame, specs: Sequence[SourceSpec], include_programs
     """Legs of all sources in one grouping by (source, transaction, wallet), from :func:`scanned` events."""
     spark = events.sparkSession
     names = [s.name for s in specs]
-    moves = events.filter((F.col("role") == sc.MOVE) & F.col("source").isin(*names)).drop("owner", "ref_code", "assets", "shares")
-    # A tracked amount that cannot be decoded exactly stops the job; a null would vanish in sums.
-    told = F.concat(F.lit("value too wide to decode in transaction "), F.coalesce("tx_hash", F.lit("without hash")))
-    moves = moves.withColumn("amount", F.when(F.col("amount_overflow"), F.raise_error(told).cast("decimal(38,0)")).otherwise(F.col("amount")))
+    moves = events.filter((F.col("role") == sc.MOVE) & F.col("source").isin(*names)).drop("owner", "ref_code", "assets", "shares", "assets_wide", "shares_wide")
     named = events.filter((F.col("role") == sc.CODE) & F.col("source").isin(*names) & F.col("tx_hash").isNotNull())
     swaps = [s.name for s in specs if s.targets and s.targets[0].kind == "swap"]
     valid = named.filter(~F.col("source").isin(*swaps) | (F.col("ref_code") < MAX_VALID_CODE)) if swaps else named
@@ -114,7 +110,7 @@ def tagged_legs(events: DataFrame, specs: Sequence[SourceSpec], include_programs
     merged = lg.merged_sides(flagged, maps, ["source"]).join(facts, ["source", "blockchain", "contract_address"])
     legs = merged.select(
         "source", "blockchain", "contract_address", "symbol", "user_addr", "block", "log_index", F.lit(0).alias("leg_seq"), "ts",
-        scaled(F.col("net"), F.col("decimals")).alias("amount_change"), F.coalesce(_fixed_code(specs), F.col("ref_code")).alias("ref_code"))
+        lg.net_units(merged).alias("amount_change"), F.coalesce(_fixed_code(specs), F.col("ref_code")).alias("ref_code"))
     # A holder's own side only: the other side of its moves is the zero address already.
     for s in specs:
         if s.excluded:
@@ -142,7 +138,7 @@ def idle_holdings(events: DataFrame, end: date) -> DataFrame:
     sides = at.wallet_sides(moves, F.col("source").alias("symbol"), F.col("decimals"))
     legs = sides.select(
         "blockchain", "symbol", F.col("block_number").alias("block"), "log_index", F.lit(0).alias("leg_seq"), F.col("block_time").alias("ts"),
-        scaled(F.col("delta"), F.col("decimals")).alias("amount_change"))
+        lg.side_units(sides).alias("amount_change"))
     return mo.idle_series(legs, end, ["blockchain", "symbol"]).withColumnRenamed("symbol", "vault_symbol")
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tideledger.functions import codec
+from tideledger.functions import codec, wide
 
 LOG_SCHEMA = T.StructType([
     T.StructField("blockchain", T.StringType()),
@@ -92,6 +92,11 @@ def block_at_or_before(blocks: DataFrame, ts: int, chains: DataFrame | None = No
     )
 
 
+def _amount(word: Column, name: str) -> list[Column]:
+    """An exact amount: a decimal where it fits, else null beside the same value in wide limbs."""
+    return [codec.uint(word).alias(name), F.when(codec.uint_overflows(word), wide.limbs(word)).alias(f"{name}_wide")]
+
+
 def _common() -> list[Column]:
     return [F.col("blockchain"), F.col("address").alias("contract_address"),
             F.col("transaction_hash").alias("tx_hash"), F.col("block_number"), F.col("log_index"), F.col("block_time")]
@@ -103,7 +108,7 @@ def transfers(logs: DataFrame) -> DataFrame:
         *_common(),
         codec.topic_address(F.col("topic1")).alias("from_addr"),
         codec.topic_address(F.col("topic2")).alias("to_addr"),
-        codec.uint(codec.data_word(F.col("data"), 0)).alias("amount"),
+        *_amount(codec.data_word(F.col("data"), 0), "amount"),
         codec.uint_overflows(codec.data_word(F.col("data"), 0)).alias("amount_overflow"),
     )
 
@@ -128,7 +133,7 @@ def swaps(logs: DataFrame, topic0: str = codec.SWAP_TOPIC) -> DataFrame:
         codec.topic_address(F.col("topic1")).alias("asset_in"),
         codec.topic_address(F.col("topic2")).alias("asset_out"),
         codec.topic_address(F.col("topic3")).alias("receiver"),
-        codec.uint(amount).alias("amount_out"),
+        *_amount(amount, "amount_out"),
         codec.swap_code(F.col("data")).alias("ref_code"),
     )
 
@@ -138,7 +143,7 @@ def stakes(logs: DataFrame) -> DataFrame:
     return logs.filter(F.col("topic0").isin(codec.STAKED_TOPIC, codec.WITHDRAWN_TOPIC)).select(
         *_common(),
         codec.topic_address(F.col("topic1")).alias("user_addr"),
-        codec.uint(codec.data_word(F.col("data"), 0)).alias("amount"),
+        *_amount(codec.data_word(F.col("data"), 0), "amount"),
         F.when(F.col("topic0") == codec.STAKED_TOPIC, F.lit(1)).otherwise(F.lit(-1)).alias("sign"),
     )
 
@@ -147,13 +152,13 @@ def vault_flows(logs: DataFrame) -> DataFrame:
     """Deposit and Withdraw events: assets in word 0, shares in word 1."""
     return logs.filter(F.col("topic0").isin(codec.DEPOSIT_TOPIC, codec.WITHDRAW_TOPIC)).select(
         *_common(),
-        codec.uint(codec.data_word(F.col("data"), 0)).alias("assets"),
-        codec.uint(codec.data_word(F.col("data"), 1)).alias("shares"),
+        *_amount(codec.data_word(F.col("data"), 0), "assets"),
+        *_amount(codec.data_word(F.col("data"), 1), "shares"),
     )
 
 
 def undecodable(transfers_df: DataFrame) -> DataFrame:
-    """Transfers whose value does not fit the exact decimal: report, never drop silently."""
+    """Transfers whose value does not fit the exact decimal; their amount is in ``amount_wide``."""
     return transfers_df.filter("amount_overflow")
 
 

@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tideledger.functions import codec
+from tideledger.functions import codec, wide
 from tideledger.session import constant_frame
 from tideledger.sources.registry import FULL_RATIO_TOKENS, SHARE_RATE_SERIES, VAULTS, SourceSpec
 
@@ -138,7 +138,7 @@ def tagged_events(logs: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Decoded logs, one row for each rule that a log meets.
 
     role, source, blockchain, contract_address, symbol, decimals, tx_hash, block_number, log_index, block_time, from_addr, to_addr,
-    amount, amount_overflow, owner, ref_code, assets, shares. Stakes and the sides of a
+    amount, owner, ref_code, assets, shares, and amounts that need more than 120 bits in columns named ``_wide``. Stakes and the sides of a
     holder are moves from or to the zero address.
     """
     rules = list(rules)
@@ -160,11 +160,13 @@ def tagged_events(logs: DataFrame, rules: Iterable[Rule]) -> DataFrame:
         "role", "source", "blockchain", "contract_address", "symbol", "decimals", F.col("transaction_hash").alias("tx_hash"),
         "block_number", "log_index", "block_time",
         F.when(moves, sender).alias("from_addr"), F.when(moves, receiver).alias("to_addr"),
-        F.when(moves, codec.uint(word0)).alias("amount"), (moves & codec.uint_overflows(word0)).alias("amount_overflow"),
+        F.when(moves, codec.uint(word0)).alias("amount"), F.when(moves & codec.uint_overflows(word0), wide.limbs(word0)).alias("amount_wide"),
         F.when(kind == "referral", second).when(kind == "swap", codec.topic_address(F.col("topic3"))).alias("owner"),
         F.when(kind == "referral", codec.referral_code(F.col("topic1"))).when(kind == "swap", codec.swap_code(data))
         .otherwise(F.col("fixed_code")).alias("ref_code"),
-        F.when(kind == "flow", codec.uint(word0)).alias("assets"), F.when(kind == "flow", codec.uint(codec.data_word(data, 1))).alias("shares"),
+        *(c for i, name in enumerate(("assets", "shares")) for c in (
+            F.when(kind == "flow", codec.uint(codec.data_word(data, i))).alias(name),
+            F.when((kind == "flow") & codec.uint_overflows(codec.data_word(data, i)), wide.limbs(codec.data_word(data, i))).alias(f"{name}_wide"))),
     )
 
 
