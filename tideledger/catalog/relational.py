@@ -50,14 +50,14 @@ def j3(c: Ctx):
 
 
 SERIES = """series AS (SELECT CAST(date_trunc('day', o_orderdate) AS DATE) + 10592 AS dt,
-  1.0::DOUBLE + CAST(sum(o_custkey % 100) AS DOUBLE) / 10000.0 AS rate FROM orders WHERE o_orderdate >= TIMESTAMP '1995-07-01' GROUP BY 1)"""
+  1.0::DOUBLE + CAST(sum(o_custkey % 100) AS DOUBLE) / 10000.0 AS rate FROM orders GROUP BY 1 HAVING sum(o_custkey) % 4 <> 0)"""
 
 
 def series(c: Ctx):
-    """A rate per day from half a year into the ledger on."""
-    o = c.table("orders").filter(F.col("o_orderdate") >= F.lit("1995-07-01").cast("timestamp_ntz"))
-    return o.groupBy(F.date_add(F.to_date("o_orderdate"), 10592).alias("dt")).agg(
-        (F.lit(1.0) + F.sum(F.col("o_custkey") % 100).cast("double") / F.lit(10000.0)).alias("rate"))
+    """A rate per day of the ledger; the days' own sums leave gaps."""
+    days = c.table("orders").groupBy(F.date_add(F.to_date("o_orderdate"), 10592).alias("dt")).agg(
+        (F.lit(1.0) + F.sum(F.col("o_custkey") % 100).cast("double") / F.lit(10000.0)).alias("rate"), F.sum("o_custkey").alias("keys"))
+    return days.filter(F.col("keys") % 4 != 0).drop("keys")
 
 
 @query("j4_conversion_default_one", with_(FLOWS, SERIES) + """
@@ -83,65 +83,21 @@ def j5(c: Ctx):
 
 
 @query("j6_one_row_constant", with_(FLOWS, SERIES) + """
-SELECT f.blockchain, f.token, f.ref_code, CAST(f.amount AS DOUBLE) * s.rate AS value FROM flows f, (SELECT rate FROM series WHERE dt = DATE '2025-06-14') s
-WHERE f.dt = DATE '2025-06-14'""")
+SELECT f.dt, f.blockchain, f.token, f.ref_code, CAST(f.amount AS DOUBLE) * s.rate AS value FROM flows f, (SELECT max(rate) AS rate FROM series) s""")
 def j6(c: Ctx):
-    on_day = F.col("dt") == F.to_date(F.lit("2025-06-14"))
-    return flows(c).filter(on_day).join(series(c).filter(on_day), "dt").select(
-        "blockchain", "token", "ref_code", (F.col("amount").cast("double") * F.col("rate")).alias("value"))
-
-
-@query("j7_semi_join", with_(EV, TR, RF) + """
-SELECT tx_hash, log_index, amount FROM tr WHERE tx_hash IN (SELECT tx_hash FROM rf WHERE ref_code = 1004)""")
-def j7(c: Ctx):
-    txs = c.rf.filter("ref_code = 1004").select("tx_hash")
-    return c.tr.join(txs, "tx_hash", "left_semi").select("tx_hash", "log_index", "amount")
-
-
-@query("j8_exists_flag", with_(EV, TR, RF) + """
-SELECT tx_hash, log_index, EXISTS (SELECT 1 FROM rf WHERE rf.tx_hash = tr.tx_hash AND rf.owner = tr.to_addr) AS named FROM tr""")
-def j8(c: Ctx):
-    named = c.rf.select("tx_hash", F.col("owner").alias("to_addr")).distinct().withColumn("hit", F.lit(True))
-    return c.tr.join(named, ["tx_hash", "to_addr"], "left").select("tx_hash", "log_index", F.col("hit").isNotNull().alias("named"))
-
-
-@query("j9_anti_join", with_(EV, TR) + """
-SELECT DISTINCT to_addr AS user_addr FROM tr LEFT JOIN supplier ON 'u' || s_suppkey = to_addr WHERE s_suppkey IS NULL""")
-def j9(c: Ctx):
-    known = c.table("supplier").select(F.concat(F.lit("u"), F.col("s_suppkey")).alias("user_addr"))
-    return c.tr.select(F.col("to_addr").alias("user_addr")).join(known, "user_addr", "left_anti").distinct()
-
-
-@query("j10_fallback_code", with_(EV, TR, RF, SIDES, REAL) + """
-SELECT s.tx_hash, s.log_index, s.leg_seq, coalesce(c.ref_code, f.code) AS ref_code FROM sides s
-LEFT JOIN real_codes c ON c.tx_hash = s.tx_hash AND c.contract_address = s.contract_address AND c.user_addr = s.user_addr
-LEFT JOIN (SELECT contract_address, tx_hash, arg_max(ref_code, log_index) AS code FROM rf GROUP BY ALL) f
-  ON f.tx_hash = s.tx_hash AND f.contract_address = s.contract_address AND c.ref_code IS NULL""")
-def j10(c: Ctx):
-    own = at.real_codes(c.rf).select(*at.WALLET_TX, F.col("ref_code").alias("own"))
-    any_code = c.rf.groupBy(*at.TX).agg(F.max_by("ref_code", "log_index").alias("any"))
-    return at.wallet_sides(c.tr).join(own, at.WALLET_TX, "left").join(any_code, at.TX, "left").select(
-        "tx_hash", "log_index", "leg_seq", F.coalesce("own", "any").alias("ref_code"))
-
-
-@query("j11_full_outer_diff", with_(FLOWS) + """
-SELECT coalesce(a.dt, b.dt) AS dt, a.amount AS amount_ours, b.amount AS amount_theirs,
-  CASE WHEN a.dt IS NULL THEN 'theirs' WHEN b.dt IS NULL THEN 'ours' ELSE 'both' END AS present_in
-FROM (SELECT dt, CAST(sum(amount) AS BIGINT) AS amount FROM flows WHERE blockchain = 'chain0' GROUP BY 1) a
-FULL JOIN (SELECT dt, CAST(sum(amount) AS BIGINT) AS amount FROM flows WHERE blockchain = 'chain1' GROUP BY 1) b ON a.dt = b.dt""")
-def j11(c: Ctx):
-    per = lambda chain: flows(c).filter(F.col("blockchain") == chain).groupBy("dt").agg(F.sum("amount").alias("amount"))
-    return rc.outer_diff(per("chain0"), per("chain1"), ["dt"], ["amount"])
+    highest = series(c).agg(F.max("rate").alias("rate")).scalar()
+    return flows(c).select("dt", "blockchain", "token", "ref_code", (F.col("amount").cast("double") * highest).alias("value"))
 
 
 PRICES = """prices AS (SELECT CAST(date_trunc('day', o_orderdate) AS DATE) + 10592 AS dt, round(max(o_totalprice), 2) AS price
-  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)"""
+  FROM orders GROUP BY 1 HAVING sum(o_custkey) % 3 <> 0)"""
 
 
 def prices(c: Ctx):
-    # A price feed with gaps: only urgent orders quote one.
-    return c.table("orders").filter("o_orderpriority = '1-URGENT'").groupBy(F.date_add(F.to_date("o_orderdate"), 10592).alias("dt")).agg(
-        F.round(F.max("o_totalprice"), 2).alias("price"))
+    # A price feed with gaps, which come from the days' own sums.
+    days = c.table("orders").groupBy(F.date_add(F.to_date("o_orderdate"), 10592).alias("dt")).agg(
+        F.round(F.max("o_totalprice"), 2).alias("price"), F.sum("o_custkey").alias("keys"))
+    return days.filter(F.col("keys") % 3 != 0).drop("keys")
 
 
 @query("j13_price_fallback", with_(FLOWS, PRICES) + """
@@ -463,17 +419,19 @@ def u3(c: Ctx):
 
 
 @query("u4_key_union", with_(FLOWS) + """
-, a AS (SELECT token, CAST(sum(amount) AS BIGINT) AS amount FROM flows WHERE ref_code = 1 AND blockchain = 'chain0' AND token < 'sp' GROUP BY 1),
-b AS (SELECT token, CAST(sum(amount) AS BIGINT) AS amount FROM flows WHERE ref_code = 2 AND blockchain = 'chain0' GROUP BY 1)
-SELECT coalesce(a.token, b.token) AS token, coalesce(a.amount, 0) - coalesce(b.amount, 0) AS delta,
-  CASE WHEN a.token IS NULL THEN 'theirs' WHEN b.token IS NULL THEN 'ours' ELSE 'both' END AS present_in FROM a FULL JOIN b ON a.token = b.token""")
+, a AS (SELECT token, ref_code, CAST(sum(amount) AS BIGINT) AS amount FROM flows GROUP BY 1, 2 HAVING sum(amount) % 3 <> 0),
+b AS (SELECT token, ref_code, count(*) AS amount FROM flows GROUP BY 1, 2 HAVING count(*) % 3 <> 0)
+SELECT coalesce(a.token, b.token) AS token, coalesce(a.ref_code, b.ref_code) AS ref_code, coalesce(a.amount, 0) - coalesce(b.amount, 0) AS delta,
+  CASE WHEN a.token IS NULL THEN 'theirs' WHEN b.token IS NULL THEN 'ours' ELSE 'both' END AS present_in FROM a FULL JOIN b ON a.token = b.token AND a.ref_code = b.ref_code""")
 def u4(c: Ctx):
-    f = flows(c).filter(F.col("blockchain") == "chain0")
-    a = f.filter((F.col("ref_code") == 1) & (F.col("token") < "sp")).groupBy("token").agg(F.sum("amount").alias("amount"))
-    b = f.filter(F.col("ref_code") == 2).groupBy("token").agg(F.sum("amount").alias("amount"))
-    d = rc.outer_diff(a, b, ["token"], ["amount"])
+    # Two sources over all flows; the values themselves decide which keys each of them lacks.
+    keys = ["token", "ref_code"]
+    f = flows(c).groupBy(*keys).agg(F.sum("amount").alias("total"), F.count("*").alias("n"))
+    a = f.filter(F.col("total") % 3 != 0).select(*keys, F.col("total").alias("amount"))
+    b = f.filter(F.col("n") % 3 != 0).select(*keys, F.col("n").alias("amount"))
+    d = rc.outer_diff(a, b, keys, ["amount"])
     zero = F.lit(0)
-    return d.select("token", (F.coalesce("amount_ours", zero) - F.coalesce("amount_theirs", zero)).alias("delta"), "present_in")
+    return d.select(*keys, (F.coalesce("amount_ours", zero) - F.coalesce("amount_theirs", zero)).alias("delta"), "present_in")
 
 
 @query("g1_calendar", with_(FLOWS) + f"""

@@ -231,9 +231,11 @@ def balances_by_code(twa: DataFrame, rule: Reclass = reclass_none, ratios: DataF
 
 
 def moving_average(df: DataFrame, value: str, keys: Sequence[str], rows: int = 7) -> DataFrame:
-    """Average of the current and the earlier rows by position."""
+    """Average of the current and the earlier rows by position; floating values are summed as decimals, so no residue of the window's edge is left."""
     w = Window.partitionBy(*keys).orderBy("dt").rowsBetween(-(rows - 1), 0)
-    return df.withColumn(f"{value}_{rows}d_avg", F.avg(value).over(w))
+    floating = dict(df.dtypes)[value] in ("double", "float")
+    average = F.avg(F.col(value).cast("decimal(28,9)")).over(w).cast("double") if floating else F.avg(value).over(w)
+    return df.withColumn(f"{value}_{rows}d_avg", average)
 
 
 def program_month_totals(daily: DataFrame, digits: int = 4) -> DataFrame:
