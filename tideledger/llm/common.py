@@ -66,6 +66,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as one struct ``row``: names made by an operator cannot meet the caller's; ``select("row.*")`` unpacks it."""
+    return docs.select(F.struct("*").alias("row"))
+
+
 def text_key(text: Column) -> Column:
     """16 bytes naming a text; results that depend on the text alone are joined by it."""
     return F.unhex(F.md5(text))

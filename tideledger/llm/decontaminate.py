@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import let, lower_ascii, slot_filter, stored, text_key
+from .common import let, lower_ascii, packed, slot_filter, stored, text_key
 
 SHINGLE = 3
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -137,8 +137,8 @@ def report(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no window of an item occurs."""
     hits = stored(occurrences(docs.select("text"), items, window).select("doc").distinct(), "window-docs")
-    return docs.withColumn("hit_key", text_key(F.col("text"))).join(
-        hits, F.col("hit_key") == hits["doc"], "left_anti").drop("hit_key")
+    return packed(docs).withColumn("hit_key", text_key(F.col("row.text"))).join(
+        hits, F.col("hit_key") == F.col("doc"), "left_anti").select("row.*")
 
 
 ORACLE = """

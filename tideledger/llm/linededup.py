@@ -22,7 +22,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import slot_filter, stored, text_key
+from .common import packed, slot_filter, stored, text_key
 from .components import components
 
 DISTANCE = 2
@@ -135,8 +135,10 @@ def without_repeats(docs: DataFrame, distance: int = DISTANCE, short: int = SHOR
         placed.join(first, "class").where(~place.eqNullSafe(F.col("first")))
         .groupBy("doc_id", "doc").agg(F.collect_set("line_no").alias("drop")).withColumnRenamed("doc_id", "drop_id")
     )
-    keyed = docs.withColumn("doc", text_key(F.col("text")))
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("drop", i))
-    joined = keyed.join(repeats, (keyed["doc"] == repeats["doc"]) & keyed["doc_id"].eqNullSafe(repeats["drop_id"]), "left").drop(repeats["doc"])
-    text = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    keyed = packed(docs).withColumn("own_doc", text_key(F.col("row.text")))
+    joined = keyed.join(repeats, (F.col("own_doc") == F.col("doc")) & F.col("row.doc_id").eqNullSafe(F.col("drop_id")), "left")
+    text = F.col("row.text")
+    kept = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("drop", i))
+    changed = joined.withColumn("new_text", F.when(F.col("drop").isNull(), text).otherwise(F.array_join(kept, "\n")))
+    made = {"text": F.col("new_text").alias("text"), "n_chars": F.length("new_text").cast("long").alias("n_chars")}
+    return changed.select(*(made.get(c, F.col("row").getField(c).alias(c)) for c in docs.columns))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import shipped
-from .common import stored, text_key
+from .common import packed, stored, text_key
 from .components import components
 
 shipped(__name__)
@@ -174,7 +174,7 @@ def least_of_components(docs: DataFrame, least: DataFrame) -> DataFrame:
     """The row of ``docs`` at the least place of each component; least: component, place (last, doc_id, key)."""
     kept = stored(least.groupBy("component").agg(F.min("place").alias("p")).select(
         F.col("p.doc_id").alias("keep_id"), F.col("p.key").alias("keep_key")), "representatives")
-    keyed = docs.withColumn("own_key", row_key(F.col("text")))
-    chosen = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["keep_id"]) & (keyed["own_key"] == kept["keep_key"]), "left_semi")
-    return chosen.withColumn("own_at", F.expr("row_number() over (partition by doc_id, own_key order by doc_id)")).where(
-        "own_at = 1").select(docs.columns)
+    keyed = packed(docs).withColumn("own_key", row_key(F.col("row.text")))
+    chosen = keyed.join(kept, F.col("row.doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_key") == F.col("keep_key")), "left_semi")
+    return chosen.withColumn("own_at", F.expr("row_number() over (partition by row.doc_id, own_key order by row.doc_id)")).where(
+        "own_at = 1").select("row.*")
