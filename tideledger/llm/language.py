@@ -16,6 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import shipped
+from .common import release
 
 shipped(__name__)
 
@@ -107,8 +108,11 @@ def accepted(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = NA
 
         classifier = Classifier(dictionaries)
         for batch in batches:
-            made = (classifier.classify(t) for t in batch.column("text").to_pylist())
+            text = batch.column("text")
+            made = (classifier.classify(text[i].as_py()) for i in range(len(text)))  # one text at a time as a Python string
             yield batch.filter(pa.array([lang != UNKNOWN and score >= narrow for lang, score in made], pa.bool_()))
+        del classifier
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 
