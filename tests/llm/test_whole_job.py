@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import collections
 import random
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from tideledger.llm import language, linededup, lmscore, pii, queries, secretscan
 
+from test_operators import edits
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -100,6 +104,38 @@ def test_short_lines_within_two_edits_are_linked(spark):
     assert linededup.links(docs, short=linededup.DISTANCE + 2).count() == 6
 
 
+@pytest.mark.parametrize("distance", [1, 2, 3])
+def test_lines_of_any_length_against_all_pairs(spark, distance):
+    rnd = random.Random(distance)
+    every = {"".join(rnd.choice("abcé") for _ in range(rnd.randrange(1, 11))) for _ in range(90)} | {"a", "b", "xy", "zé", "abc", "abd", "ab", "abcd", "xyz", "xyza"}
+    for size in range(11, 61):
+        base = "".join(rnd.choice("abcdeé fgh") for _ in range(size - 2))
+        every |= {f"x{base}y", f"x{base}yz", f"x{base[2:]}y", f"q{base}q", f"x{base[:5]}zz{base[5:]}zy"}
+    every = sorted(every)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(every)] + [(500, every[0]), (501, "\n \n"), (None, None)], "doc_id long, text string")
+    near = collections.defaultdict(set)
+    for i, a in enumerate(every):
+        for b in every[:i]:
+            if abs(len(a) - len(b)) <= distance and edits(a, b) <= distance:
+                near[a].add(b)
+                near[b].add(a)
+    got = {r["doc_id"]: r for r in linededup.classes(docs, distance, short=1).collect()}
+    assert {every[i]: got[i]["links"] for i in range(len(every))} == {a: len(near[a]) for a in every}
+    assert got[500]["line_class"] == got[0]["line_class"] and len(got) == len(every) + 1
+    for a in every:
+        assert {got[every.index(b)]["line_class"] for b in near[a]} <= {got[every.index(a)]["line_class"]}
+    reached, classes = {}, 0
+    for a in every:
+        classes += a not in reached
+        todo = [a]
+        while todo:
+            at = todo.pop()
+            if at not in reached:
+                reached[at] = classes
+                todo += near[at]
+    assert len({r["line_class"] for r in got.values()}) == classes
+
+
 def test_patterns_found_by_found_instances(spark):
     texts = [f"please write to hein.{i}@mail.example.com today" for i in range(12)]
     texts += [f"please write to cust-88{i} today" for i in range(4)]  # found beside the addresses

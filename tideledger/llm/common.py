@@ -102,3 +102,25 @@ def slot_filter(keys: DataFrame, bits: int):
         return F.substring(literal, key.bitwiseAND(F.lit(mask)).cast("int") + 1, 1) == F.lit(b"\x01")
 
     return passes
+
+
+WORD_BITS = 18
+
+
+def passing(rows: DataFrame, column: str, keys: DataFrame, bits: int = WORD_BITS) -> DataFrame:
+    """The rows whose 64-bit ``column`` may be among ``keys`` (column ``key``): every one that is, and few others.
+
+    The keys become one bit each of at most 2^bits words of 64 bits, a broadcast table of
+    known size (2^18 words of two longs) whatever their number; with very many keys it only loses its effect.
+    """
+    def word(key: Column) -> Column:
+        return F.shiftrightunsigned(key, 6).bitwiseAND(F.lit((1 << bits) - 1))
+
+    def bit(key: Column) -> Column:
+        return key.bitwiseAND(F.lit(63)).cast("int")
+
+    one = F.expr("shiftleft(1L, cast(key & 63 as int))")
+    words = keys.groupBy(word(F.col("key")).alias("filter_word")).agg(F.bit_or(one).alias("filter_bits"))
+    at = F.col(column)
+    hit = F.getbit(F.col("filter_bits"), bit(at)) == 1
+    return rows.join(F.broadcast(words), (word(at) == F.col("filter_word")) & hit).select(*(rows[c] for c in rows.columns))

@@ -9,11 +9,14 @@ selection). Candidates must also agree in the parities of their letters' numbers
 one edit flips two at most; the rest is verified with the banded edit distance
 on the texts.
 
-Keys are first counted down to those under which different lines meet, so equal lines cost
-nothing and lines without a candidate partner never move with their text. The
-verification is part of the join: only true pairs become rows. Under one key every two
-lines are still compared, so the comparisons, not the rows, grow
+Texts stay where they are until a pair is a candidate. Keys are first counted down to those under
+which different lines meet (equal lines combine before the shuffle), then only line numbers of 64 bits move
+under those keys, and only the lines of candidate pairs are fetched for the verification. Under one key every two
+lines are still compared by their parities, so these comparisons, not the rows, grow
 with the square of the number of different lines that share a segment.
+
+Lines too short for distance + 1 segments are all within the distance of each other: they are one group, counted and
+hung on its least member without pairs. They meet longer lines through what is left after up to ``distance`` deletions.
 """
 
 from __future__ import annotations
@@ -22,12 +25,11 @@ import functools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import packed, slot_filter, stored, text_key
+from .common import packed, passing, stored, text_key
 from .components import components
 
 DISTANCE = 2
-SHORT = 30  # shorter lines only count as repeated when they are equal; op8 asks for every length from DISTANCE + 2
-SLOT_BITS = 17
+SHORT = 30  # shorter lines only count as repeated when they are equal; op8 asks for every length
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC = "".join(map(chr, range(0x430, 0x450)))
 
@@ -74,29 +76,85 @@ def _keys(every: DataFrame, distance: int) -> DataFrame:
         "first_long", first_long)
     cut = placed.withColumn("at", F.col("base") * (F.col("part") - 1) + F.greatest(F.col("part") - F.col("first_long"), F.lit(0)) + F.col("shift")).withColumn(
         "width", F.col("base") + (F.col("part") >= F.col("first_long")).cast("int"))
-    inside = (F.col("at") >= 0) & (F.col("at") + F.col("width") <= F.col("size")) & ((F.col("width") > 0) | ~F.col("probes"))
+    inside = (F.col("at") >= 0) & (F.col("at") + F.col("width") <= F.col("size")) & (F.col("base") > 0)
     return cut.where(inside).select("line", "id", F.xxhash64("length", "part", F.expr("substring(line, at + 1, width)")).alias("h"), "probes")
 
 
-def links(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> DataFrame:
-    """Pairs (a, b) of keys of different lines within ``distance`` edits, both ``short`` characters long or longer."""
-    every = lines(docs).select("line", F.length("line").alias("size")).where(F.col("size") >= short)
+def _candidates(every: DataFrame, distance: int) -> DataFrame:
+    """Pairs (low, high) of ids of different lines that share a key and nearly agree in their letters' parities."""
     keys = _keys(every, distance)
     # Keys under which an indexed line meets a probe of a different line; each is one row however many lines share it.
     shared = stored(
-        keys.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.bool_or("probes").alias("probed"),
-                              F.bool_and("probes").alias("only"))
-        .where("low < high and probed and not only").select(F.col("h").alias("key")), "line-keys")
-    passes = slot_filter(shared, SLOT_BITS)
+        keys.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.bit_or(F.when(F.col("probes"), 1).otherwise(2)).alias("kinds"))
+        .where("least < most and kinds = 3").select(F.col("h").alias("key")), "line-keys")
     met = stored(
-        keys.where(passes(F.col("h"))).join(shared, F.col("h") == shared["key"], "left_semi").select("h", "probes", "line").distinct()
-        .withColumn("parity", _parity(F.col("line"))), "line-candidates")
-    # Verified inside the join, so that only true pairs become rows.
-    x, y = F.col("a.line"), F.col("b.line")
+        passing(keys, "h", shared).select("h", "probes", "id", _parity(F.col("line")).alias("parity"))
+        .join(shared, F.col("h") == F.col("key")).select("h", "probes", "id", "parity").distinct(), "line-candidates")
+    x, y = F.col("a.id"), F.col("b.id")
     near = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 2 * distance
-    pairs = met.where("not probes").alias("a").join(met.where("probes").alias("b"), (F.col("a.h") == F.col("b.h")) & (x != y) & near & (
-        F.levenshtein(x, y, distance) >= 0))
-    return pairs.select(text_key(F.least(x, y)).alias("a"), text_key(F.greatest(x, y)).alias("b")).distinct()
+    pairs = met.where("not probes").alias("a").join(met.where("probes").alias("b"), (F.col("a.h") == F.col("b.h")) & (x != y) & near)
+    return stored(pairs.select(F.least(x, y).alias("low"), F.greatest(x, y).alias("high")).distinct(), "line-pairs")
+
+
+def _shortened(line: Column, distance: int) -> Column:
+    """What is left of a line after up to ``distance`` deletions, without the empty string."""
+    def once(kept: Column) -> Column:
+        return F.flatten(F.transform(kept, lambda s: F.transform(
+            F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))))
+
+    level = made = F.array(line)
+    for _ in range(distance):
+        level = F.filter(F.array_distinct(once(level)), lambda s: s != "")
+        made = F.array_union(made, level)
+    return made
+
+
+def _brief_links(every: DataFrame, distance: int) -> DataFrame:
+    """Pairs (x, y) of a line of at most ``distance`` characters and a longer one within the distance."""
+    kept = every.where(F.col("size") <= 2 * distance).select("line", "size").distinct()
+    left = kept.select("line", "size", F.explode(_shortened(F.col("line"), distance)).alias("left"))
+    tiny = left.where(F.col("size") <= distance).select(F.col("line").alias("x"), "left")
+    longer = left.where(F.col("size") > distance).select(F.col("line").alias("y"), "left")
+    return tiny.join(longer, "left").where(F.levenshtein("x", "y", distance) >= 0).select("x", "y")
+
+
+def links(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> DataFrame:
+    """Pairs (a, b) of keys of different lines within ``distance`` edits, both ``short`` characters long or longer.
+
+    Pairs of two lines of at most ``distance`` characters are left out: all of them are within the distance (:func:`tiny_lines`).
+    """
+    every = lines(docs).select("line", F.length("line").alias("size")).where(F.col("size") >= max(short, 1))
+    cut = every.where(F.col("size") > distance)
+    found = _candidates(cut, distance)
+    ids = found.select(F.col("low").alias("key")).union(found.select(F.col("high").alias("key"))).distinct()
+    texts = stored(
+        passing(cut.select("line", F.xxhash64("line").alias("id")), "id", ids).join(ids, F.col("id") == F.col("key"))
+        .select("id", "line").distinct(), "line-texts")
+    both = found.join(texts.select(F.col("id").alias("low"), F.col("line").alias("x")), "low").join(
+        texts.select(F.col("id").alias("high"), F.col("line").alias("y")), "high").where(F.levenshtein("x", "y", distance) >= 0).select("x", "y")
+    if short <= distance:
+        both = both.unionByName(_brief_links(every, distance))
+    x, y = F.col("x"), F.col("y")
+    return both.select(text_key(F.least(x, y)).alias("a"), text_key(F.greatest(x, y)).alias("b")).distinct()
+
+
+def tiny_lines(docs: DataFrame, distance: int, short: int) -> DataFrame:
+    """key of each different line of ``short`` to ``distance`` characters: every two of them are within the distance."""
+    return lines(docs).where(F.length("line").between(max(short, 1), distance)).select(text_key(F.col("line")).alias("key")).distinct()
+
+
+def graph(docs: DataFrame, distance: int, short: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that connect each class, stored, and (node, links): the number of other lines within the distance."""
+    found = stored(links(docs, distance, short), "line-links")
+    degree = found.select(F.col("a").alias("node"), F.lit(1).alias("n")).unionAll(found.select(F.col("b").alias("node"), F.lit(1).alias("n")))
+    if short <= distance:
+        tiny = stored(tiny_lines(docs, distance, short), "tiny-lines")
+        all_of = tiny.agg(F.min("key").alias("least"), F.count("*").alias("n")).first()
+        if all_of["n"] > 1:
+            least = F.lit(bytes(all_of["least"]))
+            found = found.unionAll(tiny.where(F.col("key") != least).select(least.alias("a"), F.col("key").alias("b")))
+            degree = degree.unionAll(tiny.select("key", F.lit(all_of["n"] - 1).cast("int")))
+    return found, degree.groupBy("node").agg(F.sum("n").alias("links"))
 
 
 def classes(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> DataFrame:
@@ -106,9 +164,7 @@ def classes(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> Da
     edits within the distance; ``links`` counts the different other lines within it.
     Null and empty texts have no lines; repeated or null doc_ids keep their lines; other columns are ignored.
     """
-    found = stored(links(docs, distance, short), "line-links")
-    both = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "node")
+    found, degree = graph(docs, distance, short)
     named = components(found).join(degree, "node")
     at = lines(docs).where("line != ''").select("doc_id", "line_no", text_key(F.col("line")).alias("key"))
     return at.join(named, at["key"] == named["node"], "left").select(
@@ -122,8 +178,7 @@ def without_repeats(docs: DataFrame, distance: int = DISTANCE, short: int = SHOR
     First means the least (doc_id, text key, line number), null doc_ids last; rows keep their number and columns, text and n_chars
     follow the lines that stay. Lines under ``short`` characters only repeat equal ones; those under ``shortest`` always stay. Equal rows (same doc_id and text) lose and keep the same lines.
     """
-    made = links(docs, distance, short)
-    named = components(made)
+    named = components(graph(docs, distance, short)[0])
     rows = docs.select("doc_id", "text")
     long = rows.select("doc_id", text_key(F.col("text")).alias("doc"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn(
         "line", F.trim("line")).where(F.length("line") >= (short if shortest is None else shortest)).select("doc_id", "doc", "line_no", text_key(F.col("line")).alias("key"))

@@ -58,7 +58,7 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_near_equal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.classes(table(spark, sf_dir, "documents"), short=linededup.DISTANCE + 2)
+    return linededup.classes(table(spark, sf_dir, "documents"), short=1)
 
 
 @query
