@@ -9,9 +9,9 @@ selection). Candidates must also agree in the parities of their letters' numbers
 one edit flips two at most; the rest is verified with the banded edit distance
 on the texts.
 
-Texts stay where they are until a pair is a candidate. Keys are first counted down to those under
+Texts stay where they are until they meet under a key. Keys are first counted down to those under
 which different lines meet (equal lines combine before the shuffle), then only line numbers of 64 bits move
-under those keys, and only the lines of candidate pairs are fetched for the verification. Under one key every two
+under those keys, and each line that met another is fetched once for its parities and the verification. Under one key every two
 lines are still compared by their parities, so these comparisons, not the rows, grow
 with the square of the number of different lines that share a segment.
 
@@ -80,20 +80,25 @@ def _keys(every: DataFrame, distance: int) -> DataFrame:
     return cut.where(inside).select("line", "id", F.xxhash64("length", "part", F.expr("substring(line, at + 1, width)")).alias("h"), "probes")
 
 
-def _candidates(every: DataFrame, distance: int) -> DataFrame:
-    """Pairs (low, high) of ids of different lines that share a key and nearly agree in their letters' parities."""
+def _candidates(every: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (low, high) of ids of different lines that share a key and nearly agree in their letters' parities; id and line of all that share one."""
     keys = _keys(every, distance)
     # Keys under which an indexed line meets a probe of a different line; each is one row however many lines share it.
     shared = stored(
         keys.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.bit_or(F.when(F.col("probes"), 1).otherwise(2)).alias("kinds"))
         .where("least < most and kinds = 3").select(F.col("h").alias("key")), "line-keys")
     met = stored(
-        passing(keys, "h", shared).select("h", "probes", "id", _parity(F.col("line")).alias("parity"))
-        .join(shared, F.col("h") == F.col("key")).select("h", "probes", "id", "parity").distinct(), "line-candidates")
+        passing(keys.select("h", "probes", "id"), "h", shared).join(shared, F.col("h") == F.col("key")).select("h", "probes", "id").distinct(),
+        "line-candidates")
+    ids = met.select(F.col("id").alias("key")).distinct()
+    texts = stored(
+        passing(every.select("line", F.xxhash64("line").alias("id")), "id", ids).distinct().join(ids, F.col("id") == F.col("key"))
+        .select("id", "line", _parity(F.col("line")).alias("parity")), "line-texts")
+    met = met.join(texts.select("id", "parity"), "id")
     x, y = F.col("a.id"), F.col("b.id")
     near = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 2 * distance
     pairs = met.where("not probes").alias("a").join(met.where("probes").alias("b"), (F.col("a.h") == F.col("b.h")) & (x != y) & near)
-    return stored(pairs.select(F.least(x, y).alias("low"), F.greatest(x, y).alias("high")).distinct(), "line-pairs")
+    return stored(pairs.select(F.least(x, y).alias("low"), F.greatest(x, y).alias("high")).distinct(), "line-pairs"), texts
 
 
 def _shortened(line: Column, distance: int) -> Column:
@@ -125,11 +130,7 @@ def links(docs: DataFrame, distance: int = DISTANCE, short: int = SHORT) -> Data
     """
     every = lines(docs).select("line", F.length("line").alias("size")).where(F.col("size") >= max(short, 1))
     cut = every.where(F.col("size") > distance)
-    found = _candidates(cut, distance)
-    ids = found.select(F.col("low").alias("key")).union(found.select(F.col("high").alias("key"))).distinct()
-    texts = stored(
-        passing(cut.select("line", F.xxhash64("line").alias("id")), "id", ids).join(ids, F.col("id") == F.col("key"))
-        .select("id", "line").distinct(), "line-texts")
+    found, texts = _candidates(cut, distance)
     both = found.join(texts.select(F.col("id").alias("low"), F.col("line").alias("x")), "low").join(
         texts.select(F.col("id").alias("high"), F.col("line").alias("y")), "high").where(F.levenshtein("x", "y", distance) >= 0).select("x", "y")
     if short <= distance:
