@@ -69,7 +69,9 @@ def f4_wide(c: Ctx):
     # Words high * 2^150 + low, signed, summed per customer; both halves of the exact sum come back from its digits in base 2.
     o = c.table("orders")
     high = F.lower(F.hex((F.col("o_orderkey") * 1000003 + 7).cast("bigint")))
-    low = F.lower(F.hex((F.col("o_custkey") * 1125899906842624 + F.col("o_orderkey")).cast("bigint")))
+    # custkey * 2^50 + orderkey passes 64 bits from custkey 8192 on, so its digits come in two pieces: the last 48 bits and those above.
+    above = F.hex(F.col("o_custkey") * 4 + F.shiftright("o_orderkey", 48))
+    low = F.lower(F.concat(above, F.lpad(F.hex(F.col("o_orderkey").bitwiseAND(F.lit((1 << 48) - 1))), 12, "0")))
     word = F.lpad(F.concat(high, F.lpad(low, 25, "0")), 64, "0")  # 25 hex digits: 100 bits
     signed = F.when(F.col("o_orderkey") % 3 == 0, wide.times(wide.limbs(word), -1)).otherwise(wide.limbs(word))
     sums = o.select("o_custkey", signed.alias("v")).groupBy("o_custkey").agg(wide.total(F.col("v")).alias("v"), F.count("*").alias("n"))
