@@ -51,12 +51,19 @@ def merge_states(*states: DataFrame, keys: Sequence[str] = WALLET) -> DataFrame:
         F.max("last_at").alias("last_at"), F.sum("legs").alias("legs"))
 
 
-def opened_legs(state: DataFrame, legs: DataFrame, start: date, keys: Sequence[str] = WALLET) -> DataFrame:
-    """A window's legs preceded by one opening leg for each wallet that still holds or acts in it."""
+def opened_legs(state: DataFrame, legs: DataFrame, start: date, keys: Sequence[str] = WALLET, after: DataFrame | None = None) -> DataFrame:
+    """A window's legs preceded by one opening leg for each wallet that still holds or acts in it.
+
+    ``after`` is the state at the window's end, if there is one: who acted shows in it without another look at the legs.
+    """
     kind = dict(legs.dtypes)["amount_change"]
     holding = F.col("net") > F.lit(DUST)
     # Few rows: a wallet without balance only matters for its code, and only when it comes back.
-    back = state.filter(~holding).join(legs.select(*keys), list(keys), "left_semi")
+    gone = state.filter(~holding)
+    if after is None:
+        back = gone.join(legs.select(*keys), list(keys), "left_semi")
+    else:
+        back = gone.join(after.select(*keys, F.col("legs").alias("legs_after")), list(keys)).filter(F.col("legs_after") > F.col("legs")).select(*state.columns)
     first = state.filter(holding).unionByName(back).select(
         *keys, F.lit(-1).cast("bigint").alias("block"), F.lit(-1).cast("bigint").alias("log_index"), F.lit(0).alias("leg_seq"),
         F.lit(_second(start)).cast("bigint").alias("ts"), F.col("net").cast(kind).alias("amount_change"), F.col("code").alias("ref_code"))
@@ -102,7 +109,7 @@ def advance(legs: DataFrame, root: str, start: date, end: date, keys: Sequence[s
     else:
         before = read_state(spark, root, start)
         write_state(merge_states(before, new, keys=keys), root, end)
-        opened = opened_legs(before, inside, start, keys)
+        opened = opened_legs(before, inside, start, keys, read_state(spark, root, end))
     return to_daily(balance_intervals(opened, date.fromordinal(end.toordinal() - 1), list(keys), **kw))
 
 

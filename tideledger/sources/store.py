@@ -176,7 +176,7 @@ def load_rows(spark: SparkSession, plan: DataFrame, root: str, end: date, verify
     problems = plan_problems(spark, plan, root, end)
     if verify:
         problems = problems.unionByName(changed_parts(spark, root, end).withColumn("problem", F.lit("changed")))
-    told = [f"{r['problem']}: {r['source']}/{r['target']}" for r in problems.toLocalIterator()]
+    told = [f"{r['problem']}: {r['source']}/{r['target']}" for r in problems.collect()]  # one row a part at most
     if told:
         raise ValueError(f"stored parts do not match the plan: {told}")
     log = completed(spark, root, end)
