@@ -23,7 +23,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose five-word shingles are alike by 0.8 or more."""
+    """One document of each group of texts whose SimHash fingerprints differ in two bits or less, or whose five-word shingles are alike by 0.8 or more."""
     return nearcopies.representatives(docs)
 
 

@@ -1,8 +1,9 @@
-"""Near copies for the pipeline: exact similarity of five-word shingles, components, one text of each.
+"""Near copies for the pipeline: SimHash fingerprints, exact similarity of five-word shingles, components, one text of each.
 
-Two texts are near copies when the Jaccard similarity of their sets of ``WIDTH``-word shingles is
-``SIMILAR`` or more. Candidates share one of ``BANDS`` groups of ``ROWS`` minima of seeded hash
-functions: a pair at 0.8 shares none with probability (1 - 0.8^5)^30 < 1e-5. Every candidate is
+Two texts are near copies when their fingerprints differ in two bits or less (:mod:`simhash`: three-word shingles, band pairs,
+pivot distance table, verified bit by bit), or when the Jaccard similarity of their sets of ``WIDTH``-word shingles is
+``SIMILAR`` or more, which fingerprints often miss. Both kinds of links make the components. Candidates for the second kind share one of ``BANDS`` groups of ``ROWS`` minima of seeded hash
+functions: a pair at 0.8 shares none with probability (1 - 0.8^5)^30 < 1e-5. Each of them is
 verified on the shingle sets, so the bands only decide what is looked at.
 
 A band's members first meet its two outermost keys. Members that are connected then need no further
@@ -18,7 +19,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from . import shipped
+from . import shipped, simhash
 from .common import release, stored
 from .components import components
 from .simhash import least_of_components, row_key, split_words
@@ -26,6 +27,7 @@ from .simhash import least_of_components, row_key, split_words
 shipped(__name__)
 
 WIDTH, SIMILAR = 5, 0.8
+SHINGLE, RADIUS = 3, 2  # of the fingerprints, as in op6
 BANDS, ROWS = 30, 5
 SKETCHED = 256  # texts sketched at a time
 _SEEDS = np.array([[xxhash.xxh64_intdigest(f"{kind} {i}", 0) | (kind == "times") for i in range(BANDS * ROWS)]
@@ -50,7 +52,7 @@ def bands(grams: np.ndarray) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """key, shingles and bands of each distinct text."""
+    """key, shingles, bands and fingerprint of each distinct text."""
     def run(batches):
         import pyarrow as pa
 
@@ -59,18 +61,29 @@ def _sketched(docs: DataFrame) -> DataFrame:
             keys, texts = batch.column(0), batch.column(1)
             for begin in range(0, len(texts), SKETCHED):  # few texts at a time: shingles are several times their text
                 part = range(begin, min(begin + SKETCHED, len(texts)))
-                grams = [shingles(split_words(texts[i].as_py())) for i in part]
+                words = [split_words(texts[i].as_py()) for i in part]
+                grams = [shingles(w) for w in words]
+                fps = np.array([simhash.fingerprint(w, SHINGLE) for w in words], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(begin, len(part)), pa.array([g.view(np.int64) for g in grams], many), pa.array([bands(g).view(np.int64) for g in grams], many)],
-                    names=["key", "grams", "bands"])
+                    [keys.slice(begin, len(part)), pa.array([g.view(np.int64) for g in grams], many), pa.array([bands(g).view(np.int64) for g in grams], many), pa.array(fps)],
+                    names=["key", "grams", "bands", "fp"])
         release()
 
     texts = docs.select(row_key(F.col("text")).alias("key"), "text").dropDuplicates(["key"])
-    return texts.mapInArrow(run, "key binary, grams array<long>, bands array<long>")
+    return texts.mapInArrow(run, "key binary, grams array<long>, bands array<long>, fp long")
+
+
+def fingerprint_links(sketched: DataFrame) -> DataFrame:
+    """Pairs (a, b) of keys that connect the texts of each fingerprint, and those of fingerprints within ``RADIUS`` bits."""
+    named = stored(sketched.groupBy("fp").agg(F.min("key").alias("first")), "near-fingerprints")
+    same = sketched.select("key", "fp").join(named, "fp").where("first < key").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    low, high = (named.select(F.col("fp").alias(f"{end}_fp"), F.col("first").alias(end)) for end in ("a", "b"))
+    near = simhash.links(named.select("fp"), RADIUS).select(F.col("a").alias("a_fp"), F.col("b").alias("b_fp"))
+    return same.unionByName(near.join(low, "a_fp").join(high, "b_fp").select("a", "b"))
 
 
 def links(sketched: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Pairs (a, b) of keys of near copies; two near copies that share a band are always connected by such pairs."""
+    """Pairs (a, b) of keys of near copies; two near copies by fingerprint, or by similarity if they share a band, are always connected by such pairs."""
     def verified(pairs: DataFrame) -> DataFrame:
         sets = sketched.select("key", "grams")
         left, right = sets.select(F.col("key").alias("a"), F.col("grams").alias("x")), sets.select(F.col("key").alias("b"), F.col("grams").alias("y"))
@@ -84,7 +97,7 @@ def links(sketched: DataFrame, similar: float = SIMILAR) -> DataFrame:
     ends = F.array("low", "high")
     first = grouped.select(F.explode(ends).alias("end"), "key").where("end != key").select(
         F.least("end", "key").alias("a"), F.greatest("end", "key").alias("b")).distinct()
-    found = stored(verified(first), "near-first")
+    found = stored(verified(first).unionByName(fingerprint_links(sketched)), "near-first")
     label = components(found)
     placed = grouped.join(label, grouped["key"] == label["node"], "left").select("band", "key", "n", "low", "high", F.coalesce("component", "key").alias("of"))
     placed = stored(placed, "near-placed")
