@@ -15,6 +15,7 @@ it by rank. The result is best-fit decreasing over all pieces.
 from __future__ import annotations
 
 import bisect
+import functools
 import os
 import re
 import sys
@@ -22,18 +23,19 @@ import types
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import shipped
-from .common import stored
+from .common import release, stored
 
 shipped(__name__)
 
 LIMIT = 2048
 END = b"\0\0\0\0"  # id 0 closes each document
 BUCKETS = 256
-CACHED = 400_000   # words, and units, whose ids a worker remembers
+CACHED = 400_000   # words and units whose ids a worker remembers
+SLICE = 1_000_000  # bytes of text encoded at a time
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -46,9 +48,9 @@ CUT = r"[^\W\d_]+|\d|'(?:[stmd]|re|ve|ll)|(?:[^\w\s]|_)+"
 class PieceIds:
     """Ids of whole texts.
 
-    The words of a text of plain characters are cut into the tokenizer's own units; words and units are
+    The words of a text of plain characters are cut into the tokenizer's own units; both are
     encoded once and remembered. A text with any other character, or with a part that looks like a special token, goes
-    through the tokenizer as it is.
+    through the tokenizer as it is, which is loaded when the first such text comes.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -56,34 +58,34 @@ class PieceIds:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.whole = functools.cache(lambda: Tokenizer.from_file(tokenizer_file))
         self.units = Tokenizer.from_file(tokenizer_file)
         self.units.normalizer = None
         self.units.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.plain, self.cut = re.compile(PLAIN).fullmatch, re.compile(CUT).findall
-        self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # units, and words, of which a unit is one
 
     def _learn(self, missing: list[str]) -> None:
         for at in range(0, len(missing), 4096):
             part = missing[at:at + 4096]
             found = self.units.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))
-            self.known.update((unit, ids[ends[i]:ends[i + 1]].tobytes()) for i, unit in enumerate(part))
+            ids = np.array(found.ids, "<u4").tobytes()
+            ends = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(part) + 1))).tolist()
+            self.known.update(zip(part, map(ids.__getitem__, map(slice, ends, ends[1:]))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.lower().split() if "<|" not in t and self.plain(t) else None for t in texts]
-        for kept in (self.words, self.known):
-            if len(kept) > CACHED:
-                kept.clear()
-        words, known = self.words, self.known
-        new = {w: self.cut(w) for w in {w for part in split if part for w in part if w not in words}}
-        self._learn(list({u for units in new.values() for u in units if u not in known}))
-        words.update((w, b"".join([known[u] for u in units])) for w, units in new.items())
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if part is None
-                else b"".join([words[w] for w in part]) for t, part in zip(texts, split)]
+        if len(self.known) > CACHED:
+            self.known.clear()
+        known = self.known
+        new = set().union(*filter(None, split)).difference(known)
+        alone = {w for w in new if w.isalpha()}  # one unit, whatever its letters
+        cuts = {w: self.cut(w) for w in new.difference(alone)}
+        self._learn(list(alone.union(*cuts.values()).difference(known)))
+        known.update((w, b"".join(map(known.__getitem__, units))) for w, units in cuts.items() if w not in known)
+        return [np.array(self.whole().encode(t, add_special_tokens=False).ids, "<u4").tobytes() if part is None
+                else b"".join(map(known.__getitem__, part)) for t, part in zip(texts, split)]
 
 
 def encoder(tokenizer_file: str) -> PieceIds:
@@ -97,28 +99,32 @@ def encoder(tokenizer_file: str) -> PieceIds:
 def pieces(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> DataFrame:
     """Pieces of at most ``limit`` ids of each document's ids with the closing id; a null text counts as empty."""
     def run(batches):
+        import pyarrow as pa
+
         ids_of = encoder(tokenizer_file).encode
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
-            rows = []
-            # Slices of a bounded number of characters, so that memory does not follow the batch.
+            ids_of_docs, texts = batch.column(0), batch.column(1)
+            sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
+            # Slices of a bounded number of bytes, made Python strings one slice at a time, so that memory does not follow the batch.
             at = 0
             while at < len(texts):
-                stop, chars = at, 0
-                while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= 2_000_000):
-                    chars += len(texts[stop])
+                stop, held = at, 0
+                while stop < len(texts) and (stop == at or held + sizes[stop] <= SLICE):
+                    held += sizes[stop]
                     stop += 1
-                for doc_id, ids in zip(batch["doc_id"].iloc[at:stop], ids_of(texts[at:stop])):
+                made: list[list] = [[] for _ in types]
+                for doc_id, ids in zip(ids_of_docs.slice(at, stop - at).to_pylist(), ids_of([t or "" for t in texts.slice(at, stop - at).to_pylist()])):
                     ids += END
                     for k, start in enumerate(range(0, len(ids), 4 * limit)):
                         part = ids[start:start + 4 * limit]
-                        rows.append((doc_id, k, start // 4, len(part) // 4, zlib.crc32(part)))
+                        for column, value in zip(made, (doc_id, k, start // 4, len(part) // 4, zlib.crc32(part))):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(made, types)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
                 at = stop
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+        release()
 
-    return docs.select("doc_id", "text").mapInPandas(run, PIECE)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECE)
 
 
 def ranks(made: DataFrame, buckets: int = BUCKETS) -> DataFrame:
