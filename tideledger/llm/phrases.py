@@ -30,7 +30,8 @@ LONGEST = 4
 SUPPORT = 30
 SHARDS = 12                   # of a language at least
 SHARD_CHARACTERS = 48_000_000  # that a task mines at a time: larger languages have more shards
-STEP = 1 << 20
+STEP = 1 << 18
+RANGES = 3                    # bits of a name that tell in which round of a level it is counted
 SLICE = 4_000_000             # bytes of text whose words are told apart at a time
 BITS_LEAST, BITS_MOST = 15, 27  # of the filter of candidate hashes: 16 MB at most
 UNKNOWN = "und"
@@ -78,18 +79,27 @@ def named(distinct: pa.Array, lang: str) -> np.ndarray:
 
 def longer(name: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
     """Names of phrases of ``size`` words from those without their last word."""
-    return _mixed(name[:len(word) - size + 1] * np.uint64(0xD6E8FEB86659FD93) + word[size - 1:])
+    out = np.empty(len(word) - size + 1, np.uint64)
+    for begin in range(0, len(out), STEP):  # bounded memory beside the result
+        part = slice(begin, min(begin + STEP, len(out)))
+        out[part] = _mixed(name[part] * np.uint64(0xD6E8FEB86659FD93) + word[part.start + size - 1:part.stop + size - 1])
+    return out
 
 
 def _frequent(name: np.ndarray, alive: np.ndarray, least: int):
     """Names at the places ``alive`` that occur ``least`` times or more there, their counts, and whether each place holds one."""
-    own = name[alive]
-    own.sort()
-    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
-    counts = np.diff(np.r_[starts, len(own)])
-    keep = counts >= least
-    found, counts = own[starts[keep]], counts[keep]
-    del own, starts
+    kept = []
+    for top in range(1 << RANGES):  # a range of names at a time: what is sorted and counted stays small
+        own = np.concatenate([np.zeros(0, np.uint64), *(
+            part[alive[begin:begin + STEP] & (part >> np.uint64(64 - RANGES) == top)]
+            for begin in range(0, len(name), STEP) for part in [name[begin:begin + STEP]])])
+        own.sort()
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+        counts = np.diff(np.r_[starts, len(own)])
+        keep = counts >= least
+        kept.append((own[starts[keep]], counts[keep]))
+    found, counts = (np.concatenate([k[i] for k in kept]) for i in (0, 1))
+    del kept, own, starts, keep
     held = np.zeros(len(alive), bool)
     for begin in range(0, len(name) if len(found) else 0, STEP):
         part = slice(begin, begin + STEP)
@@ -143,6 +153,7 @@ def _mined(support: int, longest: int, shard: int):
             while at < len(keys):
                 if held and (keys[at] != own or size >= shard):
                     yield from shard_rows(own[0], total, held)
+                    release()
                     size = 0
                 own, total = keys[at], totals[at].as_py()
                 to = at + 1
