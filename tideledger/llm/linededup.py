@@ -11,9 +11,11 @@ on the texts.
 
 Texts stay where they are until they meet under a key. Keys are first counted down to those under
 which different lines meet (equal lines combine before the shuffle), then only line numbers of 64 bits move
-under those keys, and each line that met another is fetched once for its parities and the verification. Under one key every two
-lines are still compared by their parities, so these comparisons, not the rows, grow
-with the square of the number of different lines that share a segment.
+under those keys, and each line that met another is fetched once for its parities and the verification. Under one key
+every two lines are compared by their parities only while at most ``CROWD`` of them index or probe it. The lines of
+a more crowded key meet under finer ones instead, which hold all but ``distance`` of three times as many segments, and
+again with what these leave, until a key is not crowded or leaves no more than ``distance`` characters. So comparisons grow with the
+number of lines, except between lines that are alike in all but ``distance`` characters at the same places, which are results.
 
 Lines too short for distance + 1 segments are all within the distance of each other: they are one group, counted and
 hung on its least member without pairs. They meet longer lines through what is left after up to ``distance`` deletions.
@@ -22,6 +24,7 @@ hung on its least member without pairs. They meet longer lines through what is l
 from __future__ import annotations
 
 import functools
+import itertools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,6 +33,7 @@ from .components import components
 
 DISTANCE = 2
 SHORT = 30  # shorter lines only count as repeated when they are equal; op8 asks for every length
+CROWD = 32  # indexed lines, or probes, compared with all others under one key
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC = "".join(map(chr, range(0x430, 0x450)))
 
@@ -80,25 +84,102 @@ def _keys(every: DataFrame, distance: int) -> DataFrame:
     return cut.where(inside).select("line", "id", F.xxhash64("length", "part", F.expr("substring(line, at + 1, width)")).alias("h"), "probes")
 
 
-def _candidates(every: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (low, high) of ids of different lines that share a key and nearly agree in their letters' parities; id and line of all that share one."""
-    keys = _keys(every, distance)
-    # Keys under which an indexed line meets a probe of a different line; each is one row however many lines share it.
+def _met(keys: DataFrame, label: str) -> DataFrame:
+    """The rows of ``keys`` (h, probes, id and what else it has) under whose key an indexed line meets a probe of a different one, stored."""
+    # Each key is one row however many lines share it.
     shared = stored(
         keys.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.bit_or(F.when(F.col("probes"), 1).otherwise(2)).alias("kinds"))
-        .where("least < most and kinds = 3").select(F.col("h").alias("key")), "line-keys")
-    met = stored(
-        passing(keys.select("h", "probes", "id"), "h", shared).join(shared, F.col("h") == F.col("key")).select("h", "probes", "id").distinct(),
-        "line-candidates")
+        .where("least < most and kinds = 3").select(F.col("h").alias("key")), f"{label}-keys")
+    return stored(passing(keys, "h", shared).join(shared, F.col("h") == F.col("key")).select(*keys.columns).distinct(), f"{label}-met")
+
+
+def _crowded(met: DataFrame, label: str, where: str = "true") -> DataFrame:
+    """key: those under which more than ``CROWD`` indexed lines meet more than ``CROWD`` probes, stored."""
+    counts = met.where(where).groupBy("h").agg(F.count_if("probes").alias("probing"), F.count_if(~F.col("probes")).alias("indexed"))
+    return stored(counts.where(F.least("probing", "indexed") > CROWD).select(F.col("h").alias("key")), f"{label}-crowded")
+
+
+def _refined(rows: DataFrame, distance: int) -> DataFrame:
+    """Finer keys of ``rows`` (h, probes, id, n, left), in the same columns.
+
+    ``left`` is what the key h leaves of a line to compare, n its length in an indexed line. It is cut into three times
+    ``distance`` even segments, of which as many edits touch ``distance`` at most: all others are equal, shifted by
+    what the touched ones before them grew by. Each choice of the touched ones is a key of all the others, and they are what is left.
+    """
+    parts, probes, left = 3 * distance, F.col("probes"), F.col("left")
+
+    def table(rows: list[tuple], names: list[str]) -> Column:
+        return F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows))
+
+    touched = table(list(itertools.combinations(range(parts), distance)), [f"k{t}" for t in range(distance)])
+    growth = [e for e in itertools.product(range(-distance, distance + 1), repeat=distance) if sum(map(abs, e)) <= distance]
+    grown = table([(sum(e), sum(map(abs, e)), *e) for e in growth], ["all", "edits", *(f"e{t}" for t in range(distance))])
+    fitting = F.filter(grown, lambda g: F.when(probes, g["all"] == F.length(left) - F.col("n")).otherwise(g["edits"] == 0))
+    ways = rows.select("h", "probes", "id", "n", "left", F.explode(touched).alias("k")).select("*", F.explode(fitting).alias("e"))
+
+    def edge(segment: Column) -> Column:
+        return F.floor(segment * F.col("n") / parts).cast("int")
+
+    def cut(start: Column, end: Column) -> Column:
+        return F.substring(left, start + 1, end - start)
+
+    at = moved = n = F.lit(0)
+    equal, kept, fits = [], [], F.lit(True)
+    for t in range(distance):
+        k, e = F.col(f"k.k{t}"), F.col(f"e.e{t}")
+        first, last = edge(k) + moved, edge(k + 1) + moved + e
+        equal.append(cut(at, first))
+        kept.append(cut(first, last))
+        fits, n = fits & (last >= first), n + edge(k + 1) - edge(k)
+        at, moved = last, moved + e
+    equal.append(cut(at, F.length(left)))
+    key = F.xxhash64("h", "n", *(F.col(f"k.k{t}") for t in range(distance)), *equal)
+    return ways.where(fits).select(key.alias("h"), "probes", "id", n.alias("n"), F.concat(*kept).alias("left"))
+
+
+def _finer(lines_met: DataFrame, distance: int) -> DataFrame:
+    """Rows (h, probes, id, left) by which lines (id, line) within the distance meet under keys that are not crowded.
+
+    Keys are refined while they are crowded. Those that leave no more than ``distance`` characters stay as they are: their lines differ in these only.
+    """
+    size = F.length("line")
+    less = F.explode(F.sequence(F.lit(-1), F.lit(distance))).alias("less")  # -1: the indexed line itself
+    rows = lines_met.select("id", "line", less).select(
+        F.lit(0).cast("long").alias("h"), (F.col("less") >= 0).alias("probes"), "id", (size - F.greatest("less", F.lit(0))).alias("n"), F.col("line").alias("left")).where(F.col("n") > distance)
+    found = []
+    while True:
+        met = _met(_refined(rows, distance), "line-finer")
+        crowded = _crowded(met, "line-finer", f"n > {distance}")
+        if crowded.isEmpty():
+            return functools.reduce(DataFrame.unionByName, found, met)
+        found.append(met.join(crowded, F.col("h") == F.col("key"), "left_anti"))
+        rows = met.join(crowded, F.col("h") == F.col("key"), "left_semi")
+
+
+def _candidates(every: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (low, high) of ids of different lines that share a key and nearly agree in their letters' parities; id and line of all that share one."""
+    met = _met(_keys(every, distance).select("h", "probes", "id"), "line")
     ids = met.select(F.col("id").alias("key")).distinct()
     texts = stored(
         passing(every.select("line", F.xxhash64("line").alias("id")), "id", ids).distinct().join(ids, F.col("id") == F.col("key"))
         .select("id", "line", _parity(F.col("line")).alias("parity")), "line-texts")
-    met = met.join(texts.select("id", "parity"), "id")
+    crowded = _crowded(met, "line")
     x, y = F.col("a.id"), F.col("b.id")
     near = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= 2 * distance
-    pairs = met.where("not probes").alias("a").join(met.where("probes").alias("b"), (F.col("a.h") == F.col("b.h")) & (x != y) & near)
-    return stored(pairs.select(F.least(x, y).alias("low"), F.greatest(x, y).alias("high")).distinct(), "line-pairs"), texts
+
+    def pairs(met: DataFrame, alike: Column) -> DataFrame:
+        met = met.join(texts.select("id", "parity"), "id")
+        return met.where("not probes").alias("a").join(met.where("probes").alias("b"), (F.col("a.h") == F.col("b.h")) & (x != y) & alike).select(
+            F.least(x, y).alias("low"), F.greatest(x, y).alias("high"))
+
+    if crowded.isEmpty():
+        found = pairs(met, near)
+    else:
+        many = met.join(crowded, F.col("h") == F.col("key"), "left_semi").select(F.col("id").alias("key")).distinct()
+        finer = _finer(texts.join(many, F.col("id") == F.col("key")).select("id", "line"), distance)
+        found = pairs(met.join(crowded, F.col("h") == F.col("key"), "left_anti"), near).unionByName(
+            pairs(finer, near & (F.levenshtein("a.left", "b.left", distance) >= 0)))
+    return stored(found.distinct(), "line-pairs"), texts
 
 
 def _shortened(line: Column, distance: int) -> Column:
