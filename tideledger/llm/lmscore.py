@@ -36,7 +36,8 @@ REMEMBERED = 500_000
 SHAPES = {"embed": (VOCABULARY + 1, EMBED), "mix": (2 * WINDOW * EMBED, HIDDEN), "bias": (1, HIDDEN),
           "group": (HIDDEN, VOCABULARY // GROUP), "group_bias": (1, VOCABULARY // GROUP),
           "member": (VOCABULARY // GROUP, HIDDEN * GROUP), "member_bias": (VOCABULARY // GROUP, GROUP)}
-SIZE = sum(a * b for a, b in SHAPES.values())
+SIZES = {name: a * b for name, (a, b) in SHAPES.items()}
+SIZE = sum(SIZES.values())
 BLOCK = 4096         # weights per averaged block
 FAN = 64             # partitions averaged in one group of the first level
 OUT = "doc_id long, n_words long, logprob double, mean_logprob double"
@@ -73,35 +74,74 @@ class Slots(dict):
 
 def windows(slots: np.ndarray) -> np.ndarray:
     """The slots around each position; places beyond the text have a slot of their own."""
-    padded = np.pad(slots, WINDOW, constant_values=VOCABULARY)
-    return np.stack([padded[WINDOW + o:len(slots) + WINDOW + o] for o in range(-WINDOW, WINDOW + 1) if o], axis=1)
+    return _around(_padded(slots), np.arange(len(slots)))
+
+
+AROUND = np.array([WINDOW + o for o in range(-WINDOW, WINDOW + 1) if o])
+
+
+def _padded(slots: np.ndarray) -> np.ndarray:
+    padded = np.full(len(slots) + 2 * WINDOW, VOCABULARY, np.int32)
+    padded[WINDOW:len(slots) + WINDOW] = slots
+    return padded
+
+
+def _around(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return padded[at[:, None] + AROUND]
 
 
 def _hidden(w: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = w["embed"][context].reshape(len(context), -1)
-    return x, np.tanh(x @ w["mix"] + w["bias"])
+    x = w["embed"].take(context.ravel(), axis=0).reshape(len(context), -1)
+    made = x @ w["mix"]
+    made += w["bias"]
+    return x, np.tanh(made, out=made)
 
 
 def _groups(target: np.ndarray):
-    """Order of the targets by group, and (group, slice of that order) of each group present."""
-    order = np.argsort(target, kind="stable")
-    edges = np.searchsorted(target[order], np.arange(0, VOCABULARY + 1, GROUP))
-    return order, [(g, slice(a, b)) for g, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+    """Order of the targets by group, and (group, start, end in that order) of each group present."""
+    order = np.argsort(target.astype(np.int16), kind="stable")  # two bytes are sorted by radix
+    ends = np.cumsum(np.bincount(target // GROUP, minlength=VOCABULARY // GROUP)).tolist()
+    return order, [(g, a, b) for g, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+def _members(w: dict) -> np.ndarray:
+    """Weights and, as a last row, biases inside each group."""
+    return np.concatenate([w["member"].reshape(-1, HIDDEN, GROUP), w["member_bias"][:, None]], axis=1)
+
+
+def _with_one(h: np.ndarray) -> np.ndarray:
+    """``h`` and a column of ones, by which biases are weights like others."""
+    out = np.empty((len(h), HIDDEN + 1), np.float32)
+    out[:, :HIDDEN], out[:, HIDDEN] = h, 1
+    return out
+
+
+def _member_logits(members: np.ndarray, h: np.ndarray, groups: list) -> np.ndarray:
+    """Logits inside the group of each row; the rows lie by group, so each group is one product."""
+    out = np.empty((len(h), GROUP), np.float32)
+    for g, a, b in groups:
+        np.dot(h[a:b], members[g], out=out[a:b])
+    return out
+
+
+ONES = np.ones((GROUP, 1), np.float32)
+PLACES = np.arange(SIZES["embed"]).reshape(SHAPES["embed"])  # of each slot's numbers in the embeddings
 
 
 def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-softmax of one column per row; weights are bounded, so no exponential overflows."""
     chosen = logits[np.arange(len(at)), at]
-    return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return chosen - np.log((np.exp(logits, out=logits) @ ONES)[:, 0])
 
 
 def log_probabilities(w: dict, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     order, groups = _groups(target)
     target = target[order]
-    _, h = _hidden(w, context[order])
-    made = _picked(h @ w["group"] + w["group_bias"], target // GROUP).astype(float)
-    for g, part in groups:
-        made[part] += _picked(h[part] @ w["member"][g].reshape(HIDDEN, GROUP) + w["member_bias"][g], target[part] % GROUP)
+    _, h = _hidden(w, context.take(order, axis=0))
+    logits = h @ w["group"]
+    logits += w["group_bias"]
+    made = _picked(logits, target // GROUP).astype(float)
+    made += _picked(_member_logits(_members(w), _with_one(h), groups), target % GROUP)
     out = np.empty_like(made)
     out[order] = made
     return out
@@ -109,38 +149,56 @@ def log_probabilities(w: dict, context: np.ndarray, target: np.ndarray) -> np.nd
 
 def _softmax_error(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits *= 1 / (logits @ ONES)
     logits[np.arange(len(at)), at] -= 1
     return logits
 
 
 def _move(weights: np.ndarray, step: np.ndarray) -> None:
-    weights -= np.clip(step, -LEAP, LEAP)
-    np.clip(weights, -BOUND, BOUND, out=weights)
+    """``step`` is spent."""
+    np.minimum(step, LEAP, out=step)
+    np.maximum(step, -LEAP, out=step)
+    weights -= step
+    np.minimum(weights, BOUND, out=weights)
+    np.maximum(weights, -BOUND, out=weights)
 
 
 def train_batch(w: dict, context: np.ndarray, target: np.ndarray, rate: float = RATE) -> None:
     """One step of gradient descent on a batch, in place."""
     order, groups = _groups(target)
-    context, target = context[order], target[order]
+    context, target = context.take(order, axis=0), target[order]
     n, (x, h) = len(target), _hidden(w, context)
-    scale = rate / np.sqrt(n)  # between mean and sum: rare slots move too
-    outer = _softmax_error(h @ w["group"] + w["group_bias"], target // GROUP)
+    scale = float(rate / np.sqrt(n))  # between mean and sum: rare slots move too; a plain float keeps the steps in single precision
+    outer = h @ w["group"]
+    outer += w["group_bias"]
+    outer = _softmax_error(outer, target // GROUP)
+    members, one = _members(w), _with_one(h)
+    inner = _softmax_error(_member_logits(members, one, groups), target % GROUP)
     back = outer @ w["group"].T
-    for g, part in groups:
-        inside = w["member"][g].reshape(HIDDEN, GROUP)
-        inner = _softmax_error(h[part] @ inside + w["member_bias"][g], target[part] % GROUP)
-        back[part] += inner @ inside.T
-        _move(w["member"][g], scale * (h[part].T @ inner).ravel())
-        _move(w["member_bias"][g], scale * inner.sum(axis=0))
+    steps, inside = np.empty((len(groups), HIDDEN + 1, GROUP), np.float32), np.empty((n, HIDDEN), np.float32)
+    for (g, a, b), step in zip(groups, steps):
+        part = inner[a:b]
+        np.dot(part, members[g, :HIDDEN].T, out=inside[a:b])
+        np.dot(one[a:b].T, part, out=step)
+    back += inside
+    present = [g for g, _, _ in groups]
+    steps *= scale
+    moved = members[present]
+    _move(moved, steps)
+    w["member"][present] = moved[:, :HIDDEN].reshape(len(present), -1)
+    w["member_bias"][present] = moved[:, HIDDEN]
     back *= 1 - h * h
-    into = (back @ w["mix"].T).reshape(n * 2 * WINDOW, EMBED)
-    _move(w["group"], scale * (h.T @ outer))
-    _move(w["group_bias"], scale * outer.sum(axis=0)[None])
+    into = back @ w["mix"].T
+    step = one.T @ outer
+    step *= scale
+    _move(w["group"], step[:HIDDEN])
+    _move(w["group_bias"], step[HIDDEN:])
     _move(w["mix"], scale * (x.T @ back))
     _move(w["bias"], scale * back.sum(axis=0)[None])
-    at = context.ravel()
-    _move(w["embed"], scale * np.stack([np.bincount(at, into[:, d], VOCABULARY + 1) for d in range(EMBED)], axis=1))
+    at = PLACES.take(context.ravel(), axis=0).ravel()
+    step = np.bincount(at, into.ravel(), SIZES["embed"]).astype(np.float32).reshape(-1, EMBED)
+    step *= scale
+    _move(w["embed"], step)
 
 
 class Trainer:
@@ -155,7 +213,7 @@ class Trainer:
         at = np.arange(first, len(slots), step)
         if not len(at):
             return
-        self.waiting.append((windows(slots)[at], slots[at]))
+        self.waiting.append((_around(_padded(slots), at), slots[at]))
         self.held += len(at)
         self.seen += len(at)
         if self.held >= BATCH:
@@ -171,13 +229,17 @@ class Trainer:
 
 def slot_table(docs: DataFrame) -> DataFrame:
     """The slots of each text that has words, stored."""
+    return _slot_table(docs.select(F.lit(0).cast("long").alias("doc_id"), "text")).where(F.size("slots") > 0).select("slots")
+
+
+def _slot_table(docs: DataFrame) -> DataFrame:
+    """doc_id and slots of every row, stored."""
     def run(batches):
         slots = Slots()
         for batch in batches:
-            found = [slots(t) for t in batch["text"]]
-            yield pd.DataFrame({"slots": [f for f in found if len(f)]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "slots": [slots(t) for t in batch["text"]]})
 
-    return stored(docs.select("text").mapInPandas(run, "slots array<int>"), "lm-slots")
+    return stored(docs.select("doc_id", "text").mapInPandas(run, "doc_id long, slots array<int>"), "lm-slots")
 
 
 def first_weights(table: DataFrame) -> np.ndarray:
@@ -193,7 +255,10 @@ def first_weights(table: DataFrame) -> np.ndarray:
 
 def train(docs: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     """Weights trained over every position of the whole corpus."""
-    table = slot_table(docs)
+    return _trained(slot_table(docs), rounds)
+
+
+def _trained(table: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     flat = first_weights(table)
     for at in range(rounds):
         flat = _averaged(table, flat, at, rounds)
@@ -232,13 +297,15 @@ def _averaged(table: DataFrame, start: np.ndarray, first: int, step: int) -> np.
 
 def score(docs: DataFrame, flat: np.ndarray) -> DataFrame:
     """doc_id, n_words, logprob (sum) and mean_logprob of each row; a text without words has 0 words, sum 0 and a null mean."""
+    return _scored(docs.select("doc_id", "text"), flat)
+
+
+def _scored(rows: DataFrame, flat: np.ndarray) -> DataFrame:
+    """Scores of rows of doc_id and either text or slots."""
     def run(batches):
         slots, w = Slots(), views(flat)
         for batch in batches:
-            made = []
-            for text in batch["text"]:
-                found = slots(text)
-                made.append(found)
+            made = [slots(t) for t in batch["text"]] if "text" in batch else [np.asarray(s, np.int32) for s in batch["slots"]]
             sums = np.zeros(len(made))
             owner = np.repeat(np.arange(len(made)), [len(m) for m in made])
             target = np.concatenate(made) if made else np.zeros(0, np.int32)
@@ -250,7 +317,7 @@ def score(docs: DataFrame, flat: np.ndarray) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_words": n, "logprob": sums,
                                 "mean_logprob": [s / k if k else None for s, k in zip(sums, n)]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, OUT)
+    return rows.mapInPandas(run, OUT)
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:
@@ -259,4 +326,5 @@ def score_corpus(docs: DataFrame) -> DataFrame:
     Null and empty texts have no words; repeated and null doc_ids are rows like
     others; an empty table gives no rows; other columns are ignored.
     """
-    return score(docs, train(docs))
+    table = _slot_table(docs)  # the same words are trained on and scored
+    return _scored(table, _trained(table.where(F.size("slots") > 0).select("slots")))
