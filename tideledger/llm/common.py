@@ -41,13 +41,34 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Give freed memory back to the system at a task's end: a Python worker that waits for its next task then stays small."""
+def _kept() -> dict:
+    import sys
+    import types
+
+    return vars(sys.modules.setdefault("tideledger_kept", types.SimpleNamespace()))
+
+
+def kept(key: str, make):
+    """``make()``, which this process keeps for later tasks until a task of another step calls :func:`release`."""
+    held = _kept()
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def release(keep: str = "") -> None:
+    """Drop what the process has :func:`kept` except under ``keep``, and give freed memory back to the system.
+
+    Called at a task's end, so that a Python worker that waits for its next task stays small.
+    """
     import ctypes
     import gc
 
     import pyarrow as pa
 
+    held = _kept()
+    for key in [k for k in held if k != keep]:
+        del held[key]
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

@@ -106,6 +106,7 @@ def accepted(docs: DataFrame, dictionaries: dict[str, bytes], narrow: float = NA
     def run(batches):
         import pyarrow as pa
 
+        release()  # what tasks of other steps have left
         classifier = Classifier(dictionaries)
         for batch in batches:
             text = batch.column("text")

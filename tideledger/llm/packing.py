@@ -18,8 +18,6 @@ import bisect
 import functools
 import os
 import re
-import sys
-import types
 import zlib
 
 import numpy as np
@@ -27,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import shipped
-from .common import release, stored
+from .common import kept, release, stored
 
 shipped(__name__)
 
@@ -89,11 +87,8 @@ class PieceIds:
 
 
 def encoder(tokenizer_file: str) -> PieceIds:
-    """The encoder of this process: a worker that runs several tasks keeps what it has learnt."""
-    held = sys.modules.setdefault("tideledger_packing_encoders", types.ModuleType("tideledger_packing_encoders"))
-    if tokenizer_file not in vars(held):
-        setattr(held, tokenizer_file, PieceIds(tokenizer_file))
-    return vars(held)[tokenizer_file]
+    """The encoder of this process: a worker that runs several tasks of this step keeps what it has learnt."""
+    return kept(tokenizer_file, lambda: PieceIds(tokenizer_file))
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> DataFrame:
@@ -122,7 +117,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> DataFram
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(made, types)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
                 at = stop
-        release()
+        release(keep=tokenizer_file)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECE)
 
