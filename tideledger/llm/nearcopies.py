@@ -6,21 +6,29 @@ pivot distance table, verified bit by bit), or when the Jaccard similarity of th
 functions: a pair at 0.8 shares none with probability (1 - 0.8^5)^30 < 1e-5. Each of them is
 verified on the shingle sets, so the bands only decide what is looked at.
 
-A band's members first meet its two outermost keys. Members that are connected then need no further
-look; in bands that hold several components, every two members of different ones are compared. So each
-pair that shares a band is either compared or already connected, and a large group of copies costs
-its size. Many unlike texts under one band would still be compared with each other; five minima make
-that rare (texts of similarity 0.3 share a band with 7 %, of 0.2 with 1 %).
+A band's members first meet its two outermost keys. Members that are connected then need no further look; of the others, every two
+in different components are compared while the band has at most ``CROWD`` members. Those of larger bands meet by prefix instead: with all shingles
+in one order, the rarest first, two sets of that similarity share a shingle so early in both that
+the rest of either still holds what they must have in common. Shingles of one text only come first and meet nothing, so texts that
+differ from all others in more than a ninth of their shingles are not compared at all, and none of similarity 0.8 is lost.
+A large group of copies costs its size, and so does one whose texts each differ in more; texts that differ from each other in little more than
+0.8 allows may all meet, and then only within the join.
+
+Before anything is fetched, two texts must agree in the parities of their shingles' numbers under 256 places: a shingle that only one of
+them has changes one place, so they differ in no more places than shingles. The shingle sets themselves, several times their text,
+are made for texts that pass this with another one, and for those of crowded bands.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import shipped, simhash
-from .common import release, stored
+from .common import passing, release, stored
 from .components import components
 from .simhash import least_of_components, row_key, split_words
 
@@ -30,6 +38,8 @@ WIDTH, SIMILAR = 5, 0.8
 SHINGLE, RADIUS = 3, 2  # of the fingerprints, as in op6
 BANDS, ROWS = 30, 5
 SKETCHED = 256  # texts sketched at a time
+CROWD = 64  # members of a band compared with all others
+PLACES = 256  # of parities
 _SEEDS = np.array([[xxhash.xxh64_intdigest(f"{kind} {i}", 0) | (kind == "times") for i in range(BANDS * ROWS)]
                    for kind in ("xor", "times")], np.uint64)
 
@@ -51,8 +61,14 @@ def bands(grams: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)], np.uint64)
 
 
+def parities(grams: np.ndarray) -> np.ndarray:
+    """One bit for each of ``PLACES`` places: whether an odd number of the shingles fall on it."""
+    counts = np.bincount((grams % np.uint64(PLACES)).astype(np.int64), minlength=PLACES)
+    return np.packbits(counts & 1, bitorder="little").view(np.int64)
+
+
 def _sketched(docs: DataFrame) -> DataFrame:
-    """key, shingles, bands and fingerprint of each distinct text."""
+    """key, number of shingles n, their parities, bands and fingerprint of each distinct text."""
     def run(batches):
         import pyarrow as pa
 
@@ -65,12 +81,33 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 grams = [shingles(w) for w in words]
                 fps = np.array([simhash.fingerprint(w, SHINGLE) for w in words], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(begin, len(part)), pa.array([g.view(np.int64) for g in grams], many), pa.array([bands(g).view(np.int64) for g in grams], many), pa.array(fps)],
-                    names=["key", "grams", "bands", "fp"])
+                    [keys.slice(begin, len(part)), pa.array([len(g) for g in grams], pa.int32()), pa.array([parities(g) for g in grams], many),
+                     pa.array([bands(g).view(np.int64) for g in grams], many), pa.array(fps)],
+                    names=["key", "n", "odd", "bands", "fp"])
         release()
 
     texts = docs.select(row_key(F.col("text")).alias("key"), "text").dropDuplicates(["key"])
-    return texts.mapInArrow(run, "key binary, grams array<long>, bands array<long>, fp long")
+    return texts.mapInArrow(run, "key binary, n int, odd array<long>, bands array<long>, fp long")
+
+
+def _sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """key and shingles of each distinct text whose key is among ``keys``."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found, texts = batch.column(0), batch.column(1)
+            for begin in range(0, len(texts), SKETCHED):
+                part = range(begin, min(begin + SKETCHED, len(texts)))
+                grams = [shingles(split_words(texts[i].as_py())).view(np.int64) for i in part]
+                yield pa.RecordBatch.from_arrays([found.slice(begin, len(part)), pa.array(grams, pa.list_(pa.int64()))], names=["key", "grams"])
+        release()
+
+    wanted = keys.select("key").distinct()
+    rows = docs.select(row_key(F.col("text")).alias("key"), "text").withColumn("slot", F.xxhash64("key"))
+    rows = passing(rows, "slot", wanted.select(F.xxhash64("key").alias("key")))
+    texts = rows.dropDuplicates(["key"]).join(wanted, "key", "left_semi").select("key", "text")
+    return texts.mapInArrow(run, "key binary, grams array<long>")
 
 
 def fingerprint_links(sketched: DataFrame) -> DataFrame:
@@ -82,31 +119,72 @@ def fingerprint_links(sketched: DataFrame) -> DataFrame:
     return same.unionByName(near.join(low, "a_fp").join(high, "b_fp").select("a", "b"))
 
 
-def links(sketched: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def _least_common(similar: float) -> Column:
+    """The least number of shingles that texts a and b have in common if they are near copies."""
+    return F.ceil(similar / (1 + similar) * (F.col("a.n") + F.col("b.n")) - 1e-9)
+
+
+def _may_be_alike(similar: float) -> Column:
+    """False only where sizes or parities show that a and b are no near copies."""
+    differing = functools.reduce(Column.__add__, (F.bit_count(F.get("a.odd", F.lit(i)).bitwiseXOR(F.get("b.odd", F.lit(i)))) for i in range(PLACES // 64)))
+    least = _least_common(similar)
+    return (F.least("a.n", "b.n") >= least) & (differing <= F.col("a.n") + F.col("b.n") - 2 * least)
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b, of the keys of a join's two sides."""
+    return met.select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")).distinct()
+
+
+def _keys(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("key"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    left, right = sets.select(F.col("key").alias("a"), F.col("grams").alias("x")), sets.select(F.col("key").alias("b"), F.col("grams").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    alike = common >= similar * (F.size("x") + F.size("y") - common) - 1e-9
+    return pairs.join(right, "b").join(left, "a").where(alike).select("a", "b")
+
+
+def _prefix_pairs(crowd: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) of different components of ``crowd`` (key, n, odd, of): all near copies, and few others.
+
+    Of the shingles in order, a's first one in common with b has all others in common after it, and so has b's.
+    """
+    every = crowd.join(sets, "key").select("key", "n", F.explode("grams").alias("gram"))
+    shared = stored(every.groupBy("gram").agg(F.count("*").alias("texts")).where("texts > 1"), "near-grams")
+    own = Window.partitionBy("key")
+    placed = passing(every, "gram", shared.select(F.col("gram").alias("key"))).join(shared, "gram").withColumn("at", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("texts", "gram")) - 1)
+    early = placed.where(F.col("at") <= F.col("n") - F.ceil(similar * F.col("n") - 1e-9)).select("key", "gram", "at")
+    early = stored(early.join(crowd, "key"), "near-prefixes")
+    a, b = early.alias("a"), early.alias("b")
+    in_time = (F.col("a.at") <= F.col("a.n") - _least_common(similar)) & (F.col("b.at") <= F.col("b.n") - _least_common(similar))
+    return _pairs(a.join(b, F.expr("a.gram = b.gram and a.key < b.key and a.of != b.of") & in_time & _may_be_alike(similar)))
+
+
+def links(docs: DataFrame, sketched: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """Pairs (a, b) of keys of near copies; two near copies by fingerprint, or by similarity if they share a band, are always connected by such pairs."""
-    def verified(pairs: DataFrame) -> DataFrame:
-        sets = sketched.select("key", "grams")
-        left, right = sets.select(F.col("key").alias("a"), F.col("grams").alias("x")), sets.select(F.col("key").alias("b"), F.col("grams").alias("y"))
-        common = F.size(F.array_intersect("x", "y"))
-        alike = common >= similar * (F.size("x") + F.size("y") - common) - 1e-9
-        return pairs.join(right, "b").join(left, "a").where(alike).select("a", "b")
-
-    keyed = sketched.select("key", F.size("grams").alias("n"), F.explode("bands").alias("band"))
-    groups = keyed.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    grouped = stored(keyed.join(groups, "band"), "near-bands")
-    ends = F.array("low", "high")
-    first = grouped.select(F.explode(ends).alias("end"), "key").where("end != key").select(
-        F.least("end", "key").alias("a"), F.greatest("end", "key").alias("b")).distinct()
-    found = stored(verified(first).unionByName(fingerprint_links(sketched)), "near-first")
+    keyed = sketched.select("key", "n", "odd", F.explode("bands").alias("band"))
+    groups = stored(keyed.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("members")).where("low < high"), "near-groups")
+    grouped = stored(passing(keyed, "band", groups.select(F.col("band").alias("key"))).join(groups, "band"), "near-bands")
+    members, ends = grouped.alias("a"), grouped.where("key = low or key = high").alias("b")
+    first = stored(_pairs(members.join(ends, F.expr("a.band = b.band and a.key != b.key") & _may_be_alike(similar))), "near-ends")
+    sets = stored(_sets(docs, _keys(first)), "near-sets")
+    found = stored(_verified(first, sets, similar).unionByName(fingerprint_links(sketched)), "near-first")
     label = components(found)
-    placed = grouped.join(label, grouped["key"] == label["node"], "left").select("band", "key", "n", "low", "high", F.coalesce("component", "key").alias("of"))
-    placed = stored(placed, "near-placed")
+    inner = grouped.where("members > 3 and key != low and key != high")  # of three members, an end meets each
+    placed = stored(inner.join(label, inner["key"] == label["node"], "left").select("band", "key", "n", "odd", "members", F.coalesce("component", "key").alias("of")), "near-placed")
     mixed = placed.groupBy("band").agg(F.min("of").alias("least"), F.max("of").alias("most")).where("least < most").select("band")
-    inner = placed.where("key != low and key != high").join(mixed, "band", "left_semi")
-    fits = F.expr(f"a.n >= {similar} * b.n - 1e-9 and b.n >= {similar} * a.n - 1e-9")
-    rest = inner.alias("a").join(inner.alias("b"), F.expr("a.band = b.band and a.key < b.key and a.of != b.of") & fits).select(
-        F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()
-    return found.unionByName(verified(rest))
+    placed = stored(placed.join(mixed, "band", "left_semi"), "near-mixed")
+    small = placed.where(F.col("members") <= CROWD)
+    a, b = small.alias("a"), small.alias("b")
+    rest = stored(_pairs(a.join(b, F.expr("a.band = b.band and a.key < b.key and a.of != b.of") & _may_be_alike(similar))), "near-rest")
+    crowd = stored(placed.where(F.col("members") > CROWD).select("key", "n", "odd", "of").distinct(), "near-crowd")
+    sets = stored(_sets(docs, _keys(rest).unionByName(crowd.select("key"))), "near-sets")
+    if not crowd.isEmpty():
+        rest = rest.unionByName(_prefix_pairs(crowd, sets, similar)).distinct()
+    return found.unionByName(_verified(rest, sets, similar))
 
 
 def representatives(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -115,7 +193,7 @@ def representatives(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     Null and empty texts are copies of each other; of rows equal in doc_id and text, one stays.
     """
     sketched = stored(_sketched(docs), "near-sketches")
-    label = stored(components(links(sketched, similar)), "near-components")
+    label = stored(components(links(docs, sketched, similar)), "near-components")
     rows = docs.select("doc_id", row_key(F.col("text")).alias("key"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("key"))
     least = rows.groupBy("key").agg(F.min(place).alias("place"))  # combined before the shuffle
